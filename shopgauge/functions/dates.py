@@ -10,10 +10,13 @@ Styles without a year take 1970; styles without a date take 1970-01-01.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
+
 # The 23 recognised date styles, in their natural order.
 PATTERNS = [
     "MM-dd", "yyyy-MM", "yyyy-MM-dd", "MM-dd HH:mm", "MM-dd HH:mm:ss",
@@ -52,12 +55,38 @@ def _case(cases: list[tuple[Column, Column]]) -> Column:
     return out
 
 
+# Digit layout of each style token: a style is only tried on text laid out like it, so every
+# value is parsed once (a failed strict parse is far costlier than a regex test).
+_TOKEN_LAYOUT = [("yyyy", r"\d{4}"), ("MM", r"\d{2}"), ("dd", r"\d{2}"), ("HH", r"\d{2}"),
+                 ("mm", r"\d{2}"), ("ss", r"\d{2}")]
+
+
+def layout_regex(style: str) -> str:
+    """Full-match regex of the text layout of `style` (4-digit year, 2-digit fields)."""
+    out, i = "", 0
+    while i < len(style):
+        for tok, rx in _TOKEN_LAYOUT:
+            if style.startswith(tok, i):
+                out, i = out + rx, i + len(tok)
+                break
+        else:
+            out, i = out + re.escape(style[i]), i + 1
+    return "^" + out + "$"
+
+
+LAYOUTS = [(p, layout_regex(p)) for p in PATTERNS]
+
+
+def _by_layout(t: Column, value_of) -> Column:
+    return _case([(t.rlike(rx), value_of(p)) for p, rx in LAYOUTS])
+
+
 # D2 / D1
 def detect_style(txt: str | Column) -> Column:
     """The style the text is written in, or NULL."""
     t = _col(txt)
-    return F.coalesce(*[F.when(F.try_to_timestamp(t, F.lit(p)).isNotNull(), F.lit(p))
-                        for p in PATTERNS])
+    return _by_layout(t, lambda p: F.when(F.try_to_timestamp(t, F.lit(p)).isNotNull(),
+                                          F.lit(p)))
 
 
 def is_date(txt: str | Column) -> Column:
@@ -70,7 +99,7 @@ def parse_date(txt: str | Column, style: str | None = None) -> Column:
     t = _col(txt)
     if style is not None:
         return F.try_to_timestamp(t, F.lit(style))
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(p)) for p in PATTERNS])
+    return _by_layout(t, lambda p: F.try_to_timestamp(t, F.lit(p)))
 
 
 # D4
@@ -116,9 +145,8 @@ SHIFTS = {"year": add_years, "month": add_months, "day": add_days, "hour": add_h
 def shift_text(txt: str | Column, n: int, unit: str = "day") -> Column:
     """Shift date text by `n` units and write it back in its own style."""
     t = _col(txt)
-    style = detect_style(t)
-    shifted = SHIFTS[unit](parse_date(t), n)
-    return _case([(style == p, F.date_format(shifted, p)) for p in PATTERNS])
+    shift = SHIFTS[unit]
+    return _by_layout(t, lambda p: F.date_format(shift(F.try_to_timestamp(t, F.lit(p)), n), p))
 
 
 # D13-D21
@@ -188,10 +216,14 @@ def interval_days(a: str | Column, b: str | Column) -> Column:
 # Reports over a frame with a date-text column `txt`.
 
 def styled_event_dates(events: DataFrame) -> DataFrame:
-    """event_id, txt: each event time written in style number `event_id % 23`."""
+    """event_id, txt: each event time written in style number `event_id % 23`.
+
+    The rows are spread over the task slots first when the source has fewer partitions than
+    slots, since every report over this text is CPU-bound and row-local.
+    """
     idx = F.col("event_id") % len(PATTERNS)
     txt = _case([(idx == i, F.date_format("ts", p)) for i, p in enumerate(PATTERNS)])
-    return events.select("event_id", txt.alias("txt"))
+    return spread(events.select("event_id", "ts")).select("event_id", txt.alias("txt"))
 
 
 def date_normalize_report(df: DataFrame) -> DataFrame:

@@ -37,49 +37,59 @@ def tag_member_base(member: DataFrame) -> DataFrame:
 
 
 def _member_goods(order: DataFrame, order_commodity: DataFrame) -> DataFrame:
-    """memberId, favGoods: sorted distinct commodity ids over all lines of the member's orders."""
+    """member_id, commodity_id: distinct goods over all lines of each member's orders."""
     o = order.select("order_id", "member_id")
     lines = order_commodity.select("order_id", "commodity_id").filter(
         F.col("commodity_id").isNotNull())
-    pairs = (o.join(lines, "order_id", "inner")
-             .select("member_id", "commodity_id").distinct())
-    return (pairs.groupBy(F.col("member_id").alias("memberId"))
-            .agg(F.sort_array(F.collect_list("commodity_id")).alias("favGoods")))
-
-
-def _with_goods(stats: DataFrame, goods: DataFrame) -> DataFrame:
-    empty = F.array().cast(goods.schema["favGoods"].dataType)
-    s, g = stats.alias("s"), goods.alias("g")
-    # Null-safe key: orders without a member form one group in both frames.
-    return (s.join(g, F.col("s.memberId").eqNullSafe(F.col("g.memberId")), "left")
-            .select("s.memberId", "s.orderCount", "s.orderTime", "s.orderMoney",
-                    F.coalesce("g.favGoods", empty).alias("favGoods")))
+    return (o.join(lines, "order_id", "inner")
+            .select("member_id", "commodity_id").distinct())
+
+
+def _order_tags(rows: DataFrame, goods: DataFrame) -> DataFrame:
+    """One aggregate per member over order rows (member_id, order_id, w, money, create_time)
+    and distinct goods rows (member_id, commodity_id), unioned: no join, so the result stays
+    partitioned by member and a member without any line gets an empty favGoods."""
+    order_rows = rows.select("member_id", "order_id", "w", "money", "create_time",
+                             F.lit(None).cast(goods.schema["commodity_id"].dataType)
+                             .alias("commodity_id"))
+    goods_rows = goods.select("member_id", F.lit(None).cast("bigint").alias("order_id"),
+                              F.lit(None).cast("bigint").alias("w"),
+                              F.lit(None).cast(rows.schema["money"].dataType).alias("money"),
+                              F.lit(None).cast(rows.schema["create_time"].dataType)
+                              .alias("create_time"),
+                              "commodity_id")
+    both = order_rows.unionByName(goods_rows)
+    return (both.groupBy(F.col("member_id").alias("memberId"))
+            .agg(F.sum(F.when(F.col("order_id").isNotNull(), F.col("w"))).alias("orderCount"),
+                 day_label(F.max("create_time")).alias("orderTime"),
+                 F.sum("money").cast(MONEY_SUM).cast("double").alias("orderMoney"),
+                 F.sort_array(F.collect_list("commodity_id")).alias("favGoods"))
+            .withColumn("orderCount", F.coalesce("orderCount", F.lit(0).cast("bigint"))))
 
 
 def tag_order_behavior(order: DataFrame, order_commodity: DataFrame) -> DataFrame:
     """Order behaviour as the tag job defines it: orders are joined to their lines first, so an
     order with k lines counts k times in orderCount and orderMoney (an order with no line counts
-    once). orderTime = day of the last order; favGoods = distinct goods ([] if none)."""
+    once). orderTime = day of the last order; favGoods = distinct goods ([] if none).
+
+    The fan-out is not materialised: lines are counted per order (combined on the map side),
+    and each order row carries its weight k into the member aggregate.
+    """
     line_counts = (order_commodity.groupBy("order_id")
                    .agg(F.count(F.lit(1)).alias("k")))
-    weighted = order.join(line_counts, "order_id", "left").withColumn(
-        "w", F.coalesce(F.col("k"), F.lit(1)))
-    stats = (weighted.groupBy(F.col("member_id").alias("memberId"))
-             .agg(F.sum(F.when(F.col("order_id").isNotNull(), F.col("w")).otherwise(0))
-                  .alias("orderCount"),
-                  day_label(F.max("create_time")).alias("orderTime"),
-                  F.sum(F.col("pay_price") * F.col("w")).cast(MONEY_SUM).cast("double")
-                  .alias("orderMoney")))
-    return _with_goods(stats, _member_goods(order, order_commodity))
+    weighted = (order.join(line_counts, "order_id", "left")
+                .select("member_id", "order_id", "create_time",
+                        F.coalesce(F.col("k"), F.lit(1)).alias("w"),
+                        (F.col("pay_price") * F.coalesce(F.col("k"), F.lit(1))).alias("money")))
+    return _order_tags(weighted, _member_goods(order, order_commodity))
 
 
 def tag_order_behavior_exact(order: DataFrame, order_commodity: DataFrame) -> DataFrame:
     """Order behaviour at order level: each order counts once, whatever its number of lines."""
-    stats = (order.groupBy(F.col("member_id").alias("memberId"))
-             .agg(F.count("order_id").alias("orderCount"),
-                  day_label(F.max("create_time")).alias("orderTime"),
-                  F.sum("pay_price").cast(MONEY_SUM).cast("double").alias("orderMoney")))
-    return _with_goods(stats, _member_goods(order, order_commodity))
+    rows = order.select("member_id", "order_id", "create_time",
+                        F.lit(1).cast("bigint").alias("w"),
+                        F.col("pay_price").cast(MONEY_SUM).alias("money"))
+    return _order_tags(rows, _member_goods(order, order_commodity))
 
 
 def tag_free_coupon(coupon_member: DataFrame) -> DataFrame:
@@ -91,8 +101,9 @@ def tag_free_coupon(coupon_member: DataFrame) -> DataFrame:
 
 def tag_free_coupon_first(coupon_member: DataFrame) -> DataFrame:
     """One row per member: day of the earliest first-order-free coupon grant."""
-    return (tag_free_coupon(coupon_member).groupBy("memberId")
-            .agg(F.min("freeCouponTime").alias("freeCouponTime")))
+    return (coupon_member.filter(F.col("coupon_id") == FREE_COUPON_ID)
+            .groupBy(F.col("member_id").alias("memberId"))
+            .agg(day_label(F.min("create_time")).alias("freeCouponTime")))
 
 
 def tag_coupon_times(coupon_member: DataFrame) -> DataFrame:

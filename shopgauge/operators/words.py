@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
 from ..sources.text import delimited_field
 
 # Fixed value: the characters a whitespace split breaks on (space, tab, newline, vertical tab,
@@ -43,7 +44,8 @@ def hot_field_rejects(lines: DataFrame, field: int = 2, line_col: str = "line",
 
 
 def token_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    return (docs.select(F.explode(F.split(F.col(text_col), WHITESPACE)).alias("word"))
+    texts = spread(docs.select(text_col))
+    return (texts.select(F.explode(F.split(F.col(text_col), WHITESPACE)).alias("word"))
             .filter(F.col("word") != ""))
 
 

@@ -146,3 +146,17 @@ class ShopTables:
     @cached_property
     def events(self) -> DataFrame:
         return self.raw("events")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin rows over the cluster's task slots, but only when the source yields fewer
+    partitions than there are slots (a few large files or single row groups).
+
+    Used before CPU-heavy row-local work (tokenising text, parsing date text). On a large input
+    the scan already has more splits than slots and the frame is returned unchanged, so no
+    shuffle is added where it would cost more than it gains.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots)
