@@ -1,0 +1,47 @@
+"""Every registered query against its oracle SQL (DuckDB) on the smallest test tables."""
+
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, os.path.join(ROOT, "tools"))
+
+import __spark_entry__ as E  # noqa: E402
+from oracle_check import duck_conn, norm, rows_key  # noqa: E402
+
+SF = os.environ.get("SHOPGAUGE_TEST_SF", "/root/testdata/sf0.001")
+NAMES = sorted(E.queries())
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return duck_conn(SF)
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SF)
+    s_cols = df.columns
+    s_rows = [norm(tuple(r)) for r in df.collect()]
+    res = duck.execute(E.oracle_sql()[name])
+    d_cols = [c[0] for c in res.description]
+    d_rows = [norm(tuple(r)) for r in res.fetchall()]
+    assert sorted(s_cols) == sorted(d_cols)
+    si = sorted(range(len(s_cols)), key=lambda i: s_cols[i])
+    di = sorted(range(len(d_cols)), key=lambda i: d_cols[i])
+    s_set = sorted((tuple(r[i] for i in si) for r in s_rows), key=rows_key)
+    d_set = sorted((tuple(r[i] for i in di) for r in d_rows), key=rows_key)
+    assert len(s_set) == len(d_set)
+    assert s_set == d_set
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.count() == spark.read.parquet(f"{E.SMOKE_DIR}/customer.parquet").count()
+    assert len(df.columns) == 16
