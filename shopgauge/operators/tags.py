@@ -99,6 +99,15 @@ def tag_free_coupon(coupon_member: DataFrame) -> DataFrame:
                     day_label("create_time").alias("freeCouponTime")))
 
 
+def tag_free_coupon_days(coupon_member: DataFrame) -> DataFrame:
+    """memberId, freeCouponTime, n: free-coupon grants counted per member and day (the
+    grouped form of `tag_free_coupon`; at most one row per member and distinct day)."""
+    return (coupon_member.filter(F.col("coupon_id") == FREE_COUPON_ID)
+            .groupBy(F.col("member_id").alias("memberId"),
+                     day_label("create_time").alias("freeCouponTime"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def tag_free_coupon_first(coupon_member: DataFrame) -> DataFrame:
     """One row per member: day of the earliest first-order-free coupon grant."""
     return (coupon_member.filter(F.col("coupon_id") == FREE_COUPON_ID)
@@ -158,6 +167,12 @@ def _wide(base: DataFrame, order_side: DataFrame, free_side: DataFrame, coupon_t
     joined = base
     for side in (order_side, free_side, coupon_times, charge, over_time, feedback):
         joined = joined.join(side, "memberId", "left")
+    if "n" in free_side.columns:
+        # Re-expand one row per grant only after the last join: the joins see at most one
+        # row per member and day, and the repeats are generated in place, not shuffled.
+        joined = joined.withColumn(
+            "_rep", F.explode(F.array_repeat(F.lit(True),
+                                             F.coalesce(F.col("n"), F.lit(1)).cast("int"))))
     return joined.select(*TAG_COLUMNS)
 
 
@@ -167,7 +182,7 @@ def user_tags_literal(member: DataFrame, order: DataFrame, order_commodity: Data
     """The wide tag table exactly as the tag job joins it: line fan-out in the order tags and one
     row per free-coupon grant (members with several grants repeat)."""
     return _wide(tag_member_base(member), tag_order_behavior(order, order_commodity),
-                 tag_free_coupon(coupon_member), tag_coupon_times(coupon_member),
+                 tag_free_coupon_days(coupon_member), tag_coupon_times(coupon_member),
                  tag_charge_money(coupon_member, coupon), tag_over_time(delivery),
                  tag_latest_feedback(feedback))
 
