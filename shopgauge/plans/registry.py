@@ -20,12 +20,16 @@ def _tag_args(t: ShopTables) -> tuple:
 
 
 def _user_tags(t: ShopTables) -> DataFrame:
-    return tags.user_tags(*_tag_args(t))
+    """The one-row-per-member tag plan, built once per table set and read by every segment
+    query (segments are filters over the tag table)."""
+    if "user_tags" not in t.derived:
+        t.derived["user_tags"] = tags.user_tags(*_tag_args(t))
+    return t.derived["user_tags"]
 
 
 def _q(fn: Callable[[ShopTables], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(ShopTables(spark, sf_dir))
+        return fn(ShopTables.of(spark, sf_dir))
     run.__name__ = getattr(fn, "__name__", "query")
     return run
 

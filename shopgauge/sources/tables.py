@@ -98,14 +98,38 @@ def line_frame(documents: DataFrame) -> DataFrame:
 
 
 class ShopTables:
-    """Lazy access to the raw tables of one data directory and the shop adapters over them."""
+    """Lazy access to the raw tables of one data directory and the shop adapters over them.
+
+    `ShopTables.of(spark, dir)` shares one instance per session and folder: each table's file
+    listing and footer are read once and each adapter plan is built once, then reused by every
+    report (DataFrames are immutable lazy plans; nothing is cached in memory). Call `forget()`
+    after the files change.
+    """
+
+    _shared: dict[tuple[int, str], "ShopTables"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.sf_dir = sf_dir
+        self.sf_dir = sf_dir.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
+        # Plans derived from these tables that several reports read (e.g. the tag table).
+        self.derived: dict[str, DataFrame] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "ShopTables":
+        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, sf_dir)
+        return cls._shared[key]
+
+    @classmethod
+    def forget(cls) -> None:
+        cls._shared.clear()
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        if name not in self._raw:
+            self._raw[name] = read_table(self.spark, self.sf_dir, name)
+        return self._raw[name]
 
     @cached_property
     def member(self) -> DataFrame:
