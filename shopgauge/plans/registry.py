@@ -59,6 +59,7 @@ QUERIES: dict[str, Query] = {
                                                                       P.REMIND_AS_OF)),
     # hot words
     "hot_field_top10": _q(lambda t: words.hot_field_top(t.lines, 10)),
+    "hot_field_rejects": _q(lambda t: words.hot_field_rejects(t.lines)),
     "hot_tokens_top10": _q(lambda t: words.hot_tokens_top(t.documents, 10)),
     # user tags
     "tag_member_base": _q(lambda t: tags.tag_member_base(t.member)),
