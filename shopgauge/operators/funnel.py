@@ -18,8 +18,12 @@ def repeat_buyers(order: DataFrame, order_status: int = 2) -> DataFrame:
             .select("member_id"))
 
 
+STEPS = ["present", "click", "addCart", "order", "orderAgain", "chargeCoupon"]
+
+
 def funnel_counts(order: DataFrame, coupon_member: DataFrame, order_status: int = 2,
-                  charge_channel: int = 1, top_steps: dict[str, int] | None = None) -> DataFrame:
+                  charge_channel: int = 1, top_steps: dict[str, int] | None = None,
+                  with_rates: bool = False) -> DataFrame:
     """One row: present, click, addCart, order, orderAgain, chargeCoupon (all LONG).
 
     order       = distinct members with a placed order (NULL counts as one value, as a
@@ -41,10 +45,16 @@ def funnel_counts(order: DataFrame, coupon_member: DataFrame, order_status: int
                .withColumn("charged", F.lit(True)))
     flagged = per_member.join(charged, "member_id", "left")
     again = F.col("n") > 1
-    return flagged.agg(
+    counts = flagged.agg(
         F.lit(steps["present"]).cast("bigint").alias("present"),
         F.lit(steps["click"]).cast("bigint").alias("click"),
         F.lit(steps["addCart"]).cast("bigint").alias("addCart"),
         F.count(F.lit(1)).alias("order"),
         F.count_if(again).alias("orderAgain"),
         F.count_if(again & F.coalesce(F.col("charged"), F.lit(False))).alias("chargeCoupon"))
+    if not with_rates:
+        return counts
+    # Step-to-step conversion: each step over the one before it (NULL when that one is 0).
+    return counts.select("*", *[
+        F.try_divide(F.col(b).cast("double"), F.col(a)).alias(f"{b}Rate")
+        for a, b in zip(STEPS, STEPS[1:])])

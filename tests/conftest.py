@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,7 +12,8 @@ sys.path.insert(0, ROOT)
 def spark():
     from shopgauge.session import get_session
     s = get_session("local[*]", app_name="shopgauge-tests", shuffle_partitions=8,
-                    extra={"spark.ui.showConsoleProgress": "false"})
+                    extra={"spark.ui.showConsoleProgress": "false",
+                           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="sg-warehouse-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

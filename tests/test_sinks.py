@@ -44,3 +44,29 @@ def test_materialize_cuts_lineage(spark):
     cut = materialize(df, "over-time")
     assert "FileScan parquet" in cut._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_bucketed_tag_table_joins_without_shuffle(spark):
+    tags = queries()["user_tags"](spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        write_tags(tags, table="usertag_bucketed", buckets=4)
+        t = spark.table("usertag_bucketed")
+        joined = t.alias("a").join(t.alias("b"), "memberId")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text
+        assert joined.count() == tags.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_jobs_write_reports(spark):
+    from shopgauge.plans import jobs
+    out = tempfile.mkdtemp(prefix="sg-jobs-")
+    for job in ("funnel", "tags", "segment"):
+        jobs.run(spark, job, SF, out)
+    funnel = spark.read.json(f"{out}/funnel").first().asDict()
+    assert funnel["order"] >= funnel["orderAgain"] >= funnel["chargeCoupon"]
+    assert abs(funnel["orderAgainRate"] - funnel["orderAgain"] / funnel["order"]) < 1e-12
+    lines = spark.read.text(f"{out}/member_export").count()
+    assert 0 < lines <= 1000
