@@ -41,14 +41,15 @@ def get_session(master: str | None = None, app_name: str = "shopgauge",
     for k, v in BASE_CONF.items():
         if k != "spark.ui.enabled":
             spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Only when the session names none (a laptop or a test) is a scratch folder set here.
+    Only when the session names none and runs in local mode (a laptop or a test) is a scratch
+    folder set here; on a cluster a machine-local folder would be lost with its executor, so
+    a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -56,6 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
+                           "object store) for this cluster session")
     path = tempfile.mkdtemp(prefix="shopgauge-ckpt-")
     sc.setCheckpointDir(path)
     os.environ.setdefault("SHOPGAUGE_CHECKPOINT_DIR", path)
