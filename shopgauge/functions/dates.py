@@ -15,32 +15,13 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import DATE_PATTERNS, DAY_FORMAT, WEEK
 from ..sources.tables import spread
 
-# The 23 recognised date styles, in their natural order.
-PATTERNS = [
-    "MM-dd", "yyyy-MM", "yyyy-MM-dd", "MM-dd HH:mm", "MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm", "yyyy-MM-dd HH:mm:ss",
-    "MM/dd", "yyyy/MM", "yyyy/MM/dd", "MM/dd HH:mm", "MM/dd HH:mm:ss",
-    "yyyy/MM/dd HH:mm", "yyyy/MM/dd HH:mm:ss",
-    "MM月dd日", "yyyy年MM月", "yyyy年MM月dd日", "MM月dd日 HH:mm", "MM月dd日 HH:mm:ss",
-    "yyyy年MM月dd日 HH:mm", "yyyy年MM月dd日 HH:mm:ss",
-    "HH:mm", "HH:mm:ss",
-]
-
-# Weekdays as (ISO number, Chinese name, English name, short English name).
-WEEK = [
-    (1, "星期一", "Monday", "Mon."),
-    (2, "星期二", "Tuesday", "Tues."),
-    (3, "星期三", "Wednesday", "Wed."),
-    (4, "星期四", "Thursday", "Thur."),
-    (5, "星期五", "Friday", "Fri."),
-    (6, "星期六", "Saturday", "Sat."),
-    (7, "星期日", "Sunday", "Sun."),
-]
+PATTERNS = DATE_PATTERNS
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
-DAY = "yyyy-MM-dd"
+DAY = DAY_FORMAT
 TIME = "HH:mm:ss"
 
 

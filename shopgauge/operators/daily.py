@@ -11,7 +11,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DAY_FMT = "yyyy-MM-dd"
+from ..fixed import DAY_FORMAT
+
+DAY_FMT = DAY_FORMAT
 
 
 def as_date(value: str | dt.date | dt.datetime) -> dt.date:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The shop data has no page views, clicks or cart adds, so the first three funnel
-# steps are given numbers (1000, 800, 600) unless counts are passed in.
-DEFAULT_TOP_STEPS = {"present": 1000, "click": 800, "addCart": 600}
+from ..fixed import CHARGE_CHANNEL, FUNNEL_TOP_STEPS, PLACED_STATUS
 
+# The shop data has no page views, clicks or cart adds: those steps take given numbers.
+DEFAULT_TOP_STEPS = FUNNEL_TOP_STEPS
 
-def repeat_buyers(order: DataFrame, order_status: int = 2) -> DataFrame:
+
+def repeat_buyers(order: DataFrame, order_status: int = PLACED_STATUS) -> DataFrame:
     """Members with more than one placed order (a NULL member forms one group of its own)."""
     return (order.filter(F.col("order_status") == order_status)
             .groupBy("member_id").agg(F.count("order_id").alias("orderCount"))
@@ -21,8 +22,8 @@ def repeat_buyers(order: DataFrame, order_status: int = 2) -> DataFrame:
 STEPS = ["present", "click", "addCart", "order", "orderAgain", "chargeCoupon"]
 
 
-def funnel_counts(order: DataFrame, coupon_member: DataFrame, order_status: int = 2,
-                  charge_channel: int = 1, top_steps: dict[str, int] | None = None,
+def funnel_counts(order: DataFrame, coupon_member: DataFrame, order_status: int = PLACED_STATUS,
+                  charge_channel: int = CHARGE_CHANNEL, top_steps: dict[str, int] | None = None,
                   with_rates: bool = False) -> DataFrame:
     """One row: present, click, addCart, order, orderAgain, chargeCoupon (all LONG).
 

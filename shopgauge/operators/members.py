@@ -11,8 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the text the member table stores for "missing".
-NULL_TEXT = "null"
+from ..fixed import NULL_TEXT
 
 
 def member_sex(member: DataFrame) -> DataFrame:

@@ -11,12 +11,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import FREE_COUPON_ID, FREE_REMIND_CHANNEL
 from .daily import as_date, daily_counts
 
-# Coupon id of the first-order-free coupon, and the channel its reminders go to.
-FREE_COUPON_ID = 1
-FREE_REMIND_CHANNEL = 2
-
 
 def remind_free_daily(coupon_member: DataFrame, as_of, days: int = 7,
                       time_col: str = "create_time") -> DataFrame:

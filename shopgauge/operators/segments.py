@@ -13,12 +13,9 @@ from typing import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import EXPORT_LINE, PAGE_FROM, PAGE_SIZE
 from ..functions.conditions import compile_conditions
 
-# One request returns at most 1000 members, starting at the first.
-PAGE_SIZE = 1000
-PAGE_FROM = 0
-
 
 def segment_members(tags: DataFrame, conditions: Iterable) -> DataFrame:
     """Every matching member with its score (no page limit)."""
@@ -38,7 +35,7 @@ def segment_select(tags: DataFrame, conditions: Iterable, size: int = PAGE_SIZE,
 def export_lines(selected: DataFrame) -> DataFrame:
     """One text line `[memberId,phone]` per selected member."""
     return selected.select(
-        F.format_string("[%s,%s]", F.col("memberId").cast("string"), F.col("phone"))
+        F.format_string(EXPORT_LINE, F.col("memberId").cast("string"), F.col("phone"))
         .alias("line"))
 
 

@@ -16,11 +16,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import CHARGE_CHANNEL, FREE_COUPON_ID
 from .daily import day_label
 
 MONEY_SUM = "decimal(38,2)"
-FREE_COUPON_ID = 1
-CHARGE_CHANNEL = 1
 
 BASE_COLUMNS = ["memberId", "phone", "sex", "channel", "subOpenId", "address", "regTime"]
 TAG_COLUMNS = BASE_COLUMNS + ["orderCount", "orderTime", "orderMoney", "favGoods",

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import HOT_FIELD_INDEX, HOT_FIELD_SEP, HOT_TOP_N
 from ..sources.tables import spread
 from ..sources.text import delimited_field
 
@@ -24,20 +25,20 @@ def _top(words: DataFrame, n: int) -> DataFrame:
             .limit(n))
 
 
-def field_words(lines: DataFrame, field: int = 2, line_col: str = "line",
-                sep: str = "\t") -> DataFrame:
+def field_words(lines: DataFrame, field: int = HOT_FIELD_INDEX, line_col: str = "line",
+                sep: str = HOT_FIELD_SEP) -> DataFrame:
     word = delimited_field(line_col, field, sep)
     return lines.select(word.alias("word")).filter(F.col("word").isNotNull())
 
 
-def hot_field_top(lines: DataFrame, n: int = 10, field: int = 2, line_col: str = "line",
-                  sep: str = "\t") -> DataFrame:
+def hot_field_top(lines: DataFrame, n: int = HOT_TOP_N, field: int = HOT_FIELD_INDEX,
+                  line_col: str = "line", sep: str = HOT_FIELD_SEP) -> DataFrame:
     """Top `n` values of the `field`-th (0-based) separated field; short lines are skipped."""
     return _top(field_words(lines, field, line_col, sep), n)
 
 
-def hot_field_rejects(lines: DataFrame, field: int = 2, line_col: str = "line",
-                      sep: str = "\t") -> DataFrame:
+def hot_field_rejects(lines: DataFrame, field: int = HOT_FIELD_INDEX, line_col: str = "line",
+                      sep: str = HOT_FIELD_SEP) -> DataFrame:
     """One row: lines read and lines skipped for having too few fields."""
     word = delimited_field(line_col, field, sep)
     return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_if(word.isNull()).alias("rejected"))
@@ -49,6 +50,6 @@ def token_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
             .filter(F.col("word") != ""))
 
 
-def hot_tokens_top(docs: DataFrame, n: int = 10, text_col: str = "text") -> DataFrame:
+def hot_tokens_top(docs: DataFrame, n: int = HOT_TOP_N, text_col: str = "text") -> DataFrame:
     """Top `n` whitespace-separated tokens over the whole text of every document."""
     return _top(token_words(docs, text_col), n)

@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
+from ..fixed import EXPORT_LINE_SEP
 from ..session import ensure_checkpoint_dir
 
 
@@ -33,7 +34,7 @@ def write_tags(tags: DataFrame, path: str | None = None, table: str | None = Non
 
 
 def write_lines(lines: DataFrame, path: str, line_col: str = "line",
-                line_sep: str = "\r\n") -> None:
+                line_sep: str = EXPORT_LINE_SEP) -> None:
     """Write one text line per row (default separator CRLF, as the download format uses)."""
     lines.select(line_col).write.mode("overwrite").option("lineSep", line_sep).text(path)
 
