@@ -63,28 +63,43 @@ def member_heat(member: DataFrame, order: DataFrame, coupon_member: DataFrame,
                      (again, ["order", "orderAgain"])])
 
 
-def _sorted_structs(cols: list[str]) -> Column:
-    return F.sort_array(F.collect_list(F.struct(*cols)))
-
-
 def member_profile_json(member: DataFrame, order: DataFrame, coupon_member: DataFrame) -> DataFrame:
     """The four member reports bundled into one JSON document (one row, column `profile`).
 
-    Each part is a small aggregate (bounded by the number of distinct codes), folded into one
-    array of structs; the parts are combined by `_one_row`, never on the driver.
+    The member table is read once: GROUPING SETS (sex), (channel), () give the per-sex and
+    per-channel counts and the table-wide subscription / phone counts from one aggregate. Order
+    buckets and coupon holders come from their own aggregates; all parts (a few rows, bounded by
+    the number of distinct codes) meet in one global aggregate that builds the document.
     """
-    sexes = member_sex(member).agg(_sorted_structs(["memberSex", "sexCount"]).alias("s"))
-    channels = member_channel(member).agg(
-        _sorted_structs(["memberChannel", "channelCount"]).alias("c"))
-    subs = member_mp_sub(member).select(F.array(F.struct("subCount", "unsubCount")).alias("m"))
-    heat = member_heat(member, order, coupon_member).select(
-        F.struct("reg", "complete", "order", "orderAgain", "coupon").alias("h"))
-    parts = [sexes.withColumn("k", F.lit(0)), channels.withColumn("k", F.lit(1)),
-             subs.withColumn("k", F.lit(2)), heat.withColumn("k", F.lit(3))]
-    combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    bundle = combined.agg(F.first("s", ignorenulls=True).alias("memberSexes"),
-                          F.first("c", ignorenulls=True).alias("memberChannels"),
-                          F.first("m", ignorenulls=True).alias("memberMpSubs"),
-                          F.first("h", ignorenulls=True).alias("memberHeats"))
+    sub, phone = F.col("mp_open_id"), F.col("phone")
+    by_code = (member.groupingSets([["sex"], ["member_channel"], []], "sex", "member_channel")
+               .agg(F.grouping_id().alias("gid"), F.count("id").alias("n"),
+                    F.count_if(sub != NULL_TEXT).alias("subCount"),
+                    F.count_if(sub == NULL_TEXT).alias("unsubCount"),
+                    F.count_if(phone == NULL_TEXT).alias("reg"),
+                    F.count_if(phone != NULL_TEXT).alias("complete")))
+    per_member = order.groupBy("member_id").agg(F.count("order_id").alias("c"))
+    buckets = per_member.agg(F.count_if(F.col("c") == 1).alias("order"),
+                             F.count_if(F.col("c") >= 2).alias("orderAgain"))
+    coupon = coupon_member.agg(F.count_distinct("member_id").alias("coupon"))
+    parts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                   [by_code, buckets, coupon])
+    # grouping_id bits: sex is the high bit, member_channel the low bit (1 = rolled up).
+    by_sex, by_channel, overall = F.col("gid") == 1, F.col("gid") == 2, F.col("gid") == 3
+
+    def total(c: str, where=None) -> Column:
+        return F.max(F.when(where, F.col(c)) if where is not None else F.col(c))
+
+    bundle = parts.agg(
+        F.sort_array(F.collect_list(F.when(by_sex, F.struct(
+            F.col("sex").alias("memberSex"), F.col("n").alias("sexCount"))))).alias("memberSexes"),
+        F.sort_array(F.collect_list(F.when(by_channel, F.struct(
+            F.col("member_channel").alias("memberChannel"), F.col("n").alias("channelCount")))))
+        .alias("memberChannels"),
+        F.array(F.struct(total("subCount", overall).alias("subCount"),
+                         total("unsubCount", overall).alias("unsubCount"))).alias("memberMpSubs"),
+        F.struct(total("reg", overall).alias("reg"), total("complete", overall).alias("complete"),
+                 total("order").alias("order"), total("orderAgain").alias("orderAgain"),
+                 total("coupon").alias("coupon")).alias("memberHeats"))
     return bundle.select(F.to_json(F.struct("memberSexes", "memberChannels", "memberMpSubs",
                                             "memberHeats")).alias("profile"))
