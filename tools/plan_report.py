@@ -39,18 +39,31 @@ def main() -> None:
                         extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     import __spark_entry__ as E
+    from shopgauge.sources.tables import ShopTables
     print(f"# Final plan shapes ({sf}, local[8], AQE on)\n")
     print("Counts are read from the final adaptive plan after one run. `shuffles` counts "
           "hash/range/single-partition exchanges (broadcasts apart); AQE picks broadcast only for "
           "sides it measured under the threshold, so at scale more joins stay sort-merge.\n")
-    print("| query | shuffles | broadcasts | SMJ | BHJ | top-k | window | cartesian | "
+    print("`static` is the shuffle count of the plan built with broadcast joins disabled and AQE "
+          "off, i.e. the shape when every side is large: it counts the exchanges the operators "
+          "themselves need (each aggregation and each join of raw tables); member-keyed join "
+          "chains add none.\n")
+    print("| query | shuffles | static | broadcasts | SMJ | BHJ | top-k | window | cartesian | "
           "pushed time/eq filters |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     for name, fn in E.queries().items():
         df = fn(spark, sf)
         df.collect()
         s = shape(df._jdf.queryExecution().executedPlan().toString())
-        print(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {s['smj']} | {s['bhj']} | "
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        ShopTables.forget()  # rebuild the plans instead of reusing ones already planned
+        static = shape(fn(spark, sf)._jdf.queryExecution().executedPlan().toString())
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        ShopTables.forget()
+        print(f"| {name} | {s['shuffles']} | {static['shuffles']} | {s['broadcasts']} | "
+              f"{s['smj']} | {s['bhj']} | "
               f"{'yes' if s['topk'] else ''} | {'yes' if s['window'] else ''} | "
               f"{'YES' if s['cartesian'] else ''} | {s['pushed']} |", flush=True)
 
