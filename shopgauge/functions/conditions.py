@@ -89,7 +89,9 @@ def _typed(value: Any, dtype: T.DataType, name: str) -> Column:
         elif isinstance(dtype, T.DateType):
             v = dt.date.fromisoformat(str(value).strip())
         elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            v = dt.datetime.fromisoformat(str(value).strip())
+            # Cast from ISO text: no dependence on the Python process's local zone.
+            return F.lit(dt.datetime.fromisoformat(str(value).strip()).isoformat(sep=" ")
+                         ).cast(dtype)
         else:
             v = str(value)
     except (ValueError, decimal.InvalidOperation) as exc:

@@ -25,15 +25,17 @@ def as_date(value: str | dt.date | dt.datetime) -> dt.date:
 
 
 def ts_literal(day: dt.date, like: DataFrame | None = None, column: str | None = None) -> Column:
-    """Midnight of `day` as a literal of the column's own timestamp type (NTZ or LTZ)."""
-    value = dt.datetime(day.year, day.month, day.day)
+    """Midnight of `day` as a literal of the column's own timestamp type (NTZ or LTZ).
+
+    Built from ISO text, so the bound does not depend on the Python process's local zone (an
+    LTZ bound is read in the session zone, as the column's values are).
+    """
+    text = f"{day.isoformat()} 00:00:00"
+    kind = "timestamp"
     if like is not None and column is not None:
-        kind = like.schema[column].dataType.typeName()
-        if kind == "timestamp_ntz":
-            return F.lit(value).cast("timestamp_ntz")
-        if kind == "timestamp":
-            return F.lit(value.isoformat(sep=" ")).cast("timestamp")
-    return F.lit(value)
+        if like.schema[column].dataType.typeName() == "timestamp_ntz":
+            kind = "timestamp_ntz"
+    return F.lit(text).cast(kind)
 
 
 def day_label(ts: str | Column) -> Column:
