@@ -43,20 +43,38 @@ def segment_export(tags: DataFrame, conditions: Iterable, size: int = PAGE_SIZE)
     return export_lines(segment_select(tags, conditions, size))
 
 
-def segment_batch(tags: DataFrame, segments: Mapping[str, Iterable]) -> DataFrame:
-    """segment_id, memberId, phone, score for many segments at once, complete audiences.
+# Segments evaluated per pass over the tag table: bounds the size of one projection so its
+# generated code stays compact however many segments are requested.
+SEGMENTS_PER_PASS = 64
 
-    Each member row is tested against every segment's expression and emits one row per segment
-    it belongs to: a single narrow pass over the tag table, no join and no shuffle.
-    """
+
+def _batch_pass(tags: DataFrame, segments: list[tuple[str, Iterable]]) -> DataFrame:
     hits = []
-    for seg_id, conditions in segments.items():
+    for seg_id, conditions in segments:
         matched, score = compile_conditions(conditions, tags.schema)
         hits.append(F.when(matched, F.struct(F.lit(seg_id).alias("segment_id"),
                                              score.alias("score"))))
-    if not hits:
-        raise ValueError("segment_batch needs at least one segment")
     found = F.filter(F.array(*hits), lambda x: x.isNotNull())
     return (tags.select("memberId", "phone", F.explode(found).alias("hit"))
             .select(F.col("hit.segment_id").alias("segment_id"), "memberId", "phone",
                     F.col("hit.score").alias("score")))
+
+
+def segment_batch(tags: DataFrame, segments: Mapping[str, Iterable],
+                  per_pass: int = SEGMENTS_PER_PASS) -> DataFrame:
+    """segment_id, memberId, phone, score for many segments at once, complete audiences.
+
+    Each member row is tested against every segment's expression and emits one row per segment
+    it belongs to: a narrow pass over the tag table, no join and no shuffle. Segments are taken
+    `per_pass` at a time and the passes are unioned, so thousands of segments cost several
+    column-pruned reads of the tag table (give a written tag table, see `sinks.write_tags`)
+    instead of one oversized expression.
+    """
+    items = list(segments.items())
+    if not items:
+        raise ValueError("segment_batch needs at least one segment")
+    passes = [_batch_pass(tags, items[i:i + per_pass]) for i in range(0, len(items), per_pass)]
+    out = passes[0]
+    for p in passes[1:]:
+        out = out.unionByName(p)
+    return out

@@ -103,3 +103,12 @@ def test_batch_equals_select_without_limit(spark):
 def test_request_body(spark):
     conds = parse_request('{"selectedTags": [{"name": "sex", "value": "M", "type": "match"}]}')
     assert ids(segments.segment_select(_tags(spark), conds)) == [1, 3, 5]
+
+
+def test_batch_in_several_passes_equals_one_pass(spark):
+    df = _tags(spark)
+    segs = {f"s{k}": [("orderCount", str(k % 5), "rangeGte"), ("sex", "F", "notMatch")]
+            for k in range(7)}
+    one = sorted(tuple(r) for r in segments.segment_batch(df, segs).collect())
+    many = sorted(tuple(r) for r in segments.segment_batch(df, segs, per_pass=3).collect())
+    assert one == many and len(one) > 0
