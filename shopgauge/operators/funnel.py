@@ -22,9 +22,22 @@ def repeat_buyers(order: DataFrame, order_status: int = PLACED_STATUS) -> DataFr
 STEPS = ["present", "click", "addCart", "order", "orderAgain", "chargeCoupon"]
 
 
+# Event type counted for each of the first steps when an event table is given (None: no event
+# records that step, so its given number is kept).
+STEP_EVENTS = {"present": "view", "click": "click", "addCart": None}
+
+
+def _event_steps(events: DataFrame, step_events: dict[str, str | None]) -> DataFrame:
+    """One row: distinct users per step event type (one pass over the events)."""
+    return events.agg(*[
+        F.count_distinct(F.when(F.col("event_type") == kind, F.col("user_id"))).alias(step)
+        for step, kind in step_events.items() if kind])
+
+
 def funnel_counts(order: DataFrame, coupon_member: DataFrame, order_status: int = PLACED_STATUS,
                   charge_channel: int = CHARGE_CHANNEL, top_steps: dict[str, int] | None = None,
-                  with_rates: bool = False) -> DataFrame:
+                  with_rates: bool = False, events: DataFrame | None = None,
+                  step_events: dict[str, str | None] | None = None) -> DataFrame:
     """One row: present, click, addCart, order, orderAgain, chargeCoupon (all LONG).
 
     order       = distinct members with a placed order (NULL counts as one value, as a
@@ -53,6 +66,16 @@ def funnel_counts(order: DataFrame, coupon_member: DataFrame, order_status: int
         F.count(F.lit(1)).alias("order"),
         F.count_if(again).alias("orderAgain"),
         F.count_if(again & F.coalesce(F.col("charged"), F.lit(False))).alias("chargeCoupon"))
+    if events is not None:
+        # Replace the given numbers by distinct users per event type: the event row and the
+        # count row are unioned and folded by one global aggregate (no join).
+        from_events = _event_steps(events, step_events or STEP_EVENTS)
+        measured = set(from_events.columns)
+        filler = counts.select(*[F.lit(None).cast("bigint").alias(c) if c in measured
+                                 else F.col(c) for c in STEPS])
+        extra = from_events.select(*[F.col(c) if c in measured
+                                     else F.lit(None).cast("bigint").alias(c) for c in STEPS])
+        counts = filler.unionByName(extra).agg(*[F.max(c).alias(c) for c in STEPS])
     if not with_rates:
         return counts
     # Step-to-step conversion: each step over the one before it (NULL when that one is 0).

@@ -242,3 +242,13 @@ def test_e25_week_compare_zero_previous(spark):
     assert got["2019-11-25"]["wow"] == pytest.approx(1.0)
     assert got["2019-11-29"]["prev_n"] == 0 and got["2019-11-29"]["wow"] is None
     assert got["2019-11-25"]["weekday"] == 1
+
+
+def test_funnel_top_steps_from_events(spark):
+    f = frames(spark, orders=[order(1, 7), order(2, 7)])
+    events = spark.createDataFrame(
+        [(1, 7, "view"), (2, 7, "view"), (3, 8, "view"), (4, 8, "click"), (5, 9, "purchase")],
+        "event_id bigint, user_id bigint, event_type string")
+    got = one(funnel.funnel_counts(f["order"], f["coupon_member"], events=events))
+    assert (got["present"], got["click"], got["addCart"]) == (2, 1, 600)
+    assert (got["order"], got["orderAgain"], got["chargeCoupon"]) == (1, 1, 0)
