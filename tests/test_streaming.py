@@ -26,3 +26,23 @@ def test_stream_free_reminders_match_batch(spark):
     want = {(r.day, r.freeCount) for r in
             daily_counts(free, "create_time", "member_id", "freeCount").collect()}
     assert got == want and len(got) > 0
+
+
+def test_append_sink_emits_only_days_closed_by_the_watermark(spark):
+    folder = tempfile.mkdtemp(prefix="sg-stream-src-")
+    shutil.copy(f"{SF}/events.parquet", os.path.join(folder, "events.parquet"))
+    schema = spark.read.parquet(folder).schema
+    stream = spark.readStream.schema(schema).parquet(folder)
+    out = tempfile.mkdtemp(prefix="sg-stream-out-")
+    name = f"coupon_{uuid.uuid4().hex[:8]}"
+    q = daily.start(daily.remind_coupon_stream(coupon_member_frame(stream)), name,
+                    sink_path=out)
+    q.awaitTermination(180)
+    got = {(r.day, r.couponCount) for r in spark.read.parquet(out).collect()}
+    batch = coupon_member_frame(spark.read.parquet(folder)).filter("coupon_id != 1")
+    want = {(r.day, r.couponCount) for r in
+            daily_counts(batch, "create_time", "member_id", "couponCount").collect()}
+    last = max(d for d, _ in want)
+    # Every emitted day is final and correct; the newest day is still open (watermark 1 day).
+    assert got and got <= want
+    assert all(d < last for d, _ in got)
