@@ -19,6 +19,7 @@ from ..operators import funnel, growth, members, reminders, segments, tags, word
 from ..session import get_session
 from ..sources.sinks import write_lines, write_tags
 from ..sources.tables import ShopTables
+from ..sources.text import read_lines
 from . import params as P
 
 
@@ -52,8 +53,10 @@ def reminders_job(t: ShopTables, out: str, as_of=None, **_) -> None:
     _json(reminders.remind_coupon_daily(t.coupon_member, as_of), f"{out}/remind_coupon")
 
 
-def words_job(t: ShopTables, out: str, **_) -> None:
-    _json(words.hot_field_top(t.lines, 10), f"{out}/hot_field")
+def words_job(t: ShopTables, out: str, lines: str | None = None, **_) -> None:
+    source = read_lines(t.spark, lines) if lines else t.lines
+    _json(words.hot_field_top(source, 10), f"{out}/hot_field")
+    _json(words.hot_field_rejects(source), f"{out}/hot_field_rejects")
     _json(words.hot_tokens_top(t.documents, 10), f"{out}/hot_tokens")
 
 
@@ -83,12 +86,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--data", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--as-of", default=None)
+    ap.add_argument("--lines", default=None,
+                    help="tab-separated text files for the words job (default: the documents)")
     ap.add_argument("--conditions", default=None,
                     help='request body {"selectedTags": [...]} for the segment job')
     args = ap.parse_args(argv)
     params = {}
     if args.as_of:
         params["as_of"] = args.as_of
+    if args.lines:
+        params["lines"] = args.lines
     if args.conditions:
         params["conditions"] = json.loads(args.conditions)["selectedTags"]
     run(get_session(), args.job, args.data, args.out, **params)
