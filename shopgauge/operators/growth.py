@@ -31,27 +31,35 @@ def growth_daily(member: DataFrame, order: DataFrame, as_of, days: int = 7,
     day, regCount (new members that day), memberCount (largest member id that day),
     orderCount (largest order id that day), gmv (money of all orders before the window plus the
     running sum of the daily money). Days are those with both a registration and an order
-    (inner join on day); a day missing on either side is dropped and its money is not added
-    to later totals. No upper bound unless `until` is given.
+    (the inner join of the two daily reports); a day missing on either side is dropped and its
+    money is not added to later totals. No upper bound unless `until` is given.
+
+    One aggregate over member rows and order rows keyed by day (orders before the window in a
+    single PRIOR bucket) replaces the two daily reports, their join and the prior-sum query;
+    the running window then sees one row per kept day.
     """
     as_of = as_date(as_of)
     lower = as_of - dt.timedelta(days=days)
     upper = as_date(until) if until is not None else None
-    regs = (time_window(member, "create_time", lower, upper)
-            .groupBy(day_label("create_time").alias("day"))
-            .agg(F.count("id").alias("regCount"), F.max("id").alias("memberCount")))
-    orders = (time_window(order, "create_time", lower, upper)
-              .groupBy(day_label("create_time").alias("day"))
-              .agg(F.max("order_id").alias("orderCount"),
-                   F.sum("origin_price").cast(MONEY_SUM).alias("day_gmv")))
-    days_df = regs.join(orders, "day", "inner")
-    prior = (order.filter(F.col("create_time") < ts_literal(lower, order, "create_time"))
-             .agg(F.coalesce(F.sum("origin_price"), F.lit(0)).cast(MONEY_SUM).alias("day_gmv"))
-             .select(F.lit(PRIOR).alias("day"), F.lit(None).cast("bigint").alias("regCount"),
-                     F.lit(None).cast("bigint").alias("memberCount"),
-                     F.lit(None).cast("bigint").alias("orderCount"), "day_gmv"))
-    both = days_df.unionByName(prior)
-    return (both.withColumn("gmv", _running("day_gmv").cast("double"))
+    nothing = F.lit(None)
+    regs = time_window(member, "create_time", lower, upper).select(
+        day_label("create_time").alias("day"), F.col("id").alias("mid"),
+        nothing.cast("bigint").alias("oid"), nothing.cast(MONEY_SUM).alias("money"),
+        F.lit(True).alias("is_reg"))
+    in_window = F.col("create_time") >= ts_literal(lower, order, "create_time")
+    orders = time_window(order, "create_time", None, upper).select(
+        F.when(in_window, day_label("create_time")).otherwise(F.lit(PRIOR)).alias("day"),
+        nothing.cast("bigint").alias("mid"), F.col("order_id").alias("oid"),
+        F.col("origin_price").cast(MONEY_SUM).alias("money"), F.lit(False).alias("is_reg"))
+    per_day = (regs.unionByName(orders).groupBy("day")
+               .agg(F.count("mid").alias("regCount"), F.max("mid").alias("memberCount"),
+                    F.max("oid").alias("orderCount"),
+                    F.sum("money").cast(MONEY_SUM).alias("day_gmv"),
+                    F.count_if(F.col("is_reg")).alias("n_reg"),
+                    F.count_if(~F.col("is_reg")).alias("n_order")))
+    kept = per_day.filter((F.col("day") == PRIOR)
+                          | ((F.col("n_reg") > 0) & (F.col("n_order") > 0)))
+    return (kept.withColumn("gmv", F.coalesce(_running("day_gmv"), F.lit(0)).cast("double"))
             .filter(F.col("day") != PRIOR)
             .select("day", "regCount", "memberCount", "orderCount", "gmv")
             .orderBy("day"))
@@ -61,8 +69,9 @@ def growth_calendar(member: DataFrame, order: DataFrame, as_of, days: int = 7) -
     """Every one of the `days` complete days before `as_of`, with true running totals.
 
     regCount = members registered that day; memberCount / orderCount / gmv = members, orders
-    and order money up to the end of that day. Each source is scanned once with the upper bound
-    pushed to the scan; rows before the window fall into a single PRIOR bucket.
+    and order money up to the end of that day. One aggregate over member rows, order rows (both
+    with the upper bound pushed to the scan; rows before the window in a single PRIOR bucket)
+    and the calendar's zero rows; the running window then sees at most `days` + 1 rows.
     """
     as_of = as_date(as_of)
     lower = as_of - dt.timedelta(days=days)
@@ -73,18 +82,15 @@ def growth_calendar(member: DataFrame, order: DataFrame, as_of, days: int = 7) -
                 .otherwise(F.lit(PRIOR)).alias("day"))
 
     zero = F.lit(0).cast("bigint")
-    regs = (time_window(member, "create_time", None, as_of)
-            .groupBy(bucket(member))
-            .agg(F.count("id").alias("reg"))
-            .select("day", "reg", zero.alias("ord"), F.lit(0).cast(MONEY_SUM).alias("money")))
-    orders = (time_window(order, "create_time", None, as_of)
-              .groupBy(bucket(order))
-              .agg(F.count("order_id").alias("ord"),
-                   F.sum("origin_price").cast(MONEY_SUM).alias("money"))
-              .select("day", zero.alias("reg"), "ord", "money"))
+    no_money = F.lit(0).cast(MONEY_SUM)
+    regs = time_window(member, "create_time", None, as_of).select(
+        bucket(member), F.col("id").isNotNull().cast("bigint").alias("reg"), zero.alias("ord"),
+        no_money.alias("money"))
+    orders = time_window(order, "create_time", None, as_of).select(
+        bucket(order), zero.alias("reg"), F.col("order_id").isNotNull().cast("bigint").alias("ord"),
+        F.coalesce(F.col("origin_price").cast(MONEY_SUM), no_money).alias("money"))
     cal = (calendar(member, lower, as_of - dt.timedelta(days=1))
-           .select("day", zero.alias("reg"), zero.alias("ord"),
-                   F.lit(0).cast(MONEY_SUM).alias("money")))
+           .select("day", zero.alias("reg"), zero.alias("ord"), no_money.alias("money")))
     per_day = (regs.unionByName(orders).unionByName(cal)
                .groupBy("day")
                .agg(F.sum("reg").alias("reg"), F.sum("ord").alias("ord"),
