@@ -163,17 +163,52 @@ def tag_latest_feedback(feedback: DataFrame) -> DataFrame:
             .agg(F.max_by("feedback_type", "id").alias("feedBack")))
 
 
-def _wide(base: DataFrame, order_side: DataFrame, free_side: DataFrame, coupon_times: DataFrame,
-          charge: DataFrame, over_time: DataFrame, feedback: DataFrame) -> DataFrame:
+def _coupon_tags(coupon_member: DataFrame, coupon: DataFrame) -> DataFrame:
+    """memberId, freeCouponTime (earliest), free_days, couponTimes, chargeMoney in one pipeline.
+
+    The grant table is read once and its prices looked up once; grants are pre-aggregated per
+    (member, day) on the map side, then one member aggregate gathers at most one entry per
+    distinct day. Same values as `tag_free_coupon_first`, `tag_coupon_times` and
+    `tag_charge_money` (a tag a member has no grant for is NULL).
+    """
+    prices = coupon.select(F.col("id").alias("coupon_id"), "coupon_price")
+    rows = (coupon_member.select("member_id", "coupon_id", "coupon_channel", "create_time")
+            .join(prices, "coupon_id", "left"))
+    free = F.col("coupon_id") == FREE_COUPON_ID
+    voucher = F.col("coupon_id") != FREE_COUPON_ID
+    charged = F.col("coupon_channel") != CHARGE_CHANNEL
+    per_day = (rows.groupBy("member_id", day_label("create_time").alias("day"))
+               .agg(F.count_if(free).alias("n_free"), F.count_if(voucher).alias("n_voucher"),
+                    F.min(F.when(free, F.col("create_time"))).alias("first_free"),
+                    F.sum(F.when(charged, F.col("coupon_price"))).alias("charge")))
+    has_voucher_day = (F.col("n_voucher") > 0) & F.col("day").isNotNull()
+    per_member = (per_day.groupBy(F.col("member_id").alias("memberId"))
+                  .agg(day_label(F.min("first_free")).alias("freeCouponTime"),
+                       F.sort_array(F.collect_list(F.when(F.col("n_free") > 0, F.struct(
+                           F.col("day"), F.col("n_free").alias("n"))))).alias("free_days"),
+                       F.sort_array(F.collect_list(F.when(has_voucher_day, F.struct(
+                           F.col("day"), F.col("n_voucher").alias("n"))))).alias("voucher_days"),
+                       (F.sum("charge").cast(MONEY_SUM).cast("double") / 2).alias("chargeMoney")))
+    repeat_days = F.flatten(F.transform(
+        "voucher_days", lambda x: F.array_repeat(x["day"], x["n"].cast("int"))))
+    return per_member.select(
+        "memberId", "freeCouponTime", "free_days",
+        F.when(F.size("voucher_days") > 0, repeat_days).alias("couponTimes"), "chargeMoney")
+
+
+def _wide(base: DataFrame, order_side: DataFrame, coupon_side: DataFrame,
+          over_time: DataFrame, feedback: DataFrame, literal: bool) -> DataFrame:
     joined = base
-    for side in (order_side, free_side, coupon_times, charge, over_time, feedback):
+    for side in (order_side, coupon_side, over_time, feedback):
         joined = joined.join(side, "memberId", "left")
-    if "n" in free_side.columns:
-        # Re-expand one row per grant only after the last join: the joins see at most one
-        # row per member and day, and the repeats are generated in place, not shuffled.
-        joined = joined.withColumn(
-            "_rep", F.explode(F.array_repeat(F.lit(True),
-                                             F.coalesce(F.col("n"), F.lit(1)).cast("int"))))
+    if literal:
+        # One row per free-coupon grant (one row when the member has none), re-expanded only
+        # after the last join: the joins see one row per member, the repeats are generated in
+        # place and never shuffled.
+        joined = (joined.withColumn("_free", F.explode_outer("free_days"))
+                  .withColumn("freeCouponTime", F.col("_free.day"))
+                  .withColumn("_rep", F.explode(F.array_repeat(
+                      F.lit(True), F.coalesce(F.col("_free.n"), F.lit(1)).cast("int")))))
     return joined.select(*TAG_COLUMNS)
 
 
@@ -183,9 +218,8 @@ def user_tags_literal(member: DataFrame, order: DataFrame, order_commodity: Data
     """The wide tag table exactly as the tag job joins it: line fan-out in the order tags and one
     row per free-coupon grant (members with several grants repeat)."""
     return _wide(tag_member_base(member), tag_order_behavior(order, order_commodity),
-                 tag_free_coupon_days(coupon_member), tag_coupon_times(coupon_member),
-                 tag_charge_money(coupon_member, coupon), tag_over_time(delivery),
-                 tag_latest_feedback(feedback))
+                 _coupon_tags(coupon_member, coupon), tag_over_time(delivery),
+                 tag_latest_feedback(feedback), literal=True)
 
 
 def user_tags(member: DataFrame, order: DataFrame, order_commodity: DataFrame,
@@ -194,6 +228,5 @@ def user_tags(member: DataFrame, order: DataFrame, order_commodity: DataFrame,
     """The wide tag table with one row per member: order-level counts and money, and the
     earliest free-coupon day."""
     return _wide(tag_member_base(member), tag_order_behavior_exact(order, order_commodity),
-                 tag_free_coupon_first(coupon_member), tag_coupon_times(coupon_member),
-                 tag_charge_money(coupon_member, coupon), tag_over_time(delivery),
-                 tag_latest_feedback(feedback))
+                 _coupon_tags(coupon_member, coupon), tag_over_time(delivery),
+                 tag_latest_feedback(feedback), literal=False)
