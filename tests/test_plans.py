@@ -51,3 +51,23 @@ def test_order_goods_deduplicated_before_collect(spark):
     text = plan(spark, "tag_order_behavior_exact")
     # (member, commodity) pairs are de-duplicated by a hash aggregate before collect_list.
     assert "HashAggregate(keys=[member_id" in text and "collect_list" in text
+
+
+def test_user_tags_static_shape_when_every_side_is_large(spark):
+    """With no broadcast and no AQE (the shape at scale): each exchange belongs to an aggregate
+    or a raw-table join, the member-keyed join chain adds none, the event table is read twice."""
+    from shopgauge.operators import tags
+    from shopgauge.sources.tables import ShopTables
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        t = ShopTables(spark, SF)
+        df = tags.user_tags(t.member, t.order, t.order_commodity, t.coupon_member, t.coupon,
+                            t.delivery, t.feedback)
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert text.count("Exchange hashpartitioning") <= 14
+    assert text.count("events.parquet") <= 2
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
