@@ -45,3 +45,28 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == spark.read.parquet(f"{E.SMOKE_DIR}/customer.parquet").count()
     assert len(df.columns) == 16
+
+
+@pytest.mark.parametrize("name", ["user_tags", "user_tags_literal", "tag_order_behavior",
+                                  "funnel_counts", "tag_charge_money", "segment_batch"])
+def test_shuffle_join_path_matches_oracle(spark, duck, name):
+    """The plan shape at scale: no join may become a broadcast."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        from shopgauge.sources.tables import ShopTables
+        ShopTables.forget()
+        df = E.queries()[name](spark, SF)
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+        s_rows = sorted((norm(tuple(r[c] for c in sorted(df.columns))) for r in df.collect()),
+                        key=rows_key)
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+        ShopTables.forget()
+    res = duck.execute(E.oracle_sql()[name])
+    d_cols = [c[0] for c in res.description]
+    order = sorted(range(len(d_cols)), key=lambda i: d_cols[i])
+    d_rows = sorted((norm(tuple(r[i] for i in order)) for r in res.fetchall()), key=rows_key)
+    assert s_rows == d_rows
