@@ -1,6 +1,5 @@
 """Date text functions: explicit styles, reformatting, every shift unit, parts."""
 
-
 from shopgauge.functions import dates as D
 
 
