@@ -24,6 +24,10 @@ HOT_FIELD_INDEX = 2
 HOT_FIELD_SEP = "\t"
 HOT_TOP_N = 10
 
+# Hot tokens: a token is a maximal run of non-whitespace; whitespace is space, tab, newline,
+# vertical tab, form feed and carriage return.
+WHITESPACE = r"[ \t\n\x0B\f\r]+"
+
 # Audience page: first row and page size of one request; export line format and separator.
 PAGE_FROM = 0
 PAGE_SIZE = 1000

@@ -10,14 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed import HOT_FIELD_INDEX, HOT_FIELD_SEP, HOT_TOP_N
+from ..fixed import HOT_FIELD_INDEX, HOT_FIELD_SEP, HOT_TOP_N, WHITESPACE
 from ..sources.tables import spread
 from ..sources.text import delimited_field
 
-# Fixed value: the characters a whitespace split breaks on (space, tab, newline, vertical tab,
-# form feed, carriage return).
-WHITESPACE = r"[ \t\n\x0B\f\r]+"
-
 
 def _top(words: DataFrame, n: int) -> DataFrame:
     return (words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
