@@ -20,8 +20,10 @@ def shape(plan: str) -> dict:
                      for f in re.findall(r"(GreaterThanOrEqual|LessThan|EqualTo|In)\((\w+)", grp)
                      for f in [f"{f[0]}({f[1]})"]})
     return {
-        "shuffles": len(re.findall(r"\bExchange hashpartitioning|Exchange SinglePartition|"
-                                   r"Exchange rangepartitioning|Exchange RoundRobin", plan)),
+        # A reused exchange repeats the text of the one it reads: count it once.
+        "shuffles": sum(1 for line in plan.splitlines() if "ReusedExchange" not in line and
+                        re.search(r"\bExchange (hashpartitioning|SinglePartition|"
+                                  r"rangepartitioning|RoundRobin)", line)),
         "broadcasts": plan.count("BroadcastExchange"),
         "smj": plan.count("SortMergeJoin"),
         "bhj": plan.count("BroadcastHashJoin"),
