@@ -60,7 +60,9 @@ def main() -> None:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         ShopTables.forget()  # rebuild the plans instead of reusing ones already planned
-        static = shape(fn(spark, sf)._jdf.queryExecution().executedPlan().toString())
+        static_df = fn(spark, sf)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # the entry point turns it on
+        static = shape(static_df._jdf.queryExecution().executedPlan().toString())
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         ShopTables.forget()
