@@ -28,7 +28,9 @@ def _json(df, path: str) -> None:
 
 
 def members_job(t: ShopTables, out: str, **_) -> None:
-    _json(members.member_profile_json(t.member, t.order, t.coupon_member), f"{out}/member_profile")
+    # The profile is already one JSON document: write it as text, not wrapped in a record.
+    profile = members.member_profile_json(t.member, t.order, t.coupon_member)
+    profile.write.mode("overwrite").text(f"{out}/member_profile")
 
 
 def funnel_job(t: ShopTables, out: str, **_) -> None:

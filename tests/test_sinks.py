@@ -70,3 +70,14 @@ def test_jobs_write_reports(spark):
     assert abs(funnel["orderAgainRate"] - funnel["orderAgain"] / funnel["order"]) < 1e-12
     lines = spark.read.text(f"{out}/member_export").count()
     assert 0 < lines <= 1000
+
+
+def test_members_job_writes_the_profile_document(spark):
+    import json
+    from shopgauge.plans import jobs
+    out = tempfile.mkdtemp(prefix="sg-jobs-")
+    jobs.run(spark, "members", SF, out)
+    doc = json.loads(spark.read.text(f"{out}/member_profile").first()[0])
+    assert set(doc) == {"memberSexes", "memberChannels", "memberMpSubs", "memberHeats"}
+    assert sum(x["sexCount"] for x in doc["memberSexes"]) == spark.read.parquet(
+        f"{SF}/customer.parquet").count()
