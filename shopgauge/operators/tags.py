@@ -71,22 +71,20 @@ def tag_order_behavior(order: DataFrame, order_commodity: DataFrame) -> DataFram
     order with k lines counts k times in orderCount and orderMoney (an order with no line counts
     once). orderTime = day of the last order; favGoods = distinct goods ([] if none).
 
-    The fan-out is not materialised. Lines are hash-partitioned by order once and counted per
-    (order, commodity) in place; that one exchange feeds both the per-order line count k (each
-    order row carries its weight k into the member aggregate) and the distinct goods, so the
-    line table is read and shuffled once.
+    The fan-out is not materialised: lines are counted per order with map-side partial counts
+    (an order holding a third of all lines costs one row per map task), and each order row
+    carries its weight k into the member aggregate. The goods come from an inner equi-join of
+    orders and lines, whose hot order ids AQE's skew join splits. (Repartitioning the raw lines
+    by order once and reusing that exchange for both would read them once, but would send every
+    line of a hot order to a single task, so it is not done.)
     """
-    pairs = (order_commodity.select("order_id", "commodity_id").repartition("order_id")
-             .groupBy("order_id", "commodity_id").agg(F.count(F.lit(1)).alias("c")))
-    line_counts = pairs.groupBy("order_id").agg(F.sum("c").alias("k"))
-    o = order.select("order_id", "member_id", "create_time", "pay_price")
-    weighted = (o.join(line_counts, "order_id", "left")
+    line_counts = (order_commodity.groupBy("order_id")
+                   .agg(F.count(F.lit(1)).alias("k")))
+    weighted = (order.join(line_counts, "order_id", "left")
                 .select("member_id", "order_id", "create_time",
                         F.coalesce(F.col("k"), F.lit(1)).alias("w"),
                         (F.col("pay_price") * F.coalesce(F.col("k"), F.lit(1))).alias("money")))
-    # NULL commodities pass through here and are dropped by the collect.
-    goods = o.join(pairs, "order_id", "inner").select("member_id", "commodity_id").distinct()
-    return _order_tags(weighted, goods)
+    return _order_tags(weighted, _member_goods(order, order_commodity))
 
 
 def tag_order_behavior_exact(order: DataFrame, order_commodity: DataFrame) -> DataFrame:

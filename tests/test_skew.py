@@ -65,3 +65,25 @@ def test_hot_member_funnel_and_literal_counts(spark):
     free = grants.filter("coupon_id = 1").groupBy("member_id").count()
     extra = free.agg(F.sum(F.col("count") - 1)).first()[0]
     assert lit.count() == t.member.count() + extra
+
+
+def test_hot_order_literal_counts_match_direct_sql(spark):
+    """One order holding a third of all lines: the literal fan-out counts stay exact and the
+    line counts are combined before the shuffle (no raw repartition of the lines)."""
+    t = ShopTables(spark, SF)
+    hot_order = t.order.agg(F.min("order_id")).first()[0]
+    lines = t.order_commodity.withColumn(
+        "order_id", F.when(F.col("commodity_id") % 3 == 0, F.lit(hot_order))
+        .otherwise(F.col("order_id")))
+    ours = tags.tag_order_behavior(t.order, lines)
+    t.order.createOrReplaceTempView("hot_o")
+    lines.createOrReplaceTempView("hot_oc")
+    direct = spark.sql("""
+        SELECT o.member_id AS memberId, count(o.order_id) AS orderCount,
+               date_format(max(o.create_time), 'yyyy-MM-dd') AS orderTime,
+               CAST(sum(o.pay_price) AS DOUBLE) AS orderMoney,
+               sort_array(collect_set(oc.commodity_id)) AS favGoods
+        FROM hot_o o LEFT JOIN hot_oc oc ON o.order_id = oc.order_id GROUP BY o.member_id""")
+    assert ours.exceptAll(direct).count() == 0 and direct.exceptAll(ours).count() == 0
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" not in plan
