@@ -70,6 +70,36 @@ def main() -> None:
               f"{s['smj']} | {s['bhj']} | "
               f"{'yes' if s['topk'] else ''} | {'yes' if s['window'] else ''} | "
               f"{'YES' if s['cartesian'] else ''} | {s['pushed']} |", flush=True)
+    print("\n## user_tags, static plan when every side is large\n")
+    print("Every exchange belongs to an aggregation or to a join of raw tables; the member-keyed "
+          "left joins of the wide table meet sides already hash-partitioned on the member key.\n")
+    print("```")
+    for line in skeleton(spark, E.queries()["user_tags"], sf):
+        print(line)
+    print("```")
+
+
+def skeleton(spark, fn, sf: str) -> list[str]:
+    """Exchange / join / aggregate / scan lines of the static (no broadcast, no AQE) plan."""
+    from shopgauge.sources.tables import ShopTables
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    ShopTables.forget()
+    df = fn(spark, sf)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    text = df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    ShopTables.forget()
+    keep = ("Exchange", "Join", "Aggregate", "FileScan", "Union", "Window", "Expand")
+    out = []
+    for line in text.splitlines():
+        if any(k in line for k in keep):
+            line = re.sub(r"#\d+L?", "", line)
+            line = re.sub(r", \[plan_id=\d+\]", "", line)
+            line = re.sub(r"(FileScan parquet \[[^\]]*\]).*?Location: [^\[]*\[file:[^\]]*/([^/\]]+)\].*",
+                          r"\1 \2", line)
+            out.append(line[:150])
+    return out
 
 
 if __name__ == "__main__":
