@@ -117,7 +117,9 @@ class ShopTables:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "ShopTables":
-        key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+        # The JVM session identifies a classic session; a Connect session has none, so the
+        # session object itself is the key (the cache holds it, so its id cannot be reused).
+        key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir.rstrip("/"))
         if key not in cls._shared:
             cls._shared[key] = cls(spark, sf_dir)
         return cls._shared[key]
@@ -180,7 +182,11 @@ def spread(df: DataFrame) -> DataFrame:
     the scan already has more splits than slots and the frame is returned unchanged, so no
     shuffle is added where it would cost more than it gains.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()  # plans the scan; runs no job
+    except Exception:  # e.g. a Spark Connect session: no partition count, leave as is
+        return df
+    if parts >= slots:
         return df
     return df.repartition(slots)
