@@ -70,3 +70,20 @@ def test_shuffle_join_path_matches_oracle(spark, duck, name):
     order = sorted(range(len(d_cols)), key=lambda i: d_cols[i])
     d_rows = sorted((norm(tuple(r[i] for i in order)) for r in res.fetchall()), key=rows_key)
     assert s_rows == d_rows
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "array<bigint>": "BIGINT[]", "array<string>": "VARCHAR[]"}
+
+
+def test_column_types_match_oracle(spark, duck):
+    bad = {}
+    for name, fn in E.queries().items():
+        spark_types = {f.name: f.dataType.simpleString() for f in fn(spark, SF).schema.fields}
+        duck_types = {c[0]: str(c[1])
+                      for c in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+        diff = {c: (t, duck_types.get(c)) for c, t in spark_types.items()
+                if SPARK_TO_DUCK.get(t, t) != duck_types.get(c)}
+        if diff:
+            bad[name] = diff
+    assert not bad
