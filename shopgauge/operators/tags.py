@@ -20,6 +20,8 @@ from ..fixed import CHARGE_CHANNEL, FREE_COUPON_ID
 from .daily import day_label
 
 MONEY_SUM = "decimal(38,2)"
+# Largest number of repeated rows generated from one array in the literal wide table.
+REPEAT_CHUNK = 4096
 
 BASE_COLUMNS = ["memberId", "phone", "sex", "channel", "subOpenId", "address", "regTime"]
 TAG_COLUMNS = BASE_COLUMNS + ["orderCount", "orderTime", "orderMoney", "favGoods",
@@ -208,11 +210,16 @@ def _wide(base: DataFrame, order_side: DataFrame, coupon_side: DataFrame,
     if literal:
         # One row per free-coupon grant (one row when the member has none), re-expanded only
         # after the last join: the joins see one row per member, the repeats are generated in
-        # place and never shuffled.
+        # place and never shuffled. The expansion runs in two bounded steps (chunk ids, then at
+        # most REPEAT_CHUNK copies each), so no array ever holds a hot member's whole count.
+        n = F.coalesce(F.col("_free.n"), F.lit(1)).cast("long")
+        chunk = F.lit(REPEAT_CHUNK).cast("long")
         joined = (joined.withColumn("_free", F.explode_outer("free_days"))
                   .withColumn("freeCouponTime", F.col("_free.day"))
+                  .withColumn("_chunk", F.explode(F.sequence(
+                      F.lit(0).cast("long"), F.floor((n - 1) / chunk).cast("long"))))
                   .withColumn("_rep", F.explode(F.array_repeat(
-                      F.lit(True), F.coalesce(F.col("_free.n"), F.lit(1)).cast("int")))))
+                      F.lit(True), F.least(chunk, n - F.col("_chunk") * chunk).cast("int")))))
     return joined.select(*TAG_COLUMNS)
 
 

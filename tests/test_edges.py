@@ -252,3 +252,13 @@ def test_funnel_top_steps_from_events(spark):
     got = one(funnel.funnel_counts(f["order"], f["coupon_member"], events=events))
     assert (got["present"], got["click"], got["addCart"]) == (2, 1, 600)
     assert (got["order"], got["orderAgain"], got["chargeCoupon"]) == (1, 1, 0)
+
+
+def test_literal_repeats_expand_in_bounded_chunks(spark, monkeypatch):
+    monkeypatch.setattr(tags, "REPEAT_CHUNK", 3)
+    grants = [(1, 1, 2, ts("2019-11-02"))] * 7 + [(1, 1, 2, ts("2019-11-03"))] * 3
+    f = frames(spark, members=[member(1), member(2)], grants=grants)
+    rows = tags.user_tags_literal(*_wide_args(f)).collect()
+    days = sorted(r.freeCouponTime for r in rows if r.memberId == 1)
+    assert days == ["2019-11-02"] * 7 + ["2019-11-03"] * 3
+    assert [r.freeCouponTime for r in rows if r.memberId == 2] == [None]
