@@ -1,5 +1,5 @@
 """Audience segments over the wide tag table: select one segment (best score first, a fixed
-page), export it as text lines, or evaluate many segments in one pass.
+page), export it as text lines, or evaluate many segments together (in bounded narrow passes).
 
 Every operation here is row-local on the tag table (one row per member): a segment is a filter
 and a score expression, so selecting, exporting and batching need no shuffle; the page of a
