@@ -5,13 +5,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, quality
-from .common import table
+from . import mixing, packing, quality, token_counts, token_files, warc
+from .common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the public vocabulary file of this name lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_token_files(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+        scratch(spark, "tokens"))
+    return token_files.read_token_files(spark, manifest)
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = warc.write_warcs(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
+    read = warc.read_warcs(made, payload=False).filter("kind = 'record'")
+    return read.select(
+        F.col("headers")["Page-ID"].cast("long").alias("page_id"), "payload_bytes",
+        F.col("payload_sha256").alias("payload_digest"), F.col("warc_type").alias("record_type"),
+        F.col("headers")["Refers-To-Page-ID"].cast("long").alias("refers_to"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"),
+                                     tokenizer_path("piece_bpe_32k.model"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -21,7 +54,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_token_files": op5_token_files,
+    "op7_warc": op7_warc,
     "op8_mix_sources": op8_mix_sources,
+    "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
 
@@ -114,7 +151,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM (SELECT *, n_words < 10 OR n_repeat_words * 100 > n_words * 20 AS base_failed FROM base)
 """
 
+_OP7 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest,
+         strlen(coalesce(html, ''))::BIGINT AS payload_bytes
+  FROM pages
+), g AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM g
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op7_warc": _OP7,
     "op8_mix_sources": _OP8,
     "op10_quality_rules": _OP10,
 }
