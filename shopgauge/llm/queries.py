@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, token_counts, token_files, warc
+from . import (
+    language,
+    mixing,
+    near_text,
+    packing,
+    quality,
+    token_counts,
+    token_files,
+    vectors,
+    warc,
+)
 from .common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +30,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_text.near_documents(table(spark, sf_dir, "documents"), size=2, least=0.8)
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn(docs))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -31,6 +50,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, manifest)
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = warc.write_warcs(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
     read = warc.read_warcs(made, payload=False).filter("kind = 'record'")
@@ -54,8 +77,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_near_documents": op2_near_documents,
+    "op3_language": op3_language,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_token_files": op5_token_files,
+    "op6_near_vectors": op6_near_vectors,
     "op7_warc": op7_warc,
     "op8_mix_sources": op8_mix_sources,
     "op9_token_counts": op9_token_counts,
