@@ -21,6 +21,8 @@ column of its input on.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,36 +53,45 @@ BOILERPLATE = [
 _WS = r"[\x20\x09-\x0D]"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, also where the body uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _window_hashes(found: Column) -> Column:
     """One 64-bit hash for each 5-word window, in order."""
-    def window(word: Column, i: Column) -> Column:
-        return F.xxhash64(word, *[F.get(found, i + k) for k in range(1, WINDOW)])
+    return _let(found, lambda ws: F.slice(
+        F.transform(ws, lambda word, i: F.xxhash64(
+            word, *[F.get(ws, i + k) for k in range(1, WINDOW)])),
+        F.lit(1), F.greatest(F.size(ws) - (WINDOW - 1), F.lit(0))))
 
-    return F.slice(F.transform(found, window), F.lit(1),
-                   F.greatest(F.size(found) - (WINDOW - 1), F.lit(0)))
 
+def _repeat_starts(hashes: Column) -> Column:
+    """Sorted positions of the windows whose hash occurs twice or more; null if none does.
+
+    Distinct hashes prove distinct windows, so most texts end at that test; the others sort
+    (hash, position) and compare neighbours.
+    """
+    def paired(order: Column) -> Column:
+        found = F.transform(order, lambda x, i: F.when(
+            (x["h"] == F.get(order, i - 1)["h"]) | (x["h"] == F.get(order, i + 1)["h"]),
+            x["at"]))
+        return F.sort_array(F.filter(found, lambda p: p.isNotNull()))
 
-def _by_hash(hashes: Column) -> Column:
-    """(hash, position) sorted, for texts in which a hash occurs twice; null for the others."""
     return F.when(
         F.size(F.array_distinct(hashes)) < F.size(hashes),
-        F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("at")))))
-
-
-def _repeat_starts(order: Column) -> Column:
-    """Sorted positions of the windows whose hash equals that of a neighbour in ``order``."""
-    def paired(x: Column, i: Column) -> Column:
-        return F.when((x["h"] == F.get(order, i - 1)["h"]) | (x["h"] == F.get(order, i + 1)["h"]),
-                      x["at"])
-
-    return F.sort_array(F.filter(F.transform(order, paired), lambda p: p.isNotNull()))
+        _let(F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"),
+                                                                    i.alias("at")))), paired))
 
 
 def _span_words(starts: Column) -> Column:
     """Length of the union of the windows that begin at these sorted positions."""
-    steps = F.transform(starts, lambda p, i: F.least(
-        F.lit(WINDOW), F.coalesce(F.get(starts, i + 1) - p, F.lit(WINDOW))))
-    return F.coalesce(F.aggregate(steps, F.lit(0), lambda total, n: total + n), F.lit(0))
+    def total(at: Column) -> Column:
+        steps = F.transform(at, lambda p, i: F.least(
+            F.lit(WINDOW), F.coalesce(F.get(at, i + 1) - p, F.lit(WINDOW))))
+        return F.aggregate(steps, F.lit(0), lambda n, step: n + step)
+
+    return F.coalesce(_let(starts, total), F.lit(0))
 
 
 def line_fails(line: Column, label_words: int = 3) -> Column:
@@ -107,9 +118,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, keep_share: float,
         "_kept_lines": F.filter("_lines", lambda x: ~line_fails(x)),
         "_glued": F.array_join("_words", ""),
     })
-    # Columns of their own: an expression named inside a lambda would be evaluated per element.
-    step = step.withColumn("_order", _by_hash(F.col("_hashes")))
-    step = step.withColumn("_starts", _repeat_starts(F.col("_order")))
+    step = step.withColumn("_starts", _repeat_starts(F.col("_hashes")))
     step = step.withColumns({
         "n_words": F.size("_words").cast("long"),
         "word_chars": F.length("_glued").cast("long"),
@@ -120,6 +129,9 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, keep_share: float,
         "n_lines": F.size("_lines").cast("long"),
         "n_lines_removed": (F.size("_lines") - F.size("_kept_lines")).cast("long"),
         "text_clean": F.array_join("_kept_lines", "\n"),
+        # Keeps a later filter on the verdict above this projection: pushed below it, the filter
+        # would evaluate everything a second time.
+        "_above": F.monotonically_increasing_id(),
     })
     step = step.withColumn("n_words_left", F.when(
         F.col("n_lines_removed") == 0, F.col("n_words"))
@@ -156,4 +168,4 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             old = F.when(changed, F.length("text_clean").cast(docs.schema[c].dataType)) \
                 .otherwise(old)
         out.append(old.alias(c))
-    return judged.filter("kept").select(*out)
+    return judged.filter("kept and _above >= 0").select(*out)

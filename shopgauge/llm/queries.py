@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     language,
+    licenses,
     mixing,
     near_text,
     packing,
@@ -30,6 +31,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.train(docs))
+
+
 def op2_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_text.near_documents(table(spark, sf_dir, "documents"), size=2, least=0.8)
 
@@ -77,6 +83,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_licenses": op1_licenses,
     "op2_near_documents": op2_near_documents,
     "op3_language": op3_language,
     "op4_best_fit_packing": op4_best_fit_packing,
