@@ -28,9 +28,7 @@ HOT_TOP_N = 10
 # vertical tab, form feed and carriage return.
 WHITESPACE = r"[ \t\n\x0B\f\r]+"
 
-# Audience page: first row and page size of one request; export line format and separator.
-PAGE_FROM = 0
-PAGE_SIZE = 1000
+# Audience export: line format and separator.
 EXPORT_LINE = "[%s,%s]"
 EXPORT_LINE_SEP = "\r\n"
 

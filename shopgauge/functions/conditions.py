@@ -3,7 +3,8 @@
 A condition is `{"name": tag column, "value": text, "type": kind}`; kinds:
   match      (should)    tag equals value; on an array tag, any element equals it
   notMatch   (must not)  the negation of match; a member without the tag is kept
-  rangeBoth  (should)    lo <= tag <= hi; bounds as "lo"/"hi" keys, a [lo, hi] pair, or "lo-hi"
+  rangeBoth  (should)    lo <= tag <= hi; bounds as "lo"/"hi" keys (one may be missing), a
+             [lo, hi] pair, or "lo-hi"
   rangeGte   (should)    tag >= value
   rangeLte   (should)    tag <= value
   exists     (should)    tag is present (not NULL; an array must be non-empty)
@@ -23,7 +24,7 @@ import json
 from dataclasses import dataclass
 from typing import Any, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,29 +41,36 @@ class Condition:
     lo: Any = None
     hi: Any = None
 
+    def __post_init__(self) -> None:
+        if self.type not in KINDS:
+            raise ValueError(f"unknown condition type {self.type!r} (expected one of {KINDS})")
+        if self.type in ("match", "notMatch", "rangeGte", "rangeLte") and self.value is None:
+            raise ValueError(f"{self.type} on {self.name!r} needs a value")
+
     @staticmethod
     def of(obj: "Condition | Mapping[str, Any] | tuple") -> "Condition":
         if isinstance(obj, Condition):
             return obj
         if isinstance(obj, tuple):
             obj = dict(zip(("name", "value", "type"), obj))
-        kind = obj.get("type")
-        if kind not in KINDS:
-            raise ValueError(f"unknown condition type {kind!r} (expected one of {KINDS})")
-        return Condition(name=obj["name"], type=kind, value=obj.get("value"),
+        return Condition(name=obj["name"], type=obj.get("type"), value=obj.get("value"),
                          lo=obj.get("lo"), hi=obj.get("hi"))
 
 
 def parse_request(body: str | Mapping[str, Any]) -> list[Condition]:
-    """Conditions from a request body `{"selectedTags": [{name, value, type}, ...]}`."""
+    """Conditions from a request body `{"selectedTags": [{name, value, type}, ...]}`; the key must
+    be there (an empty list means everyone, a missing one is a mistake)."""
     data = json.loads(body) if isinstance(body, str) else body
-    return [Condition.of(c) for c in data.get("selectedTags", [])]
+    if not isinstance(data, Mapping) or not isinstance(data.get("selectedTags"), list):
+        raise ValueError("a request body needs a list of conditions under 'selectedTags'")
+    return [Condition.of(c) for c in data["selectedTags"]]
 
 
 def _range_bounds(c: Condition) -> tuple[Any, Any]:
     if c.lo is not None or c.hi is not None:
         return c.lo, c.hi
-    if isinstance(c.value, (list, tuple)) and len(c.value) == 2:
+    if isinstance(c.value, (list, tuple)) and len(c.value) == 2 and any(
+            v is not None for v in c.value):
         return c.value[0], c.value[1]
     if isinstance(c.value, str):
         parts = c.value.split("-")
@@ -116,8 +124,15 @@ def _leaf(c: Condition, schema: T.StructType) -> Column:
         leaf = F.array_contains(col, v) if is_array else (col == v)
     elif c.type == "rangeBoth":
         lo, hi = _range_bounds(c)
-        lo_v, hi_v = _typed(lo, elem, c.name), _typed(hi, elem, c.name)
-        leaf = test(lambda x: (x >= lo_v) & (x <= hi_v))
+        # One bound alone is a one-sided range.
+        lo_v = None if lo is None else _typed(lo, elem, c.name)
+        hi_v = None if hi is None else _typed(hi, elem, c.name)
+        if lo_v is None:
+            leaf = test(lambda x: x <= hi_v)
+        elif hi_v is None:
+            leaf = test(lambda x: x >= lo_v)
+        else:
+            leaf = test(lambda x: (x >= lo_v) & (x <= hi_v))
     elif c.type == "rangeGte":
         v = _typed(c.value, elem, c.name)
         leaf = test(lambda x: x >= v)
@@ -150,7 +165,3 @@ def _any(cols: list[Column]) -> Column:
     for c in cols[1:]:
         out = out | c
     return out
-
-
-def condition_columns(df: DataFrame, conditions: Iterable) -> tuple[Column, Column]:
-    return compile_conditions(conditions, df.schema)

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import DATE_PATTERNS, DAY_FORMAT, WEEK
-from ..sources.tables import spread
 
 PATTERNS = DATE_PATTERNS
 
@@ -189,22 +188,26 @@ def weekday_short(ts: str | Column) -> Column:
 
 # D23
 def interval_days(a: str | Column, b: str | Column) -> Column:
-    """Whole calendar days between two dates/timestamps, never negative."""
-    return F.abs(F.datediff(F.to_date(_col(a)), F.to_date(_col(b))))
+    """Whole calendar days between two dates, timestamps or date texts of any style, never
+    negative; NULL where a side is NULL or a text fits no style."""
+    return F.abs(F.datediff(F.to_date(_moment(a)), F.to_date(_moment(b))))
+
+
+def _moment(c: str | Column) -> Column:
+    """A date or timestamp as it is, a text parsed in its style (the test is constant-folded)."""
+    c = _col(c)
+    return F.when(F.typeof(c) == "string", parse_date(c.cast("string"))).otherwise(
+        c.try_cast("timestamp"))
 
 
 # ---------------------------------------------------------------------------------------------
 # Reports over a frame with a date-text column `txt`.
 
 def styled_event_dates(events: DataFrame) -> DataFrame:
-    """event_id, txt: each event time written in style number `event_id % 23`.
-
-    The rows are spread over the task slots first when the source has fewer partitions than
-    slots, since every report over this text is CPU-bound and row-local.
-    """
+    """event_id, txt: each event time written in style number `event_id % 23`."""
     idx = F.col("event_id") % len(PATTERNS)
     txt = _case([(idx == i, F.date_format("ts", p)) for i, p in enumerate(PATTERNS)])
-    return spread(events.select("event_id", "ts")).select("event_id", txt.alias("txt"))
+    return events.select("event_id", txt.alias("txt"))
 
 
 def date_normalize_report(df: DataFrame) -> DataFrame:

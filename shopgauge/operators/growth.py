@@ -47,7 +47,9 @@ def growth_daily(member: DataFrame, order: DataFrame, as_of, days: int = 7,
         nothing.cast("bigint").alias("oid"), nothing.cast(MONEY_SUM).alias("money"),
         F.lit(True).alias("is_reg"))
     in_window = F.col("create_time") >= ts_literal(lower, order, "create_time")
-    orders = time_window(order, "create_time", None, upper).select(
+    # An order without a time belongs to no day and to no total.
+    dated = order.filter(F.col("create_time").isNotNull())
+    orders = time_window(dated, "create_time", None, upper).select(
         F.when(in_window, day_label("create_time")).otherwise(F.lit(PRIOR)).alias("day"),
         nothing.cast("bigint").alias("mid"), F.col("order_id").alias("oid"),
         F.col("origin_price").cast(MONEY_SUM).alias("money"), F.lit(False).alias("is_reg"))

@@ -1,9 +1,9 @@
-"""Audience segments over the wide tag table: select one segment (best score first, a fixed
-page), export it as text lines, or evaluate many segments together (in bounded narrow passes).
+"""Audience segments over the wide tag table: select one segment, export it as text lines, or
+evaluate many segments together (in narrow passes).
 
 Every operation here is row-local on the tag table (one row per member): a segment is a filter
-and a score expression, so selecting, exporting and batching need no shuffle; the page of a
-single segment is a bounded top-k.
+and a score expression, so selecting, exporting and batching need no shuffle. An audience is
+always whole; only a caller that asks for a page (`size`, `offset`) gets one, best score first.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from typing import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed import EXPORT_LINE, PAGE_FROM, PAGE_SIZE
+from ..fixed import EXPORT_LINE
 from ..functions.conditions import compile_conditions
 
 
@@ -23,13 +23,18 @@ def segment_members(tags: DataFrame, conditions: Iterable) -> DataFrame:
     return tags.filter(matched).withColumn("score", score)
 
 
-def segment_select(tags: DataFrame, conditions: Iterable, size: int = PAGE_SIZE,
-                   offset: int = PAGE_FROM) -> DataFrame:
-    """memberId, phone of one page of the segment, best score first, then by memberId."""
-    hits = segment_members(tags, conditions).orderBy(F.desc("score"), F.asc("memberId"))
-    if offset:
-        hits = hits.offset(offset)
-    return hits.limit(size).select("memberId", "phone")
+def segment_select(tags: DataFrame, conditions: Iterable, size: int | None = None,
+                   offset: int = 0) -> DataFrame:
+    """memberId, phone of every member of the segment, in no order.
+
+    With `size` or `offset`, one page of it: best score first, then by memberId.
+    """
+    hits = segment_members(tags, conditions)
+    if size is not None or offset:
+        hits = hits.orderBy(F.desc("score"), F.asc("memberId")).offset(offset)
+        if size is not None:
+            hits = hits.limit(size)
+    return hits.select("memberId", "phone")
 
 
 def export_lines(selected: DataFrame) -> DataFrame:
@@ -39,8 +44,9 @@ def export_lines(selected: DataFrame) -> DataFrame:
         .alias("line"))
 
 
-def segment_export(tags: DataFrame, conditions: Iterable, size: int = PAGE_SIZE) -> DataFrame:
-    return export_lines(segment_select(tags, conditions, size))
+def segment_export(tags: DataFrame, conditions: Iterable) -> DataFrame:
+    """One text line for every member of the segment."""
+    return export_lines(segment_select(tags, conditions))
 
 
 # Segments evaluated per pass over the tag table: bounds the size of one projection so its

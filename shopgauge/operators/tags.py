@@ -13,7 +13,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import CHARGE_CHANNEL, FREE_COUPON_ID
@@ -47,25 +47,22 @@ def _member_goods(order: DataFrame, order_commodity: DataFrame) -> DataFrame:
 
 
 def _order_tags(rows: DataFrame, goods: DataFrame) -> DataFrame:
-    """One aggregate per member over order rows (member_id, order_id, w, money, create_time)
-    and distinct goods rows (member_id, commodity_id), unioned: no join, so the result stays
-    partitioned by member and a member without any line gets an empty favGoods."""
-    order_rows = rows.select("member_id", "order_id", "w", "money", "create_time",
-                             F.lit(None).cast(goods.schema["commodity_id"].dataType)
-                             .alias("commodity_id"))
-    goods_rows = goods.select("member_id", F.lit(None).cast("bigint").alias("order_id"),
-                              F.lit(None).cast("bigint").alias("w"),
-                              F.lit(None).cast(rows.schema["money"].dataType).alias("money"),
-                              F.lit(None).cast(rows.schema["create_time"].dataType)
-                              .alias("create_time"),
-                              "commodity_id")
-    both = order_rows.unionByName(goods_rows)
+    """Order figures per member from order rows (member_id, order_id, w, money, create_time) and
+    the member's distinct goods (member_id, commodity_id).
+
+    Sums and maxima over the raw orders are a hash aggregate in generated code; only its one row
+    per member and the already distinct goods meet in the aggregate that gathers the list. The
+    union needs no join, so a member without any line gets an empty list and a null member its own.
+    """
+    figures = (rows.groupBy("member_id")
+               .agg(F.sum(F.when(F.col("order_id").isNotNull(), F.col("w"))).alias("orderCount"),
+                    F.max("create_time").alias("last"), F.sum("money").alias("money")))
+    both = figures.unionByName(goods, allowMissingColumns=True)
     return (both.groupBy(F.col("member_id").alias("memberId"))
-            .agg(F.sum(F.when(F.col("order_id").isNotNull(), F.col("w"))).alias("orderCount"),
-                 day_label(F.max("create_time")).alias("orderTime"),
-                 F.sum("money").cast(MONEY_SUM).cast("double").alias("orderMoney"),
-                 F.sort_array(F.collect_list("commodity_id")).alias("favGoods"))
-            .withColumn("orderCount", F.coalesce("orderCount", F.lit(0).cast("bigint"))))
+            .agg(F.coalesce(F.max("orderCount"), F.lit(0).cast("bigint")).alias("orderCount"),
+                 day_label(F.max("last")).alias("orderTime"),
+                 F.max("money").cast(MONEY_SUM).cast("double").alias("orderMoney"),
+                 F.sort_array(F.collect_list("commodity_id")).alias("favGoods")))
 
 
 def tag_order_behavior(order: DataFrame, order_commodity: DataFrame) -> DataFrame:
@@ -104,24 +101,20 @@ def tag_free_coupon(coupon_member: DataFrame) -> DataFrame:
                     day_label("create_time").alias("freeCouponTime")))
 
 
-def tag_free_coupon_days(coupon_member: DataFrame) -> DataFrame:
-    """memberId, freeCouponTime, n: free-coupon grants counted per member and day (the
-    grouped form of `tag_free_coupon`; at most one row per member and distinct day)."""
-    return (coupon_member.filter(F.col("coupon_id") == FREE_COUPON_ID)
-            .groupBy(F.col("member_id").alias("memberId"),
-                     day_label("create_time").alias("freeCouponTime"))
-            .agg(F.count(F.lit(1)).alias("n")))
+def _repeated(days: str) -> Column:
+    """A sorted list of (day, n) as the list of days, each n times."""
+    return F.flatten(F.transform(days, lambda x: F.array_repeat(x["day"], x["n"].cast("int"))))
 
 
-def tag_free_coupon_first(coupon_member: DataFrame) -> DataFrame:
-    """One row per member: day of the earliest first-order-free coupon grant."""
-    return (coupon_member.filter(F.col("coupon_id") == FREE_COUPON_ID)
-            .groupBy(F.col("member_id").alias("memberId"))
-            .agg(day_label(F.min("create_time")).alias("freeCouponTime")))
+def _gathered(n: str) -> Column:
+    """The (day, n) pairs of a member's rows with a day and a count, in day order."""
+    return F.sort_array(F.collect_list(F.when(
+        F.col("day").isNotNull() & (F.col(n) > 0), F.struct(F.col("day"), F.col(n).alias("n")))))
 
 
 def tag_coupon_times(coupon_member: DataFrame) -> DataFrame:
-    """memberId, couponTimes: the day of every voucher grant, repeats kept, in day order.
+    """memberId, couponTimes: the day of every voucher grant, repeats kept, in day order (a grant
+    without a time has no day to list; a member with such grants only has an empty list).
 
     Grants are first counted per (member, day); each member then gathers at most one entry per
     distinct day and expands it back to the repeated list in a row-local expression.
@@ -130,28 +123,28 @@ def tag_coupon_times(coupon_member: DataFrame) -> DataFrame:
                .groupBy(F.col("member_id").alias("memberId"),
                         day_label("create_time").alias("day"))
                .agg(F.count(F.lit(1)).alias("n")))
-    gathered = per_day.groupBy("memberId").agg(
-        F.sort_array(F.collect_list(F.struct("day", "n"))).alias("days"))
-    return gathered.select(
-        "memberId",
-        F.flatten(F.transform("days", lambda x: F.array_repeat(x["day"], x["n"].cast("int"))))
-        .alias("couponTimes"))
+    return (per_day.groupBy("memberId").agg(_gathered("n").alias("days"))
+            .select("memberId", _repeated("days").alias("couponTimes")))
+
+
+def _price_sums(coupon: DataFrame) -> DataFrame:
+    """One row per coupon id: a price listed twice counts twice, but doubles no grant."""
+    return coupon.groupBy(F.col("id").alias("coupon_id")).agg(
+        F.sum("coupon_price").alias("coupon_price"))
 
 
 def tag_charge_money(coupon_member: DataFrame, coupon: DataFrame) -> DataFrame:
     """memberId, chargeMoney = half the price of every coupon bought outside the charge channel.
 
-    Grants look their price up by coupon id (a broadcast when AQE measures the price table small,
-    else a sort-merge join whose hot coupon ids sit on the splittable streamed side) and are
-    summed per member with map-side partial sums. A coupon missing from the price table adds
-    nothing (NULL when the member has no priced one).
+    Grants are counted per (member, coupon) on the map side before they look their price up, so
+    a coupon that holds most grants meets the price table as one row per member. A coupon missing
+    from the price table adds nothing (NULL when the member has no priced one).
     """
     grants = (coupon_member.filter(F.col("coupon_channel") != CHARGE_CHANNEL)
-              .select("member_id", "coupon_id"))
-    prices = coupon.select(F.col("id").alias("coupon_id"), "coupon_price")
-    priced = grants.join(prices, "coupon_id", "left")
+              .groupBy("member_id", "coupon_id").agg(F.count(F.lit(1)).alias("n")))
+    priced = grants.join(_price_sums(coupon), "coupon_id", "left")
     return (priced.groupBy(F.col("member_id").alias("memberId"))
-            .agg((F.sum("coupon_price").cast(MONEY_SUM).cast("double") / 2)
+            .agg((F.sum(F.col("coupon_price") * F.col("n")).cast(MONEY_SUM).cast("double") / 2)
                  .alias("chargeMoney")))
 
 
@@ -172,34 +165,27 @@ def tag_latest_feedback(feedback: DataFrame) -> DataFrame:
 def _coupon_tags(coupon_member: DataFrame, coupon: DataFrame) -> DataFrame:
     """memberId, freeCouponTime (earliest), free_days, couponTimes, chargeMoney in one pipeline.
 
-    The grant table is read once and its prices looked up once; grants are pre-aggregated per
-    (member, day) on the map side, then one member aggregate gathers at most one entry per
-    distinct day. Same values as `tag_free_coupon_first`, `tag_coupon_times` and
-    `tag_charge_money` (a tag a member has no grant for is NULL).
+    The grant table is read once and counted per (member, day, coupon) on the map side before
+    prices are looked up; then one member aggregate gathers its counted days. Same values as
+    `tag_coupon_times` and `tag_charge_money` (a tag a member has no grant for is NULL).
     """
-    prices = coupon.select(F.col("id").alias("coupon_id"), "coupon_price")
-    rows = (coupon_member.select("member_id", "coupon_id", "coupon_channel", "create_time")
-            .join(prices, "coupon_id", "left"))
     free = F.col("coupon_id") == FREE_COUPON_ID
     voucher = F.col("coupon_id") != FREE_COUPON_ID
-    charged = F.col("coupon_channel") != CHARGE_CHANNEL
-    per_day = (rows.groupBy("member_id", day_label("create_time").alias("day"))
-               .agg(F.count_if(free).alias("n_free"), F.count_if(voucher).alias("n_voucher"),
-                    F.min(F.when(free, F.col("create_time"))).alias("first_free"),
-                    F.sum(F.when(charged, F.col("coupon_price"))).alias("charge")))
-    has_voucher_day = (F.col("n_voucher") > 0) & F.col("day").isNotNull()
-    per_member = (per_day.groupBy(F.col("member_id").alias("memberId"))
-                  .agg(day_label(F.min("first_free")).alias("freeCouponTime"),
-                       F.sort_array(F.collect_list(F.when(F.col("n_free") > 0, F.struct(
-                           F.col("day"), F.col("n_free").alias("n"))))).alias("free_days"),
-                       F.sort_array(F.collect_list(F.when(has_voucher_day, F.struct(
-                           F.col("day"), F.col("n_voucher").alias("n"))))).alias("voucher_days"),
-                       (F.sum("charge").cast(MONEY_SUM).cast("double") / 2).alias("chargeMoney")))
-    repeat_days = F.flatten(F.transform(
-        "voucher_days", lambda x: F.array_repeat(x["day"], x["n"].cast("int"))))
-    return per_member.select(
-        "memberId", "freeCouponTime", "free_days",
-        F.when(F.size("voucher_days") > 0, repeat_days).alias("couponTimes"), "chargeMoney")
+    grants = (coupon_member.groupBy("member_id", day_label("create_time").alias("day"), "coupon_id")
+              .agg(F.count_if(free).alias("n_free"), F.count_if(voucher).alias("n_voucher"),
+                   F.count_if(F.col("coupon_channel") != CHARGE_CHANNEL).alias("n_charged"),
+                   F.min(F.when(free, F.col("create_time"))).alias("first_free")))
+    priced = grants.join(_price_sums(coupon), "coupon_id", "left")
+    money = F.when(F.col("n_charged") > 0, F.col("coupon_price") * F.col("n_charged"))
+    return (priced.groupBy(F.col("member_id").alias("memberId"))
+            .agg(day_label(F.min("first_free")).alias("freeCouponTime"),
+                 F.sort_array(F.collect_list(F.when(F.col("n_free") > 0, F.struct(
+                     F.col("day"), F.col("n_free").alias("n"))))).alias("free_days"),
+                 F.sum("n_voucher").alias("vouchers"), _gathered("n_voucher").alias("days"),
+                 (F.sum(money).cast(MONEY_SUM).cast("double") / 2).alias("chargeMoney"))
+            .select("memberId", "freeCouponTime", "free_days",
+                    F.when(F.col("vouchers") > 0, _repeated("days")).alias("couponTimes"),
+                    "chargeMoney"))
 
 
 def _wide(base: DataFrame, order_side: DataFrame, coupon_side: DataFrame,

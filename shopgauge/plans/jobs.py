@@ -11,10 +11,10 @@ lineage: a lost executor recomputes from those files, not from the sources).
 from __future__ import annotations
 
 import argparse
-import json
 
 from pyspark.sql import SparkSession
 
+from ..functions.conditions import parse_request
 from ..operators import funnel, growth, members, reminders, segments, tags, words
 from ..session import get_session
 from ..sources.sinks import write_lines, write_tags
@@ -69,8 +69,9 @@ def tags_job(t: ShopTables, out: str, **_) -> None:
 
 def segment_job(t: ShopTables, out: str, conditions=None, **_) -> None:
     tag_table = t.spark.read.parquet(f"{out}/usertag")
-    write_lines(segments.segment_export(tag_table, conditions or P.SEGMENT_CONDITIONS),
-                f"{out}/member_export")
+    if conditions is None:
+        conditions = P.SEGMENT_CONDITIONS
+    write_lines(segments.segment_export(tag_table, conditions), f"{out}/member_export")
 
 
 JOBS = {"members": members_job, "funnel": funnel_job, "growth": growth_job, "week": week_job,
@@ -99,7 +100,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.lines:
         params["lines"] = args.lines
     if args.conditions:
-        params["conditions"] = json.loads(args.conditions)["selectedTags"]
+        params["conditions"] = parse_request(args.conditions)
     run(get_session(), args.job, args.data, args.out, **params)
 
 

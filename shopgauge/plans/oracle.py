@@ -201,13 +201,6 @@ WHERE word <> '' GROUP BY word ORDER BY count DESC, word LIMIT 10"""
 _BASE = f"""SELECT id AS "memberId", phone, sex, member_channel AS channel,
        mp_open_id AS "subOpenId", address_default_id AS address,
        {_day('create_time')} AS "regTime" FROM t_member"""
-_ORDER_LITERAL = f"""SELECT o.member_id AS "memberId", count(o.order_id) AS "orderCount",
-       {_day('max(o.create_time)')} AS "orderTime",
-       CAST(sum(o.pay_price) AS DOUBLE) AS "orderMoney",
-       coalesce(list_sort(list(DISTINCT oc.commodity_id)
-                          FILTER (WHERE oc.commodity_id IS NOT NULL)), []) AS "favGoods"
-FROM t_order o LEFT JOIN t_order_commodity oc ON o.order_id = oc.order_id
-GROUP BY o.member_id"""
 _ORDER_EXACT_CTES = [
     ("os", """SELECT member_id, count(order_id) AS c, max(create_time) AS t,
                      sum(pay_price) AS m FROM t_order GROUP BY member_id"""),
@@ -215,6 +208,19 @@ _ORDER_EXACT_CTES = [
               FROM t_order o JOIN t_order_commodity oc ON o.order_id = oc.order_id
               WHERE oc.commodity_id IS NOT NULL GROUP BY o.member_id"""),
 ]
+# An order with k lines weighs k, one without lines weighs 1.
+_ORDER_LITERAL_CTES = [
+    ("line_n", "SELECT order_id, count(*) AS k FROM t_order_commodity GROUP BY order_id"),
+    ("weighted", """SELECT member_id, create_time, coalesce(k, 1) * pay_price AS money,
+                           CASE WHEN order_id IS NULL THEN 0 ELSE coalesce(k, 1) END AS w
+                    FROM t_order LEFT JOIN line_n USING (order_id)"""),
+    _ORDER_EXACT_CTES[1],
+]
+_ORDER_LITERAL = f"""SELECT weighted.member_id AS "memberId",
+       CAST(sum(w) AS BIGINT) AS "orderCount", {_day('max(create_time)')} AS "orderTime",
+       CAST(sum(money) AS DOUBLE) AS "orderMoney", coalesce(any_value(goods), []) AS "favGoods"
+FROM weighted LEFT JOIN og ON og.member_id IS NOT DISTINCT FROM weighted.member_id
+GROUP BY weighted.member_id"""
 _ORDER_EXACT = f"""SELECT os.member_id AS "memberId", os.c AS "orderCount",
        {_day('os.t')} AS "orderTime", CAST(os.m AS DOUBLE) AS "orderMoney",
        coalesce(og.goods, []) AS "favGoods"
@@ -224,33 +230,39 @@ FROM t_coupon_member WHERE coupon_id = 1"""
 _FREE_FIRST = f"""SELECT member_id AS "memberId", min({_day('create_time')}) AS "freeCouponTime"
 FROM t_coupon_member WHERE coupon_id = 1 GROUP BY member_id"""
 _COUPON_TIMES = f"""SELECT member_id AS "memberId",
-       list_sort(list({_day('create_time')})) AS "couponTimes"
+       coalesce(list_sort(list({_day('create_time')}) FILTER (WHERE create_time IS NOT NULL)), [])
+         AS "couponTimes"
 FROM t_coupon_member WHERE coupon_id <> 1 GROUP BY member_id"""
-_CHARGE = """SELECT cm.member_id AS "memberId", CAST(sum(c.coupon_price) AS DOUBLE) / 2 AS "chargeMoney"
-FROM t_coupon_member cm LEFT JOIN t_coupon c ON cm.coupon_id = c.id
-WHERE cm.coupon_channel <> 1 GROUP BY cm.member_id"""
+_CHARGE = """SELECT member_id AS "memberId", CAST(sum(n * price) AS DOUBLE) / 2 AS "chargeMoney"
+FROM (SELECT member_id, coupon_id, count(*) AS n FROM t_coupon_member
+      WHERE coupon_channel <> 1 GROUP BY ALL) bought
+LEFT JOIN (SELECT id AS coupon_id, coupon_price AS price FROM t_coupon) USING (coupon_id)
+GROUP BY member_id"""
 _OVER_TIME = """SELECT member_id AS "memberId",
        CAST(floor(epoch(max(arrive_time))) AS BIGINT)
          - CAST(floor(epoch(max(pick_time))) AS BIGINT) AS "overTime"
 FROM t_delivery GROUP BY member_id"""
-_FEEDBACK = """SELECT fb.member_id AS "memberId", fb.feedback_type AS "feedBack"
-FROM t_feedback fb
-RIGHT JOIN (SELECT max(id) AS fid, member_id FROM t_feedback GROUP BY member_id) t
-  ON fb.id = t.fid"""
-
-_WIDE_SELECT = """SELECT m.*, o."orderCount", o."orderTime", o."orderMoney", o."favGoods",
-       fc."freeCouponTime", ct."couponTimes", cm."chargeMoney", ot."overTime", f."feedBack"
-FROM tb m
-LEFT JOIN tob o ON m."memberId" = o."memberId"
-LEFT JOIN tfc fc ON m."memberId" = fc."memberId"
-LEFT JOIN tct ct ON m."memberId" = ct."memberId"
-LEFT JOIN tcm cm ON m."memberId" = cm."memberId"
-LEFT JOIN tot ot ON m."memberId" = ot."memberId"
-LEFT JOIN tfb f ON m."memberId" = f."memberId\""""
+_FEEDBACK = """SELECT member_id AS "memberId", arg_max(feedback_type, id) AS "feedBack"
+FROM t_feedback GROUP BY member_id"""
+
+
+def _looked_up(col: str, cte: str) -> str:
+    """A member's only value in a one-row-per-member CTE."""
+    return f'(SELECT x."{col}" FROM {cte} x WHERE x."memberId" = tb."memberId") AS "{col}"'
+
+
+# One row per member and free coupon; everything else is looked up by member.
+_WIDE_SELECT = f"""SELECT "memberId", phone, sex, channel, "subOpenId", address, "regTime",
+       "freeCouponTime", {', '.join(_looked_up(c, 'tob') for c in
+                                    ('orderCount', 'orderTime', 'orderMoney', 'favGoods'))},
+       {_looked_up('couponTimes', 'tct')}, {_looked_up('chargeMoney', 'tcm')},
+       {_looked_up('overTime', 'tot')}, {_looked_up('feedBack', 'tfb')}
+FROM tfc RIGHT JOIN tb USING ("memberId")"""
 
 _COMMON_TAG_CTES = [("tb", _BASE), ("tct", _COUPON_TIMES), ("tcm", _CHARGE),
                     ("tot", _OVER_TIME), ("tfb", _FEEDBACK)]
-USER_TAGS_LITERAL_CTES = _COMMON_TAG_CTES + [("tob", _ORDER_LITERAL), ("tfc", _FREE)]
+USER_TAGS_LITERAL_CTES = (_COMMON_TAG_CTES + _ORDER_LITERAL_CTES
+                          + [("tob", _ORDER_LITERAL), ("tfc", _FREE)])
 USER_TAGS_CTES = (_COMMON_TAG_CTES + _ORDER_EXACT_CTES
                   + [("tob", _ORDER_EXACT), ("tfc", _FREE_FIRST), ("user_tags", _WIDE_SELECT)])
 
@@ -260,29 +272,19 @@ _SEGMENT_SELECT_WHERE = """(sex = 'BUILDING' OR "orderCount" BETWEEN 12 AND 14
    OR list_contains("favGoods", 7) OR "chargeMoney" >= 1000 OR "overTime" <= 1000000
    OR "feedBack" IS NOT NULL)
   AND NOT coalesce(channel = 3, false)"""
-_SEGMENT_SELECT_SCORE = """(CAST(coalesce(sex = 'BUILDING', false) AS INTEGER)
-   + CAST(coalesce("orderCount" BETWEEN 12 AND 14, false) AS INTEGER)
-   + CAST(coalesce(list_contains("favGoods", 7), false) AS INTEGER)
-   + CAST(coalesce("chargeMoney" >= 1000, false) AS INTEGER)
-   + CAST(coalesce("overTime" <= 1000000, false) AS INTEGER)
-   + CAST("feedBack" IS NOT NULL AS INTEGER))"""
 
 
-def _page(where: str, score: str | None, size: int = 1000) -> str:
-    order = f'{score} DESC, "memberId"' if score else '"memberId"'
-    return with_views(
-        f"""SELECT "memberId", phone FROM user_tags WHERE {where}
-ORDER BY {order} LIMIT {size}""", USER_TAGS_CTES)
+def _audience(where: str) -> str:
+    return with_views(f'SELECT "memberId", phone FROM user_tags WHERE {where}', USER_TAGS_CTES)
 
 
-SEGMENT_SELECT = _page(_SEGMENT_SELECT_WHERE, _SEGMENT_SELECT_SCORE)
+SEGMENT_SELECT = _audience(_SEGMENT_SELECT_WHERE)
 SEGMENT_EXPORT = with_views(
     f"""SELECT '[' || CAST("memberId" AS VARCHAR) || ',' || coalesce(phone, 'null') || ']' AS line
-FROM user_tags WHERE {_SEGMENT_SELECT_WHERE}
-ORDER BY {_SEGMENT_SELECT_SCORE} DESC, "memberId" LIMIT 1000""", USER_TAGS_CTES)
-SEGMENT_EXCLUDE_ONLY = _page(
-    "NOT coalesce(sex = 'BUILDING', false) AND NOT coalesce(channel = 3, false)", None)
-SEGMENT_ALL = _page("true", None)
+FROM user_tags WHERE {_SEGMENT_SELECT_WHERE}""", USER_TAGS_CTES)
+SEGMENT_EXCLUDE_ONLY = _audience(
+    "NOT coalesce(sex = 'BUILDING', false) AND NOT coalesce(channel = 3, false)")
+SEGMENT_ALL = _audience("true")
 SEGMENT_BATCH = with_views(
     """SELECT 'seg_building' AS segment_id, "memberId", phone, 1 AS score
 FROM user_tags WHERE sex = 'BUILDING'
@@ -419,7 +421,7 @@ ORACLE_SQL: dict[str, str] = {
     "hot_field_rejects": HOT_FIELD_REJECTS,
     "hot_tokens_top10": HOT_TOKENS_TOP10,
     "tag_member_base": with_views(_BASE),
-    "tag_order_behavior": with_views(_ORDER_LITERAL),
+    "tag_order_behavior": with_views(_ORDER_LITERAL, _ORDER_LITERAL_CTES),
     "tag_order_behavior_exact": with_views(_ORDER_EXACT, _ORDER_EXACT_CTES),
     "tag_free_coupon": with_views(_FREE),
     "tag_coupon_times": with_views(_COUPON_TIMES),

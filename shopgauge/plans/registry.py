@@ -20,11 +20,9 @@ def _tag_args(t: ShopTables) -> tuple:
 
 
 def _user_tags(t: ShopTables) -> DataFrame:
-    """The one-row-per-member tag plan, built once per table set and read by every segment
-    query (segments are filters over the tag table)."""
-    if "user_tags" not in t.derived:
-        t.derived["user_tags"] = tags.user_tags(*_tag_args(t))
-    return t.derived["user_tags"]
+    """The one-row-per-member tag plan; segments are filters over it (a nightly run stores it
+    first and reads the stored table, see the tags and segment jobs)."""
+    return tags.user_tags(*_tag_args(t))
 
 
 def _q(fn: Callable[[ShopTables], DataFrame]) -> Query:

@@ -1,15 +1,12 @@
 """Session helper.
 
 The master is never forced: on a cluster it comes from spark-submit, in tests from the caller.
-Settings that decide results (UTC, ANSI) are pinned; sizing settings are left to the cluster
-unless the caller passes them.
+The setting that decides results (UTC) is pinned; results do not depend on ANSI mode (the oracle
+tool checks both), and sizing settings are left to the cluster unless the caller passes them.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings that every run of this library relies on.
@@ -45,22 +42,14 @@ def get_session(master: str | None = None, app_name: str = "shopgauge",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """The shared checkpoint folder that the cluster names in `spark.checkpoint.dir`.
 
-    Only when the session names none and runs in local mode (a laptop or a test) is a scratch
-    folder set here; on a cluster a machine-local folder would be lost with its executor, so
-    a missing setting is an error there.
+    A machine-local folder would be lost with its machine, so a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
-                           "object store) for this cluster session")
-    path = tempfile.mkdtemp(prefix="shopgauge-ckpt-")
-    sc.setCheckpointDir(path)
-    os.environ.setdefault("SHOPGAUGE_CHECKPOINT_DIR", path)
-    return path
+    if not current:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current

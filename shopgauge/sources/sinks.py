@@ -1,18 +1,14 @@
-"""Sinks: the wide tag table, audience exports as text lines, and lineage cuts.
+"""Sinks: the wide tag table and audience exports as text lines.
 
 Writes are idempotent (overwrite): re-running a job replaces its output instead of appending
-a second copy. Intermediate results are written under the shared checkpoint folder the
-cluster names in `spark.checkpoint.dir`, never to a machine-local folder.
+a second copy.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 
 from ..fixed import EXPORT_LINE_SEP
-from ..session import ensure_checkpoint_dir
 
 
 def write_tags(tags: DataFrame, path: str | None = None, table: str | None = None,
@@ -38,12 +34,3 @@ def write_lines(lines: DataFrame, path: str, line_col: str = "line",
     """Write one text line per row (default separator CRLF, as the download format uses)."""
     lines.select(line_col).write.mode("overwrite").option("lineSep", line_sep).text(path)
 
-
-def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Write `df` under the shared checkpoint folder and read it back (cuts the lineage, so a
-    lost executor recomputes from the written files, not from the sources)."""
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/shopgauge-{name or 'frame'}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)

@@ -100,33 +100,19 @@ def line_frame(documents: DataFrame) -> DataFrame:
 class ShopTables:
     """Lazy access to the raw tables of one data directory and the shop adapters over them.
 
-    `ShopTables.of(spark, dir)` shares one instance per session and folder: each table's file
-    listing and footer are read once and each adapter plan is built once, then reused by every
-    report (DataFrames are immutable lazy plans; nothing is cached in memory). Call `forget()`
-    after the files change.
+    An instance reads each table's file listing and footer once and builds each adapter plan once
+    (DataFrames are immutable lazy plans; nothing is cached in memory). Make a new one, as
+    `ShopTables.of(spark, dir)` does, to see files that were added since.
     """
 
-    _shared: dict[tuple[int, str], "ShopTables"] = {}
-
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._raw: dict[str, DataFrame] = {}
-        # Plans derived from these tables that several reports read (e.g. the tag table).
-        self.derived: dict[str, DataFrame] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "ShopTables":
-        # The JVM session identifies a classic session; a Connect session has none, so the
-        # session object itself is the key (the cache holds it, so its id cannot be reused).
-        key = (id(getattr(spark, "_jsparkSession", spark)), sf_dir.rstrip("/"))
-        if key not in cls._shared:
-            cls._shared[key] = cls(spark, sf_dir)
-        return cls._shared[key]
-
-    @classmethod
-    def forget(cls) -> None:
-        cls._shared.clear()
+        return cls(spark, sf_dir)
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
@@ -173,20 +159,3 @@ class ShopTables:
     def events(self) -> DataFrame:
         return self.raw("events")
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin rows over the cluster's task slots, but only when the source yields fewer
-    partitions than there are slots (a few large files or single row groups).
-
-    Used before CPU-heavy row-local work (tokenising text, parsing date text). On a large input
-    the scan already has more splits than slots and the frame is returned unchanged, so no
-    shuffle is added where it would cost more than it gains.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()  # plans the scan; runs no job
-    except Exception:  # e.g. a Spark Connect session: no partition count, leave as is
-        return df
-    if parts >= slots:
-        return df
-    return df.repartition(slots)

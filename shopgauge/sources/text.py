@@ -18,7 +18,7 @@ def delimited_field(line: str | Column, index: int, sep: str = "\t") -> Column:
     `a<TAB>b<TAB>` has two fields, `a<TAB>b<TAB><TAB>d` has four (the third is empty).
     """
     col = F.col(line) if isinstance(line, str) else line
-    stripped = F.regexp_replace(col, f"(?:{_regex_quote(sep)})+$", "")
+    stripped = F.regexp_replace(col, rf"(?:{_regex_quote(sep)})+\z", "")
     return F.get(F.split(stripped, _regex_quote(sep)), index)
 
 

@@ -35,10 +35,10 @@ def remind_coupon_stream(coupon_member: DataFrame, delay: str = "1 day") -> Data
     return daily_counts_stream(vouchers, "create_time", "member_id", "couponCount", delay)
 
 
-def start(counts: DataFrame, name: str, sink_path: str | None = None,
+def start(counts: DataFrame, name: str, sink_path: str,
           available_now: bool = True) -> StreamingQuery:
     """Run a daily-count stream into a Parquet folder (append: a day is written once its window
-    is closed by the watermark) or, without a path, into an in-memory table `name`.
+    is closed by the watermark, so a run that ends keeps its newest days for the next one).
 
     The checkpoint lives under the session's shared checkpoint folder, so a restarted job
     resumes where it stopped.
@@ -48,6 +48,4 @@ def start(counts: DataFrame, name: str, sink_path: str | None = None,
               .option("checkpointLocation", f"{base}/stream-{name}"))
     if available_now:
         writer = writer.trigger(availableNow=True)
-    if sink_path is None:
-        return writer.outputMode("complete").format("memory").start()
     return writer.outputMode("append").format("parquet").start(sink_path)

@@ -13,6 +13,7 @@ def spark():
     from shopgauge.session import get_session
     s = get_session("local[*]", app_name="shopgauge-tests", shuffle_partitions=8,
                     extra={"spark.ui.showConsoleProgress": "false",
+                           "spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="sg-shared-"),
                            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="sg-warehouse-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s

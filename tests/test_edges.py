@@ -1,6 +1,10 @@
 """Edge rows the generated tables lack (NULL members, fan-out, missing prices, sentinels...)."""
 
 import datetime as dt
+import os
+import shutil
+import tempfile
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +12,7 @@ from pyspark.sql import functions as F
 from shop_rows import frames, member, money, order, ts
 from shopgauge.functions import dates as D
 from shopgauge.operators import funnel, growth, members, tags, words
+from shopgauge.sources.text import delimited_field
 
 
 def one(df):
@@ -262,3 +267,61 @@ def test_literal_repeats_expand_in_bounded_chunks(spark, monkeypatch):
     days = sorted(r.freeCouponTime for r in rows if r.memberId == 1)
     assert days == ["2019-11-02"] * 7 + ["2019-11-03"] * 3
     assert [r.freeCouponTime for r in rows if r.memberId == 2] == [None]
+
+
+def test_orders_without_a_time_enter_no_total(spark):
+    """A null order time is in no day and in no prior total."""
+    member = spark.createDataFrame([(1, dt.datetime(2021, 5, 5))], "id long, create_time timestamp")
+    order = spark.createDataFrame(
+        [(1, Decimal(10), dt.datetime(2021, 1, 1)), (2, Decimal(99), None),
+         (3, Decimal(5), dt.datetime(2021, 5, 5))],
+        "order_id long, origin_price decimal(18,2), create_time timestamp")
+    got = growth.growth_daily(member, order, "2021-05-10").collect()
+    assert [(r.day, r.gmv) for r in got] == [("2021-05-05", 15.0)]
+    whole = growth.growth_calendar(member, order, "2021-05-10").collect()
+    assert whole[-1].gmv == 15.0 and whole[-1].orderCount == 2
+
+
+def _grants(spark, rows):
+    return spark.createDataFrame(
+        rows, "member_id long, coupon_id long, coupon_channel long, create_time timestamp")
+
+
+def test_voucher_days_of_undated_grants_and_twice_listed_prices(spark):
+    """Undated grants list no day (and give an empty list alone); a price listed twice adds its
+    money twice, as the price join says, but no grant day."""
+    day = dt.datetime(2019, 11, 1, 8)
+    grants = _grants(spark, [(1, 5, 2, day), (1, 5, 2, None), (2, 5, 2, None), (3, 1, 2, day)])
+    prices = spark.createDataFrame([(5, Decimal(4)), (5, Decimal(4))],
+                                   "id long, coupon_price decimal(18,2)")
+    alone = {r.memberId: r.couponTimes for r in tags.tag_coupon_times(grants).collect()}
+    wide = {r.memberId: r for r in tags._coupon_tags(grants, prices).collect()}
+    assert alone == {1: ["2019-11-01"], 2: []}
+    assert {m: r.couponTimes for m, r in wide.items()} == {1: ["2019-11-01"], 2: [], 3: None}
+    assert [tuple(x) for x in wide[3].free_days] == [("2019-11-01", 1)]
+    assert wide[1].chargeMoney == 8.0
+
+
+def test_new_files_are_seen_by_the_next_query(spark):
+    from shopgauge.plans import queries
+    folder = tempfile.mkdtemp(prefix="sg-grow-")
+    for name in ("customer", "orders"):
+        os.mkdir(f"{folder}/{name}.parquet")
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", f"{folder}/{name}.parquet/a.parquet")
+    before = queries()["member_mp_sub"](spark, folder).first()
+    shutil.copy("/root/testdata/sf0.001/customer.parquet", f"{folder}/customer.parquet/b.parquet")
+    after = queries()["member_mp_sub"](spark, folder).first()
+    assert after.subCount == 2 * before.subCount and after.unsubCount == 2 * before.unsubCount
+
+
+def test_interval_days_reads_text_of_any_style(spark):
+    df = spark.createDataFrame([("2019/11/30", "2019年12月02日"), ("bad", "2019-01-01"),
+                                (None, "2019-01-01")], "a string, b string")
+    got = [r.n for r in df.select(D.interval_days("a", "b").alias("n")).collect()]
+    assert got == [2, None, None]
+
+
+def test_a_line_separator_at_the_end_is_text(spark):
+    df = spark.createDataFrame([("a\tb\t\u2028",), ("a\tb\t\t",), ("a\tb\tc\x85",)], "line string")
+    got = [r.w for r in df.select(delimited_field("line", 2).alias("w")).collect()]
+    assert got == ["\u2028", None, "c\x85"]

@@ -9,10 +9,11 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from shopgauge import plans  # noqa: E402
 from oracle_check import duck_conn, norm, rows_key  # noqa: E402
 
 SF = os.environ.get("SHOPGAUGE_TEST_SF", "/root/testdata/sf0.001")
-NAMES = sorted(E.queries())
+NAMES = sorted(plans.queries())
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(plans.queries()) == set(plans.oracle_sql())
+    assert set(plans.queries()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -55,8 +57,6 @@ def test_shuffle_join_path_matches_oracle(spark, duck, name):
     for k in keys:
         spark.conf.set(k, "-1")
     try:
-        from shopgauge.sources.tables import ShopTables
-        ShopTables.forget()
         df = E.queries()[name](spark, SF)
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
         s_rows = sorted((norm(tuple(r[c] for c in sorted(df.columns))) for r in df.collect()),
@@ -64,7 +64,6 @@ def test_shuffle_join_path_matches_oracle(spark, duck, name):
     finally:
         for k in keys:
             spark.conf.unset(k)
-        ShopTables.forget()
     res = duck.execute(E.oracle_sql()[name])
     d_cols = [c[0] for c in res.description]
     order = sorted(range(len(d_cols)), key=lambda i: d_cols[i])
@@ -78,7 +77,8 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "stri
 
 def test_column_types_match_oracle(spark, duck):
     bad = {}
-    for name, fn in E.queries().items():
+    for name in NAMES:
+        fn = E.queries()[name]
         spark_types = {f.name: f.dataType.simpleString() for f in fn(spark, SF).schema.fields}
         duck_types = {c[0]: str(c[1])
                       for c in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}

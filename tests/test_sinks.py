@@ -4,7 +4,7 @@ import os
 import tempfile
 
 from shopgauge.operators import segments, words
-from shopgauge.sources.sinks import materialize, write_lines, write_tags
+from shopgauge.sources.sinks import write_lines, write_tags
 from shopgauge.sources.text import read_lines
 from shopgauge.plans import queries
 
@@ -39,13 +39,6 @@ def test_text_file_hot_field(spark):
     assert got == [("en", 2), ("fr", 1)]
 
 
-def test_materialize_cuts_lineage(spark):
-    df = queries()["tag_over_time"](spark, SF)
-    cut = materialize(df, "over-time")
-    assert "FileScan parquet" in cut._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, df.collect()))
-
-
 def test_bucketed_tag_table_joins_without_shuffle(spark):
     tags = queries()["user_tags"](spark, SF)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -69,7 +62,7 @@ def test_jobs_write_reports(spark):
     assert funnel["order"] >= funnel["orderAgain"] >= funnel["chargeCoupon"]
     assert abs(funnel["orderAgainRate"] - funnel["orderAgain"] / funnel["order"]) < 1e-12
     lines = spark.read.text(f"{out}/member_export").count()
-    assert 0 < lines <= 1000
+    assert lines > 0
 
 
 def test_members_job_writes_the_profile_document(spark):

@@ -40,8 +40,7 @@ def main() -> None:
     spark = get_session("local[8]", shuffle_partitions=8,
                         extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as E
-    from shopgauge.sources.tables import ShopTables
+    from shopgauge.plans import queries as shop_queries
     print(f"# Final plan shapes ({sf}, local[8], AQE on)\n")
     print("Counts are read from the final adaptive plan after one run. `shuffles` counts "
           "hash/range/single-partition exchanges (broadcasts apart); AQE picks broadcast only for "
@@ -53,19 +52,17 @@ def main() -> None:
     print("| query | shuffles | static | broadcasts | SMJ | BHJ | top-k | window | cartesian | "
           "pushed time/eq filters |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in shop_queries().items():
         df = fn(spark, sf)
         df.collect()
         s = shape(df._jdf.queryExecution().executedPlan().toString())
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.enabled", "false")
-        ShopTables.forget()  # rebuild the plans instead of reusing ones already planned
         static_df = fn(spark, sf)
         spark.conf.set("spark.sql.adaptive.enabled", "false")  # the entry point turns it on
         static = shape(static_df._jdf.queryExecution().executedPlan().toString())
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        ShopTables.forget()
         print(f"| {name} | {s['shuffles']} | {static['shuffles']} | {s['broadcasts']} | "
               f"{s['smj']} | {s['bhj']} | "
               f"{'yes' if s['topk'] else ''} | {'yes' if s['window'] else ''} | "
@@ -74,22 +71,19 @@ def main() -> None:
     print("Every exchange belongs to an aggregation or to a join of raw tables; the member-keyed "
           "left joins of the wide table meet sides already hash-partitioned on the member key.\n")
     print("```")
-    for line in skeleton(spark, E.queries()["user_tags"], sf):
+    for line in skeleton(spark, shop_queries()["user_tags"], sf):
         print(line)
     print("```")
 
 
 def skeleton(spark, fn, sf: str) -> list[str]:
     """Exchange / join / aggregate / scan lines of the static (no broadcast, no AQE) plan."""
-    from shopgauge.sources.tables import ShopTables
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    ShopTables.forget()
     df = fn(spark, sf)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     text = df._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
-    ShopTables.forget()
     keep = ("Exchange", "Join", "Aggregate", "FileScan", "Union", "Window", "Expand")
     out = []
     for line in text.splitlines():
