@@ -45,8 +45,11 @@ class Lengths(dict):
     """Tokens of a pre-token; starts as the broadcast table and asks the library for the rest."""
 
     def __init__(self, encode, frequent: dict[str, int], limit: int):
-        super().__init__(frequent)
-        self.encode, self.frequent, self.limit = encode, frequent, limit
+        # The library puts no space before an empty text, so one space at a text's end, which is
+        # a unit without anything after its space, is counted behind another word.
+        end = len(encode("a ")) - len(encode("a"))
+        super().__init__(frequent | {"": end})
+        self.encode, self.frequent, self.limit = encode, dict(self), limit
 
     def __missing__(self, unit: str) -> int:
         n = len(self.encode(unit))
