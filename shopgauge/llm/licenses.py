@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW = 120
-STRIDE = 60
+WINDOW = 64
+STRIDE = 32
 UNKNOWN = "unknown"
 _WORD = re.compile("[0-9a-z]+")
 
@@ -162,7 +162,7 @@ class Classifier:
                     if i % 2:
                         some = rand.choice(filler)
                         cut = rand.randrange(len(some) + 1)
-                        own = some[:cut][-40:] + own + some[cut:][:40]
+                        own = some[:cut][-30:] + own + some[cut:][:30]
                     rows.append(own)
                     labels.append(k)
         for words in background:
