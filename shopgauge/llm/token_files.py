@@ -22,7 +22,9 @@ Tasks can be repeated: they write the same bytes and rename them into place.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,33 +39,69 @@ _PUNCTUATION = frozenset(".,")
 _LAST_SIMPLE = "ԯ"  # Latin, Greek and Cyrillic letters that every Unicode table knows
 
 
+def _byte_marks() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 characters stand for their own byte, the other
+    bytes take the code points from 256 on, in order."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = (b for b in range(256) if b not in own)
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_MARKS = _byte_marks()
+
+
 class _Whole(Exception):
     """The text can't be cut at this space."""
 
 
 class Cuts(dict):
-    """Packed ids of a cut of a text, without its leading space if ``lead`` is one."""
+    """Packed ids of a cut of a text, without its leading space if ``lead`` is one.
+
+    Two generations bound the memory: a full one becomes the old one, and what is asked for again
+    comes back from there.
+    """
 
     def __init__(self, owner: Encoder, lead: str):
         super().__init__()
-        self.owner, self.lead = owner, lead
+        self.owner, self.lead, self.old = owner, lead, {}
 
     def __missing__(self, cut: str) -> bytes:
-        if not cut or cut[0].isspace() or cut[-1].isspace():
-            raise _Whole
-        left, line, right = cut.partition("\n")
-        if line and left and right and not left[-1].isspace() and not right[0].isspace():
-            return self[left] + self.owner.newline + self.owner.first[right]
-        stem = cut[:-1]
-        if cut[-1] in _PUNCTUATION and stem.isalpha() and max(stem) <= _LAST_SIMPLE:
-            return self[stem] + self.owner.first[cut[-1]]
-        ids = self.owner.library(self.lead + cut)
+        ids = self.old.get(cut)
+        if ids is None:
+            ids = self._fresh(cut)
+        if ids is None:
+            return self._joined(cut)
         if len(cut) <= 64:
             if len(self) >= self.owner.limit:
+                self.old = dict(self)
                 self.clear()
             self[cut] = ids
         return ids
 
+    def _fresh(self, cut: str) -> bytes | None:
+        """Ids from the library; None if the cut is made of parts."""
+        if cut.isalpha() and (cut.isascii() or max(cut) <= _LAST_SIMPLE):
+            return self.owner.letters(self.lead + cut)
+        if not cut or cut[0].isspace() or cut[-1].isspace():
+            raise _Whole
+        if cut[-1] in _PUNCTUATION and self._simple(cut[:-1]) or "\n" in cut[1:-1]:
+            return None
+        return self.owner.library(self.lead + cut)
+
+    @staticmethod
+    def _simple(stem: str) -> bool:
+        return stem.isalpha() and (stem.isascii() or max(stem) <= _LAST_SIMPLE)
+
+    def _joined(self, cut: str) -> bytes:
+        """A word and its mark, or two lines, each a pre-token or more of its own."""
+        stem = cut[:-1]
+        if cut[-1] in _PUNCTUATION and self._simple(stem):
+            return self[stem] + self.owner.first[cut[-1]]
+        left, _, right = cut.partition("\n")
+        if left[-1].isspace() or right[0].isspace():
+            raise _Whole
+        return self[left] + self.owner.newline + self.owner.first[right]
+
 
 class Encoder:
     """The tokenizers library behind a cache of cuts."""
@@ -72,15 +110,27 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype, self.limit = Tokenizer.from_str(definition), dtype, limit
+        self.code = "H" if dtype == "<u2" else "I"
         kind = type(self.tokenizer.pre_tokenizer).__name__
         # Cutting at spaces holds for byte-level pre-tokens without a normalizer only.
         self.cuttable = kind == "ByteLevel" and self.tokenizer.normalizer is None
+        self.merge = self.tokenizer.model.tokenize
         self.first, self.rest = Cuts(self, ""), Cuts(self, " ")
         self.newline = self.library("\n") if self.cuttable else b""
 
+    def _packed(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
     def library(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.dtype).tobytes()
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def letters(self, word: str) -> bytes:
+        """Letters after at most one space are one pre-token: straight to the library's model."""
+        marked = word.encode().decode("latin-1").translate(_MARKS)
+        return self._packed([t.id for t in self.merge(marked)])
 
     def encode(self, text: str) -> bytes:
         if not text:
