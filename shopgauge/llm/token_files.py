@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from . import files
 from .common import stored
 
-_PUNCTUATION = frozenset(".,")
+_PUNCTUATION = (".", ",")
 _LAST_SIMPLE = "ԯ"  # Latin, Greek and Cyrillic letters that every Unicode table knows
 
 
@@ -66,11 +66,18 @@ class Cuts(dict):
         self.owner, self.lead, self.old = owner, lead, {}
 
     def __missing__(self, cut: str) -> bytes:
+        if cut[-1:] in _PUNCTUATION and self._simple(cut[:-1]):
+            return self[cut[:-1]] + self.owner.first[cut[-1]]
         ids = self.old.get(cut)
         if ids is None:
-            ids = self._fresh(cut)
-        if ids is None:
-            return self._joined(cut)
+            if self._simple(cut):
+                ids = self.owner.letters(self.lead + cut)
+            elif not cut or cut[0].isspace() or cut[-1].isspace():
+                raise _Whole
+            elif "\n" in cut:
+                return self._lines(cut)
+            else:
+                ids = self.owner.library(self.lead + cut)
         if len(cut) <= 64:
             if len(self) >= self.owner.limit:
                 self.old = dict(self)
@@ -78,25 +85,12 @@ class Cuts(dict):
             self[cut] = ids
         return ids
 
-    def _fresh(self, cut: str) -> bytes | None:
-        """Ids from the library; None if the cut is made of parts."""
-        if cut.isalpha() and (cut.isascii() or max(cut) <= _LAST_SIMPLE):
-            return self.owner.letters(self.lead + cut)
-        if not cut or cut[0].isspace() or cut[-1].isspace():
-            raise _Whole
-        if cut[-1] in _PUNCTUATION and self._simple(cut[:-1]) or "\n" in cut[1:-1]:
-            return None
-        return self.owner.library(self.lead + cut)
-
     @staticmethod
     def _simple(stem: str) -> bool:
         return stem.isalpha() and (stem.isascii() or max(stem) <= _LAST_SIMPLE)
 
-    def _joined(self, cut: str) -> bytes:
-        """A word and its mark, or two lines, each a pre-token or more of its own."""
-        stem = cut[:-1]
-        if cut[-1] in _PUNCTUATION and self._simple(stem):
-            return self[stem] + self.owner.first[cut[-1]]
+    def _lines(self, cut: str) -> bytes:
+        """The line break between two non-spaces is a pre-token of its own."""
         left, _, right = cut.partition("\n")
         if left[-1].isspace() or right[0].isspace():
             raise _Whole
@@ -151,7 +145,7 @@ _WORKER: dict[tuple, Encoder] = {}
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str = "doc_id",
                       text_col: str = "text", end_id: int = 0,
-                      cache_size: int = 400_000) -> DataFrame:
+                      cache_size: int = 600_000) -> DataFrame:
     """Write all documents' ids below ``folder``; the stored manifest, one row per part."""
     from tokenizers import Tokenizer
 
