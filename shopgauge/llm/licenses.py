@@ -5,7 +5,9 @@ word n-grams (one to three words) that occur in any licence template. A multinom
 regression over these sparse features predicts the licence family or ``unknown``. Its probabilities
 are calibrated by a temperature fitted on held-out rows, and a family is accepted only from
 ``least_probability``. An accepted prediction is confirmed if a template of that family has
-``least_overlap`` of its three-word shingles in the window.
+``least_overlap`` of its three-word shingles in the window, and the window holds a word of the
+family's own if all its templates do (``affero``). Every other family whose template is in the window
+is judged by the template's stretch alone, so one window can confirm several families.
 
 Training rows are variants of the templates (spans, dropped words, surrounding text) and, as
 ``unknown``, paragraphs of a bounded, documented sample: ``sample_docs`` documents drawn by a hash of
@@ -106,6 +108,9 @@ TEMPLATES: dict[str, list[str]] = {
     ],
 }
 
+GNU, OTHER_GNU = ("gpl-2.0", "gpl-3.0"), ("agpl-3.0", "lgpl")
+GNU_NAME = ("gnu", "general", "public")
+
 
 def tokens(text: str) -> list[str]:
     return _WORD.findall(text.lower())
@@ -130,6 +135,10 @@ class Classifier:
         self.families = sorted(TEMPLATES) + [UNKNOWN]
         texts = {f: [tokens(t) for t in TEMPLATES[f]] for f in sorted(TEMPLATES)}
         self.shingles = {f: [grams(t, 3) for t in texts[f]] for f in texts}
+        # Words that all templates of a family and no other family's hold, as "affero".
+        held = {f: set().union(*texts[f]) for f in texts}
+        self.marked = {f: set(texts[f][0]).intersection(*texts[f]).difference(
+            *(held[g] for g in texts if g != f)) for f in texts}
         known = sorted(set().union(*(grams(t) for own in texts.values() for t in own)))
         self.index = {g: i for i, g in enumerate(known)}
         self.single = {g[0] for g in known if len(g) == 1}
@@ -225,7 +234,9 @@ class Classifier:
         """(family, probability, template overlap); None for unknown."""
         if self.single.isdisjoint(words):
             return None
-        found = self.found(words)
+        return self._predict(self.found(words))
+
+    def _predict(self, found: set) -> tuple[str, float, float] | None:
         own = [self.index[g] for g in found]
         if self.base + sum(m for i in own if (m := self.margin[i]) > 0) <= 0:
             return None
@@ -235,6 +246,61 @@ class Classifier:
             return None
         return self.families[k], float(p[k]), self.overlap(self.families[k], found)
 
+    def confirms(self, said: tuple[str, float, float], words: list[str],
+                 least_overlap: float) -> bool:
+        marked = self.marked[said[0]]
+        return said[2] >= least_overlap and not (marked and marked.isdisjoint(words))
+
+    def verdicts(self, words: list[str], least_probability: float,
+                 least_overlap: float) -> tuple[list[tuple[str, float, float]], bool]:
+        """The confirmed families, and whether there was a prediction that nothing confirms."""
+        if self.single.isdisjoint(words):
+            return [], False
+        found = self.found(words)
+        said = self._predict(found)
+        if said is not None and said[1] < least_probability:
+            said = None
+        out = [said] if said and self.confirms(said, words, least_overlap) else []
+        for family, shingles in self.shingles.items():
+            if out and out[0][0] == family:
+                continue
+            # The template's stretch is judged by itself, without its neighbours.
+            for own in shingles:
+                if len(own & found) < least_overlap * len(own):
+                    continue
+                stretch = self._stretch(words, own)
+                local = self.judge(stretch)
+                if local and local[0] == family and local[1] >= least_probability \
+                        and self.confirms(local, stretch, least_overlap):
+                    out.append(local)
+                    break
+        return out, said is not None and not out
+
+    @staticmethod
+    def _stretch(words: list[str], own: set) -> list[str]:
+        """The words that hold most of a template's shingles within little more than its length."""
+        hits = [(i, g) for i in range(len(words) - 2) if (g := tuple(words[i:i + 3])) in own]
+        reach = len(own) + len(own) // 4 + 2
+        near = max(([h for h in hits[k:] if h[0] < i + reach] for k, (i, _) in enumerate(hits)),
+                   key=lambda hs: len({g for _, g in hs}))
+        # With the words that stand where the template's missing ones would: they may tell it apart.
+        missing = len(own) - len({g for _, g in near})
+        return words[max(0, near[0][0] - missing):near[-1][0] + 3 + missing]
+
+    def paragraph(self, words: list[str], least_probability: float,
+                  least_overlap: float) -> tuple[list[tuple[str, float, float]], int]:
+        """What the windows of a paragraph confirm, and how many confirm no prediction."""
+        out, doubtful = [], 0
+        for window in windows(words):
+            confirmed, doubt = self.verdicts(window, least_probability, least_overlap)
+            out += confirmed
+            doubtful += doubt
+        # "Either version 3 of the License" speaks of the licence that the paragraph names.
+        if any(said[0] in OTHER_GNU for said in out) and not any(
+                tuple(words[i:i + 3]) == GNU_NAME for i in range(len(words) - 2)):
+            out = [said for said in out if said[0] not in GNU]
+        return out, doubtful
+
 
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(1, keepdims=True))
@@ -273,13 +339,9 @@ def scan(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id",
                 n += bool(line.strip())
                 continue
             n += 1
-            for window in windows(words):
-                said = model.judge(window)
-                if said is None or said[1] < least_probability:
-                    continue
-                if said[2] < least_overlap:
-                    doubtful += 1
-                    continue
+            confirmed, doubt = model.paragraph(words, least_probability, least_overlap)
+            doubtful += doubt
+            for said in confirmed:
                 hits[said[0]] = hits.get(said[0], 0) + 1
                 if best is None or (said[2], said[1]) > (best[2], best[1]):
                     best = said

@@ -1,3 +1,4 @@
+import pytest
 from rows import documents, frame, prose, EN
 from shopgauge.llm import licenses
 
@@ -37,3 +38,19 @@ def test_odd_rows(spark):
     assert [(r.n_paragraphs, r.licenses) for r in got] == [(0, None)] * 2
     p = model.judge(licenses.tokens("Released under the MIT License."))
     assert 0.5 <= p[1] <= 1
+
+
+@pytest.mark.parametrize("one,other", [
+    ("apache-2.0", "mit"), ("bsd", "isc"), ("gpl-2.0", "gpl-3.0"), ("cc0-1.0", "mit"),
+    ("lgpl", "mpl-2.0"), ("cc-by-sa-4.0", "apache-2.0")])
+def test_two_licences_in_one_window(spark, one, other):
+    docs = frame(spark, documents())
+    model = licenses.train(docs)
+    last = {f: t[-1] for f, t in licenses.TEMPLATES.items()}
+    rows = [(1, last[one] + " " + last[other], "en", "s", 0),
+            (2, last[other] + " Or: " + last[one], "en", "s", 0),
+            (3, last[one], "en", "s", 0), (4, last[other], "en", "s", 0)]
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, rows), model).collect()}
+    both = ",".join(sorted([one, other]))
+    assert [got[i].licenses for i in (1, 2, 3, 4)] == [both, both, one, other]
+    assert got[1].n_confirmed == 2
