@@ -1,7 +1,8 @@
 """License scans: a trained paragraph classifier whose predictions templates must confirm.
 
-Every paragraph (a line; a long one in overlapping windows of ``WINDOW`` words) is turned into the
-word n-grams (one to three words) that occur in any licence template. A multinomial logistic
+Every paragraph (the words between blank lines, its lines joined without their comment marks; a long
+one in overlapping windows of ``WINDOW`` words) is turned into the word n-grams (one to three words)
+that occur in any licence template. A multinomial logistic
 regression over these sparse features predicts the licence family or ``unknown``. Its probabilities
 are calibrated by a temperature fitted on held-out rows, and a family is accepted only from
 ``least_probability``. An accepted prediction is confirmed if a template of that family has
@@ -34,6 +35,8 @@ WINDOW = 64
 STRIDE = 32
 UNKNOWN = "unknown"
 _WORD = re.compile("[0-9a-z]+")
+# What stands before a line's words in source comments; a line of nothing else is blank.
+_MARKS = re.compile(r"""[\s#*/;%!|<>"'{}()\\.=~+_-]*(?:(?:dnl|rem)\b[\s#*/;%!|<>-]*)?""", re.I)
 
 # Licence families and sentences by which their texts are known.
 TEMPLATES: dict[str, list[str]] = {
@@ -116,6 +119,20 @@ def tokens(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def paragraphs(text: str | None) -> Iterator[str]:
+    """The runs of lines between blank lines, without comment marks."""
+    held: list[str] = []
+    for line in (text or "").split("\n"):
+        line = line[_MARKS.match(line).end():]
+        if line:
+            held.append(line)
+        elif held:
+            yield "\n".join(held)
+            held = []
+    if held:
+        yield "\n".join(held)
+
+
 def grams(words: list[str], least: int = 1) -> set[tuple[str, ...]]:
     return {tuple(words[i:i + n]) for n in range(least, 4) for i in range(len(words) - n + 1)}
 
@@ -316,10 +333,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.filter(F.col(id_col).isin(ids)).select(
         F.col(id_col), F.substring(text_col, 1, 20_000)).limit(4 * sample_docs).collect() \
         if ids else []
-    lines = sorted({line for r in rows for line in (r[1] or "").split("\n") if line.strip()})
+    found = sorted({" ".join(w) for r in rows for p in paragraphs(r[1])
+                    for w in windows(tokens(p)) if w})
     rand = random.Random(5)
-    rand.shuffle(lines)
-    return Classifier(lines[:sample_paragraphs])
+    rand.shuffle(found)
+    return Classifier(found[:sample_paragraphs])
 
 
 def scan(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id",
@@ -333,13 +351,10 @@ def scan(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id",
     def one(text: str | None) -> tuple:
         model = sent.value
         n, hits, doubtful, best = 0, {}, 0, None
-        for line in (text or "").split("\n"):
-            words = tokens(line)
-            if not words:
-                n += bool(line.strip())
-                continue
+        for paragraph in paragraphs(text):
             n += 1
-            confirmed, doubt = model.paragraph(words, least_probability, least_overlap)
+            confirmed, doubt = model.paragraph(tokens(paragraph), least_probability,
+                                               least_overlap)
             doubtful += doubt
             for said in confirmed:
                 hits[said[0]] = hits.get(said[0], 0) + 1

@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 from rows import documents, frame, prose, EN
 from shopgauge.llm import licenses
@@ -40,6 +42,42 @@ def test_odd_rows(spark):
     assert 0.5 <= p[1] <= 1
 
 
+GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the "
+       "GNU General Public License as published by the Free Software Foundation, either version 3 of "
+       "the License, or (at your option) any later version.")
+NOTICES = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+           "software and associated documentation files (the \"Software\"), to deal in the Software "
+           "without restriction, including without limitation the rights to use, copy, modify, merge, "
+           "publish, distribute, sublicense, and/or sell copies of the Software.",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are "
+           "permitted provided that the following conditions are met:",
+    "gpl-3.0": GNU,
+    "gpl-2.0": GNU.replace("version 3", "version 2"),
+    "agpl-3.0": GNU.replace("GNU General", "GNU Affero General"),
+    "lgpl": GNU.replace("GNU General", "GNU Lesser General").replace("program", "library"),
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+           "without fee is hereby granted, provided that the above copyright notice and this "
+           "permission notice appear in all copies.",
+}
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "// ", "dnl "])
+def test_wrapped_notices(spark, mark):
+    names = sorted(NOTICES)
+    blank = "\n" + mark.rstrip() + "\n"
+    rows = documents() + [
+        (1000 + i, blank.join([mark + "Some file of ours.", "\n".join(
+            mark + line for line in textwrap.wrap(NOTICES[name], width)), mark + "More text."]),
+         "en", "s", 0) for k, width in enumerate((70, 80)) for i, name in
+        enumerate(names, 100 * k)]
+    docs = frame(spark, rows)
+    got = {r.doc_id: r for r in licenses.scan(docs, licenses.train(docs)).collect()}
+    for i, name in enumerate(names):
+        for at in (1000 + i, 1100 + i):
+            assert (got[at].licenses, got[at].n_paragraphs) == (name, 3)
+
+
 @pytest.mark.parametrize("one,other", [
     ("apache-2.0", "mit"), ("bsd", "isc"), ("gpl-2.0", "gpl-3.0"), ("cc0-1.0", "mit"),
     ("lgpl", "mpl-2.0"), ("cc-by-sa-4.0", "apache-2.0")])
