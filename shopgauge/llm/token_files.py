@@ -90,11 +90,12 @@ class Cuts(dict):
         return stem.isalpha() and (stem.isascii() or max(stem) <= _LAST_SIMPLE)
 
     def _lines(self, cut: str) -> bytes:
-        """The line break between two non-spaces is a pre-token of its own."""
-        left, _, right = cut.partition("\n")
-        if left[-1].isspace() or right[0].isspace():
+        """A line break between two non-spaces is a pre-token of its own."""
+        lines = cut.split("\n")
+        if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
             raise _Whole
-        return self[left] + self.owner.newline + self.owner.first[right]
+        first = self.owner.first
+        return self.owner.newline.join([self[lines[0]], *(first[x] for x in lines[1:])])
 
 
 class Encoder:

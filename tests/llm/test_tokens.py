@@ -30,6 +30,15 @@ def test_ids_and_counts_equal_the_libraries(parts, between):
     assert LENGTHS.count(text) == len(SP.encode(text))
 
 
+def test_thousands_of_line_breaks_without_spaces():
+    for line in ("word{}", "{}", "https://example.org/{}?q=a,b.", "日本語の行{}。", "it's", "end."):
+        for head in ("", "a ", "a, b\n\n"):
+            text = head + "\n".join(line.format(i) for i in range(5000))
+            for whole in (text, text + "\n", text + "\r\nx", text + " z"):
+                ids = np.array(TOKENIZER.encode(whole, add_special_tokens=False).ids, "<u2")
+                assert ENCODER.encode(whole) == ids.tobytes()
+
+
 def test_token_files_round_trip(spark):
     rows = documents()
     where = scratch(spark, "test")
