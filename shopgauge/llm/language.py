@@ -6,7 +6,9 @@ closer the language. Phrases are normalised by log2 of the automaton's sample le
 symbols parsed, an estimate of the cross entropy in bits a symbol; the least one wins.
 
 Texts are folded to lower-case letters with one separator between words (marks, digits and symbols
-are separators; letters the samples lack are single phrases). The parse restarts every ``LANE``
+are separators; letters the samples lack are single phrases). A letter of the samples is one symbol;
+if they hold more than ``MOST_LETTERS``, as with Chinese or Korean, it is one symbol for each byte of
+its UTF-8 form, so that no letter is left out and the tables stay narrow. The parse restarts every ``LANE``
 symbols, which lets numpy step thousands of stretches of whole texts at once through the
 automata's transition tables.
 
@@ -21,7 +23,6 @@ result; very long texts are parsed in slices; other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 LANE = 256
 SLICE = 1 << 20
 MOST_LANGUAGES = 64
+MOST_LETTERS = 250  # that are a symbol each; with the three others they fit a byte
 UNKNOWN = "und"
 
 
@@ -112,23 +114,40 @@ class Model:
                              f"{MOST_LANGUAGES}")
         self.names = sorted(samples)
         letters = _letters()
-        seen = Counter(c for texts in samples.values() for t in texts for c in t.lower())
-        # A letter needs one byte; rarer ones count as letters outside the samples.
-        known = sorted(c for c, _ in Counter({c: n for c, n in seen.items() if c.isalpha()})
-                       .most_common(250))
+        seen = set().union(*(t.lower() for texts in samples.values() for t in texts))
+        known = sorted(c for c in seen if c.isalpha())
+        spelt = len(known) > MOST_LETTERS
         # 0: end of a lane, 1: separator, 2: letter outside the samples, then the alphabet.
-        self.fold = np.ones(0x110000, np.uint8)
+        self.fold = np.ones(0x110000, np.uint32 if spelt else np.uint8)
         self.fold[letters] = 2
         for i, c in enumerate(known):
             for form in {c, c.upper(), c.title()}:
                 if len(form) == 1:
                     self.fold[ord(form)] = i + 3
-        self.width = len(known) + 3
+        # The symbols of each folded letter, filled up with 0.
+        self.spelling, self.width = None, len(known) + 3
+        if spelt:
+            forms = [c.encode() for c in known]
+            place = {b: i + 3 for i, b in enumerate(sorted(set(b"".join(forms))))}
+            self.width = len(place) + 3
+            self.spelling = np.zeros((len(known) + 3, max(map(len, forms))), np.uint8)
+            self.spelling[1, 0] = 1
+            self.spelling[2] = 2
+            for i, form in enumerate(forms):
+                self.spelling[i + 3, :len(form)] = [place[b] for b in form]
         self.automata = []
         for name in self.names:
             sample = squeeze(self.fold[codes([t + " " for t in samples[name]])])[:sample_chars]
             # Unknown letters can't stand in a sample, separators of one symbol can.
-            self.automata.append(Automaton(sample[sample != 2], self.width))
+            sample = self.spell(sample[sample != 2])[0][:sample_chars]
+            self.automata.append(Automaton(sample, self.width))
+
+    def spell(self, sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray | int]:
+        """The symbols of folded letters, and how many each letter has."""
+        if self.spelling is None:
+            return sequence, 1
+        rows = self.spelling[sequence]
+        return rows[rows > 0], (rows > 0).sum(1)
 
     def parse(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(symbols, phrases by language) of each text."""
@@ -148,7 +167,7 @@ class Model:
             for at in range(0, len(text or ""), SLICE):
                 held.append(text[at:at + SLICE])
                 owner.append(i)
-                size += len(held[-1])
+                size += len(held[-1]) * (1 if self.spelling is None else self.spelling.shape[1])
                 if size >= 2 * SLICE:
                     flush()
         flush()
@@ -160,7 +179,8 @@ class Model:
         at = np.repeat(np.arange(len(held)), lengths)
         keep = np.ones(len(sequence), bool)
         keep[1:] = (sequence[1:] != 1) | (sequence[:-1] != 1) | (at[1:] != at[:-1])
-        sequence, at = sequence[keep], at[keep]
+        sequence, times = self.spell(sequence[keep])
+        at = np.repeat(at[keep], times)
         # A text's symbols go to lanes of LANE rows, each closed by symbol 0.
         lengths = np.bincount(at, minlength=len(held))
         has = np.bincount(at, sequence != 1, len(held)) > 0

@@ -56,3 +56,36 @@ def test_empty_table_and_label_bound(spark):
     assert language.identify(bare, language.learn(bare)).first().lang_pred == "und"
     with pytest.raises(ValueError):
         language.Model({f"l{i}": ["x"] for i in range(language.MOST_LANGUAGES + 1)}, 10)
+
+
+def script(first: int, letters: int, seed: int, n: int, blank: str = "") -> str:
+    """Text of a made-up language: words of one to three letters, frequent ones first."""
+    rand = random.Random(f"{first} {seed}")
+    menu = ["".join(chr(first + rand.randrange(letters)) for _ in range(rand.randint(1, 3)))
+            for _ in range(4000)]
+    draw = random.Random(n)
+    return "".join(menu[int(4000 * draw.random() ** 3)] + (
+        "。" if draw.random() < 0.08 else blank) for _ in range(400))
+
+
+def test_languages_that_share_a_large_script(spark):
+    kinds = {"ja": (0x4E00, 3000, 1), "zh": (0x4E00, 3000, 2), "ko": (0xAC00, 2000, 3),
+             "ru": (0x430, 32, 4)}
+    rows = documents() + [
+        (1000 * k + i, script(*kind, i, " " if name in ("ko", "ru") else ""), name, "s", 0)
+        for k, (name, kind) in enumerate(kinds.items(), 1) for i in range(120)]
+    rows.append((9000, script(0x0E01, 40, 5, 1), None, "s", 0))  # a script without labels
+    docs = frame(spark, rows)
+    model = language.learn(docs)
+    got = {r.doc_id: r for r in language.identify(docs, model).collect()}
+    mine = [r for r in rows if r[0] is not None and 1000 <= r[0] < 9000]
+    assert sum(got[r[0]].held_out for r in mine) > 100
+    assert all(got[r[0]].lang_pred == r[2] for r in mine)
+    kept = {r.doc_id for r in language.in_known_language(docs, model).collect()}
+    assert {r[0] for r in mine} <= kept and 9000 not in kept
+    assert all(i in kept for i in range(20) if i)
+    # Every letter of the samples can be told from the others.
+    held = sorted({c for r in mine for c in r[1] if c.isalpha()})
+    learnt = [c for c in held if model.fold[ord(c)] > 2]
+    assert len(learnt) > 3000
+    assert len({tuple(model.spell(model.fold[[ord(c)]])[0]) for c in learnt}) == len(learnt)
