@@ -52,6 +52,18 @@ def test_cleaning_keeps_clean_text_and_drops_failing_lines(spark):
     assert (got[2].text, got[2].n_chars) == (clean, len(clean))
 
 
+@pytest.mark.parametrize("phrase", quality.BOILERPLATE)
+def test_one_stock_phrase_does_not_cost_a_long_line(spark, phrase):
+    long = " ".join(f"word{i}" for i in range(150)) + f" {phrase} " + " ".join(
+        f"more{i}" for i in range(150)) + "."
+    other = " ".join(f"other{i}" for i in range(40)) + "."
+    rows = [(1, long, "en", "s", len(long)), (2, f"{long}\n{other}", "en", "s", 9),
+            (3, f"{other}\nHere is the {phrase}, with {phrase.title()}.", "en", "s", 9)]
+    got = {r.doc_id: r for r in quality.clean_documents(frame(spark, rows, extra=True)).collect()}
+    assert {i: r.text for i, r in got.items()} == {1: long, 2: f"{long}\n{other}", 3: other}
+    assert got[1].n_chars == len(long)
+
+
 def test_odd_rows(spark):
     assert quality.quality_report(frame(spark, [])).count() == 0
     assert same(quality.quality_report(frame(spark)), quality.quality_report(frame(spark, extra=True)))
