@@ -13,8 +13,9 @@ symbols, which lets numpy step thousands of stretches of whole texts at once thr
 automata's transition tables.
 
 Learning uses a bounded sample, a documented parameter: for each language ``sample_rows`` labelled
-documents drawn by a hash of the id, and at most ``sample_chars`` symbols of them. There may be at
-most ``MOST_LANGUAGES`` labels (an error beyond that), so the broadcast tables are bounded.
+documents drawn by a hash of the id, and at most ``sample_chars`` symbols of them. A ``Model`` holds
+at most ``MOST_LANGUAGES`` labels (an error beyond that); ``learn`` makes as many as the labels need,
+over one alphabet, each broadcast by itself, and the least entropy over all of them wins.
 
 Edge cases: a null text, or one without letters, is ``und`` with score 0; ties go to the language
 whose name sorts first; without any labelled row every text is ``und``; repeated rows repeat their
@@ -108,14 +109,14 @@ class Automaton:
 class Model:
     """Automata of all languages over one folded alphabet."""
 
-    def __init__(self, samples: dict[str, list[str]], sample_chars: int):
+    def __init__(self, samples: dict[str, list[str]], sample_chars: int,
+                 alphabet: set[str] | None = None):
         if len(samples) > MOST_LANGUAGES:
             raise ValueError(f"{len(samples)} languages; the tables are bounded for "
                              f"{MOST_LANGUAGES}")
         self.names = sorted(samples)
         letters = _letters()
-        seen = set().union(*(t.lower() for texts in samples.values() for t in texts))
-        known = sorted(c for c in seen if c.isalpha())
+        known = sorted(alphabet_of(samples) if alphabet is None else alphabet)
         spelt = len(known) > MOST_LETTERS
         # 0: end of a lane, 1: separator, 2: letter outside the samples, then the alphabet.
         self.fold = np.ones(0x110000, np.uint32 if spelt else np.uint8)
@@ -194,24 +195,52 @@ class Model:
         for k, automaton in enumerate(self.automata):
             np.add.at(found[k], whose, automaton.phrases(matrix))
 
+    @property
+    def groups(self) -> list[Model]:
+        return [self]
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, score, phrases a symbol) of each text."""
-        symbols, found = self.parse(texts)
-        if not self.names:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-        size = np.maximum(symbols, 1)
-        entropy = found * np.array([[a.bits] for a in self.automata]) / size
-        best = entropy.argmin(0)
-        least = entropy.min(0)
-        if len(self.names) > 1:
-            second = np.partition(entropy, 1, axis=0)[1]
-            score = np.clip(1 - least / np.maximum(second, 1e-12), 0, 1)
-        else:
-            score = np.ones(len(texts))
-        none = symbols == 0
-        names = [UNKNOWN if no else self.names[b] for b, no in zip(best, none)]
-        return names, np.where(none, 0.0, score), np.where(
-            none, 0.0, np.take_along_axis(found, best[None], 0)[0] / size)
+        return predict([self], texts)
+
+
+class Models:
+    """Models over one alphabet, for more labels than one holds."""
+
+    def __init__(self, groups: list[Model]):
+        self.groups = groups
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        return predict(self.groups, texts)
+
+
+def alphabet_of(samples: dict[str, list[str]]) -> set[str]:
+    """The letters of all samples, in lower case."""
+    seen = set().union(*(t.lower() for texts in samples.values() for t in texts))
+    return {c for c in seen if c.isalpha()}
+
+
+def predict(models: list[Model],
+            texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, score, phrases a symbol) of each text over all models' languages."""
+    parsed = [model.parse(texts) for model in models]
+    labels = [name for model in models for name in model.names]
+    symbols, found = parsed[0][0], np.concatenate([f for _, f in parsed])
+    if not labels:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    size = np.maximum(symbols, 1)
+    entropy = found * np.array([[a.bits] for model in models for a in model.automata]) / size
+    best = entropy.argmin(0)
+    least = entropy.min(0)
+    if len(labels) > 1:
+        second = np.partition(entropy, 1, axis=0)[1]
+        score = np.clip(1 - least / np.maximum(second, 1e-12), 0, 1)
+    else:
+        score = np.ones(len(texts))
+    none = symbols == 0
+    names = [UNKNOWN if no else labels[b] for b, no in zip(best, none)]
+    return names, np.where(none, 0.0, score), np.where(
+        none, 0.0, np.take_along_axis(found, best[None], 0)[0] / size)
 
 
 def squeeze(sequence: np.ndarray) -> np.ndarray:
@@ -226,34 +255,45 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang", sample_rows: int = 48, sample_chars: int = 40_000) -> Model:
+          lang_col: str = "lang", sample_rows: int = 48,
+          sample_chars: int = 40_000) -> Model | Models:
     """A model of the labelled documents that aren't held out."""
     learnt = docs.filter(~F.coalesce(held_out(id_col), F.lit(False))
                          & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     draw = F.xxhash64(F.col(id_col), F.lit("sample"))
-    rank = F.row_number().over(Window.partitionBy(lang_col).orderBy(draw, id_col))
-    chosen = (learnt.select(F.col(id_col), F.col(lang_col)).withColumn("rank", rank)
-              .filter(F.col("rank") <= sample_rows).select(id_col).distinct()
-              .limit(MOST_LANGUAGES * sample_rows + 1).collect())
-    if len(chosen) > MOST_LANGUAGES * sample_rows:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    ids = sorted(r[0] for r in chosen if r[0] is not None)
-    rows = (learnt.filter(F.col(id_col).isin(ids)).select(
-        F.col(id_col).alias("i"), F.col(lang_col).alias("lang"),
-        F.substring(text_col, 1, 4 * sample_chars).alias("text"))
-        .orderBy("lang", "i").limit(MOST_LANGUAGES * sample_rows).collect()) if ids else []
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(draw, id_col))
+    chosen = (learnt.select(F.col(id_col), F.col(lang_col).alias("lang")).withColumn("rank", rank)
+              .filter(F.col("rank") <= sample_rows).select(id_col, "lang").distinct().collect())
+    ids: dict[str, set] = {}
+    for r in chosen:
+        if r[0] is not None:
+            ids.setdefault(r[1], set()).add(r[0])
+    labels = sorted(ids)
     samples: dict[str, list[str]] = {}
-    for r in rows:
-        own = samples.setdefault(r["lang"], [])
-        if sum(map(len, own)) < 2 * sample_chars:
-            own.append(r["text"])
-    return Model(samples, sample_chars)
+    each = F.row_number().over(Window.partitionBy("lang").orderBy("i", F.xxhash64("text")))
+    for at in range(0, len(labels), MOST_LANGUAGES):
+        group = labels[at:at + MOST_LANGUAGES]
+        # Ids can repeat: the bound on rows is a language's own.
+        rows = (learnt.filter(F.col(lang_col).isin(group) & F.col(id_col).isin(
+            sorted(set().union(*(ids[k] for k in group))))).select(
+            F.col(id_col).alias("i"), F.col(lang_col).alias("lang"),
+            F.substring(text_col, 1, 4 * sample_chars).alias("text"))
+            .withColumn("rank", each).filter(F.col("rank") <= sample_rows)
+            .orderBy("lang", "rank").collect())
+        for r in rows:
+            own = samples.setdefault(r["lang"], [])
+            if sum(map(len, own)) < 2 * sample_chars:
+                own.append(r["text"])
+    names, alphabet = sorted(samples), alphabet_of(samples)
+    groups = [Model({k: samples[k] for k in names[at:at + MOST_LANGUAGES]}, sample_chars, alphabet)
+              for at in range(0, max(1, len(names)), MOST_LANGUAGES)]
+    return groups[0] if len(groups) == 1 else Models(groups)
 
 
 _WORKER: dict = {}
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id",
+def identify(docs: DataFrame, model: Model | Models, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred, score and phrases_per_symbol of every document."""
     spark: SparkSession = docs.sparkSession
@@ -266,33 +306,34 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id",
         "phrases_per_symbol double")
 
 
-def _predictor(spark: SparkSession, model: Model, carried: list[str]):
-    sent = spark.sparkContext.broadcast(model)
+def _predictor(spark: SparkSession, model: Model | Models, carried: list[str]):
+    sent = [spark.sparkContext.broadcast(m) for m in model.groups]
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, score, rate = sent.value.predict(batch.column("text").to_pylist())
+            names, score, rate = predict([m.value for m in sent],
+                                         batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carried), pa.array(names, pa.string()),
                  pa.array(score), pa.array(rate)],
                 names=[*carried, "lang_pred", "score", "phrases_per_symbol"])
 
-    return predict
+    return judge
 
 
-def in_known_language(docs: DataFrame, model: Model, text_col: str = "text",
+def in_known_language(docs: DataFrame, model: Model | Models, text_col: str = "text",
                       most_phrases: float = 0.5) -> DataFrame:
     """The documents in one of the learnt languages, all their columns as they were.
 
     Rejected: texts without letters, and texts whose best language needs more than
     ``most_phrases`` phrases a symbol, that is, whose letters or letter pairs no sample has.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = [docs.sparkSession.sparkContext.broadcast(m) for m in model.groups]
     place = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, _, rate = sent.value.predict(batch.column(place).to_pylist())
+            names, _, rate = predict([m.value for m in sent], batch.column(place).to_pylist())
             good = (np.array(names) != UNKNOWN) & (rate <= most_phrases)
             yield batch.filter(pa.array(good))
 

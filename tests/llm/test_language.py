@@ -89,3 +89,20 @@ def test_languages_that_share_a_large_script(spark):
     learnt = [c for c in held if model.fold[ord(c)] > 2]
     assert len(learnt) > 3000
     assert len({tuple(model.spell(model.fold[[ord(c)]])[0]) for c in learnt}) == len(learnt)
+
+
+def test_more_labels_than_one_model_holds(spark):
+    names = [f"l{k:03d}" for k in range(language.MOST_LANGUAGES + 6)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = {n: ["".join(random.Random(f"{n} {w}").choices(letters, k=6)) for w in range(40)]
+           for n in names}
+    rows = [(10 * k + i, " ".join(random.Random(i).choices(own[n], k=60)), n, "s", 0)
+            for k, n in enumerate(names) for i in range(6)]
+    # One id in very many rows must not push the last languages out.
+    rows += [(0, rows[0][1], names[0], "s", 0)] * (language.MOST_LANGUAGES * 48)
+    docs = frame(spark, rows)
+    model = language.learn(docs)
+    assert [n for m in model.groups for n in m.names] == names
+    got = {r.doc_id: r for r in language.identify(docs, model).collect()}
+    assert all(got[r[0]].lang_pred == r[2] for r in rows)
+    assert language.in_known_language(docs, model).count() == len(rows)
