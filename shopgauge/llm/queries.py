@@ -14,6 +14,7 @@ from . import (
     near_text,
     packing,
     quality,
+    repeats,
     token_counts,
     token_files,
     vectors,
@@ -82,6 +83,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_licenses": op1_licenses,
     "op2_near_documents": op2_near_documents,
@@ -93,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "op12_repeats": op12_repeats,
 }
 
 _WORDS = "list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')"
@@ -197,8 +206,39 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM g
 """
 
+_OP12 = """
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS k, encode(coalesce(text, '')) AS x,
+         strlen(coalesce(text, ''))::BIGINT AS n_bytes
+  FROM documents
+), w AS (
+  SELECT k, i, md5_number(x[i+1:i+400]) AS g
+  FROM (SELECT k, x, unnest(range(0, n_bytes - 399)) AS i FROM d WHERE n_bytes >= 400)
+), twice AS (
+  SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY g) AS c FROM w) WHERE c > 1
+), runs AS (
+  SELECT k, min(i) AS a, max(i) + 400 AS b
+  FROM (SELECT k, i, sum(new) OVER (PARTITION BY k ORDER BY i) AS run
+        FROM (SELECT k, i, CASE WHEN i - lag(i) OVER (PARTITION BY k ORDER BY i) <= 400 THEN 0 ELSE 1 END AS new
+              FROM twice))
+  GROUP BY k, run
+), kept AS (
+  SELECT k, count(*)::BIGINT AS n_spans, sum(b - a)::BIGINT AS n_removed,
+         list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends
+  FROM runs GROUP BY k
+)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       CASE WHEN kept.k IS NULL THEN sha256(x)
+            ELSE sha256(unhex(array_to_string(list_transform(range(0, len(starts) + 1),
+              lambda j: hex(x[CASE WHEN j = 0 THEN 1 ELSE ends[j] + 1 END:
+                          CASE WHEN j = len(starts) THEN n_bytes ELSE starts[j + 1] END])), '')))
+       END AS kept_sha256
+FROM d LEFT JOIN kept USING (k)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op7_warc": _OP7,
     "op8_mix_sources": _OP8,
     "op10_quality_rules": _OP10,
+    "op12_repeats": _OP12,
 }

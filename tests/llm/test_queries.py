@@ -21,7 +21,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_operators_are_registered():
     names = [re.match(r"op(\d+)_", n) for n in E.queries()]
-    assert {int(m[1]) for m in names if m} == set(range(1, 11))
+    assert {int(m[1]) for m in names if m} == set(range(1, 14))
     assert "pipeline" in E.queries() and set(queries.ORACLE_SQL) <= set(E.oracle_sql())
 
 
