@@ -15,6 +15,7 @@ from . import (
     packing,
     quality,
     repeats,
+    search,
     token_counts,
     token_files,
     vectors,
@@ -83,6 +84,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select(
@@ -101,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "op11_search": op11_search,
     "op12_repeats": op12_repeats,
 }
 
@@ -206,6 +212,40 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM g
 """
 
+_TERMS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+
+_OP11 = f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS k, {_TERMS} AS t FROM documents
+), sizes AS (
+  SELECT k, doc_id, len(t)::BIGINT AS n FROM d WHERE len(t) > 0
+), total AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes
+), asked AS (
+  SELECT q, item_id, unnest(list_distinct(t)) AS term
+  FROM (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS t FROM benchmark)
+), tfs AS (
+  SELECT k, term, count(*)::BIGINT AS tf
+  FROM (SELECT k, unnest(t) AS term FROM d) SEMI JOIN asked USING (term)
+  GROUP BY k, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM tfs GROUP BY term), total
+), shares AS (
+  SELECT k, doc_id, term,
+         w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))) AS s
+  FROM tfs JOIN sizes USING (k) JOIN weights USING (term), total
+), scored AS (
+  SELECT q, item_id, k, doc_id, sum(s)::BIGINT AS score
+  FROM asked JOIN shares USING (term) GROUP BY q, item_id, k, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+      FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
 _OP12 = """
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS k, encode(coalesce(text, '')) AS x,
@@ -240,5 +280,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_warc": _OP7,
     "op8_mix_sources": _OP8,
     "op10_quality_rules": _OP10,
+    "op11_search": _OP11,
     "op12_repeats": _OP12,
 }
