@@ -110,17 +110,15 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     here = sentencepiece.SentencePieceProcessor(model_proto=model)
     units = frequent_units(docs, text_col, table_size)
     lengths = bytes(min(len(x), 255) for x in here.encode(units, num_threads=1)) if units else b""
-    sent = docs.sparkSession.sparkContext.broadcast((model, "\n".join(u.replace("\n", "\0\0")
-                                                                      for u in units), lengths))
+    sent = docs.sparkSession.sparkContext.broadcast((model, units, lengths))
     key = f"{model_path}:{sent._jbroadcast.id()}" if hasattr(sent, "_jbroadcast") else model_path
     types = docs.select(F.col(id_col).alias("doc_id")).schema["doc_id"].dataType
 
     def lookup() -> Lengths:
         if key not in _WORKER:
-            proto, joined, counts = sent.value
+            proto, frequent, counts = sent.value
             own = sentencepiece.SentencePieceProcessor(model_proto=proto)
-            table = {u.replace("\0\0", "\n"): n for u, n in zip(joined.split("\n"), counts)
-                     if n < 255} if counts else {}
+            table = {u: n for u, n in zip(frequent, counts) if n < 255}
             _WORKER.clear()
             _WORKER[key] = Lengths(own.encode, table, cache_size + len(table))
         return _WORKER[key]

@@ -66,6 +66,15 @@ def test_token_counts(spark):
     assert token_counts.token_counts(frame(spark, []), PIECES).count() == 0
 
 
+def test_units_with_control_characters(spark):
+    """A unit with a line break and one with NULs keep their own counts in the broadcast table."""
+    texts = ["x\ny x\ny x\ny", "x\0\0y", "x\0\0y x\0\0y \0", "a\rb a\rb", "a\x85b a\u2028b a\x85b",
+             "\0\0", "\n", "a\\nb a\\nb"]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    got = token_counts.token_counts(frame(spark, rows).coalesce(1), PIECES).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(SP.encode(t)) for i, t in enumerate(texts)}
+
+
 def test_best_fit_prefers_the_fullest_and_downsizes():
     bins, starts, final = packing.best_fit([6, 5, 3, 2], (4, 8), float)
     used = np.bincount(bins, [6, 5, 3, 2])
