@@ -5,8 +5,8 @@ Every line that holds a word is judged by itself:
 * punctuation: more than a third as many piled-up marks (``WORD!!``, ``word%%%``) as words;
 * navigation: more than one separator for four words (``Home | News | Contact``), or a short
   label (at most ``label_words`` words) without closing punctuation;
-* boilerplate: it holds a stock phrase of web furniture; for ``clean_documents``, only if such phrases
-  make up more than a quarter of its words, so that a long line doesn't go for one mention.
+* boilerplate: stock phrases of web furniture, in four languages, make up more than a quarter of
+  its words, so that a long line doesn't go for one mention.
 
 Failing lines are removed. The document is rejected if less than ``keep_share`` of its words
 remain, or if a rule on the whole text fails (under ten words, or more than a fifth of its words
@@ -16,8 +16,8 @@ All of it is built-in column functions in narrow projections: no shuffle, no Pyt
 
 Edge cases: a null or empty text has no words and fails the base rule; a repeated row gives a
 repeated result; a text of one huge line is one array element; an empty table gives an empty
-result. ``quality_report`` follows the query's SQL, which fails a line of any length on one phrase, and returns only its own columns; ``clean_documents`` passes every other
-column of its input on.
+result. ``quality_report`` returns only its own columns; ``clean_documents`` passes every other column
+of its input on.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ SYMBOLS = "#*$%&|<>"
 
 # Stock phrases of web furniture, in lower case.
 BOILERPLATE = [
+    # English
     "accept all cookies",
     "all rights reserved",
     "click here to",
@@ -50,6 +51,29 @@ BOILERPLATE = [
     "terms of service",
     "terms of use",
     "this site uses cookies",
+    # Spanish
+    "aceptar todas las cookies",
+    "aviso legal",
+    "haga clic aquí",
+    "política de cookies",
+    "política de privacidad",
+    "todos los derechos reservados",
+    "términos de uso",
+    # German
+    "alle cookies akzeptieren",
+    "alle rechte vorbehalten",
+    "allgemeine geschäftsbedingungen",
+    "diese website verwendet cookies",
+    "hier klicken",
+    "newsletter abonnieren",
+    # French
+    "accepter tous les cookies",
+    "ce site utilise des cookies",
+    "cliquez ici",
+    "conditions d'utilisation",
+    "mentions légales",
+    "politique de confidentialité",
+    "tous droits réservés",
 ]
 
 _WS = r"[\x20\x09-\x0D]"
@@ -96,33 +120,33 @@ def _span_words(starts: Column) -> Column:
     return F.coalesce(_let(starts, total), F.lit(0))
 
 
-def _stock_words(lowered: Column) -> Column:
-    """How many words of a line belong to stock phrases."""
-    by_words: dict[int, list[str]] = {}
+def phrases_by_words() -> dict[int, str]:
+    """A pattern of the stock phrases of each number of words."""
+    found: dict[int, list[str]] = {}
     for phrase in BOILERPLATE:
-        by_words.setdefault(len(phrase.split()), []).append(phrase)
-    counts = [F.regexp_count(lowered, F.lit("|".join(own))) * k for k, own in by_words.items()]
-    return reduce(Column.__add__, counts)
+        found.setdefault(len(phrase.split()), []).append(phrase)
+    return {k: "|".join(own) for k, own in found.items()}
+
 
+def _stock_words(lowered: Column) -> Column:
+    """How many words of a line belong to stock phrases."""
+    return reduce(Column.__add__, [F.regexp_count(lowered, F.lit(pattern)) * k
+                                   for k, pattern in phrases_by_words().items()])
 
-def line_fails(line: Column, label_words: int = 3, any_stock: bool = True) -> Column:
-    """True for a line that one of the three line rules removes.
 
-    One stock phrase fails a line of any length if ``any_stock``; else they have to make up more than
-    a quarter of its words.
-    """
+def line_fails(line: Column, label_words: int = 3) -> Column:
+    """True for a line that one of the three line rules removes."""
     n = F.size(words(line))
     piled = F.regexp_count(line, F.lit(rf"([!?.]{{2,}}|[{SYMBOLS}]{{2,}})(?={_WS}|$)"))
     bars = F.regexp_count(line, F.lit(rf"(?<={_WS}|^)[|»•>](?={_WS}|$)"))
     closed = line.rlike(rf"[.!?:;…\"')”»。！？]{_WS}*$")
-    stock = F.lower(line).rlike("|".join(BOILERPLATE))
-    if not any_stock:
-        stock = stock & (_stock_words(F.lower(line)) * 4 > n)
+    # Most lines hold no phrase and end at the first test.
+    stock = F.lower(line).rlike("|".join(BOILERPLATE)) & (_stock_words(F.lower(line)) * 4 > n)
     return (piled * 3 > n) | (bars * 4 > n) | ((n <= label_words) & ~closed) | stock
 
 
 def _judged(docs: DataFrame, id_col: str, text_col: str, keep_share: float,
-            rest: list[Column], any_stock: bool = True) -> DataFrame:
+            rest: list[Column]) -> DataFrame:
     """One row per document: its figures, its cleaned text and the verdict."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     step = docs.select(F.col(id_col).alias("doc_id"), text.alias("_text"), *rest)
@@ -132,7 +156,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, keep_share: float,
     })
     step = step.withColumns({
         "_hashes": _window_hashes(F.col("_words")),
-        "_kept_lines": F.filter("_lines", lambda x: ~line_fails(x, any_stock=any_stock)),
+        "_kept_lines": F.filter("_lines", lambda x: ~line_fails(x)),
         "_glued": F.array_join("_words", ""),
     })
     step = step.withColumn("_starts", _repeat_starts(F.col("_hashes")))
@@ -174,8 +198,7 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A text without a failing line stays byte for byte; ``length_col`` follows a changed text.
     """
     judged = _judged(docs, id_col, text_col, keep_share,
-                     [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")],
-                     any_stock=False)
+                     [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")])
     changed = F.col("n_lines_removed") > 0
     out = []
     for c in docs.columns:

@@ -154,7 +154,9 @@ SELECT doc_id, size, source_size, target,
 FROM walked
 """
 
-_STOCK = "|".join(quality.BOILERPLATE)
+_STOCK = " + ".join(
+    f"{k} * len(regexp_extract_all(lower(line), '" + p.replace("'", "''") + "'))"
+    for k, p in quality.phrases_by_words().items())
 _OP10 = f"""
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS k, coalesce(text, '') AS text, {_WORDS} AS w,
@@ -176,11 +178,11 @@ WITH d AS (
          len(regexp_extract_all(line, '([!?.]{{2,}}|[#*$%&|<>]{{2,}})([ \\t\\n\\x0B\\f\\r]|$)')) AS piled,
          len(list_filter(string_split_regex(line, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x IN ('|', '»', '•', '>'))) AS bars,
          regexp_matches(line, '[.!?:;…"'')”»。！？][ \\t\\n\\x0B\\f\\r]*$') AS closed,
-         regexp_matches(lower(line), '{_STOCK}') AS stock
+         {_STOCK} AS stock
   FROM line
 ), cut AS (
   SELECT k, count(*) AS n_lines, sum(bad::INT) AS n_removed, sum(CASE WHEN bad THEN 0 ELSE n END) AS n_left
-  FROM (SELECT k, n, (piled * 3 > n OR bars * 4 > n OR (n <= 3 AND NOT closed) OR stock) AS bad
+  FROM (SELECT k, n, (piled * 3 > n OR bars * 4 > n OR (n <= 3 AND NOT closed) OR stock * 4 > n) AS bad
         FROM judged)
   GROUP BY k
 ), base AS (

@@ -62,6 +62,8 @@ def test_one_stock_phrase_does_not_cost_a_long_line(spark, phrase):
     got = {r.doc_id: r for r in quality.clean_documents(frame(spark, rows, extra=True)).collect()}
     assert {i: r.text for i, r in got.items()} == {1: long, 2: f"{long}\n{other}", 3: other}
     assert got[1].n_chars == len(long)
+    assert {r.doc_id: (r.kept, r.n_lines_removed) for r in quality.quality_report(
+        frame(spark, rows)).collect()} == {1: (True, 0), 2: (True, 0), 3: (True, 1)}
 
 
 def test_odd_rows(spark):
