@@ -123,9 +123,9 @@ def _anchor_rows(least: int):
                     names.append(digest(data[a:b + least], digest_size=16,
                                         salt=bytes((x, y))).digest())
                 name = np.frombuffer(b"".join(names), "<i8")
-                own = batch.take(pa.array(text))
+                text = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
-                    [own.column("doc"), own.column("th"),
+                    [batch.column("doc").take(text), batch.column("th").take(text),
                      pa.array((at + shift) << 16 | lo << 8 | hi),
                      pa.array(np.array(ranks, np.uint64).view(np.int64)),
                      pa.array(name[::2]), pa.array(name[1::2])],
