@@ -64,20 +64,16 @@ class Cuts(dict):
     def __init__(self, owner: Encoder, lead: str):
         super().__init__()
         self.owner, self.lead, self.old = owner, lead, {}
+        self.mark, self.merge, self.packed = lead.translate(_MARKS), owner.merge, owner.packed
 
     def __missing__(self, cut: str) -> bytes:
-        if cut[-1:] in _PUNCTUATION and self._simple(cut[:-1]):
-            return self[cut[:-1]] + self.owner.first[cut[-1]]
         ids = self.old.get(cut)
         if ids is None:
-            if self._simple(cut):
-                ids = self.owner.letters(self.lead + cut)
-            elif not cut or cut[0].isspace() or cut[-1].isspace():
-                raise _Whole
-            elif "\n" in cut:
-                return self._lines(cut)
+            if cut.isascii() and cut.isalpha():  # as in Encoder.letters, most misses by far
+                packed = self.packed
+                ids = b"".join([packed[t.id] for t in self.merge(self.mark + cut)])
             else:
-                ids = self.owner.library(self.lead + cut)
+                ids = self._ids(cut)
         if len(cut) <= 64:
             if len(self) >= self.owner.limit:
                 self.old = dict(self)
@@ -85,6 +81,22 @@ class Cuts(dict):
             self[cut] = ids
         return ids
 
+    def _ids(self, cut: str) -> bytes:
+        if cut[-1:] in _PUNCTUATION:
+            # A mark behind a letter is a pre-token of its own, whatever stands before.
+            ids = self.get(cut[:-1])
+            if ids is not None and cut[-2:-1].isalpha():
+                return ids + self.owner.first[cut[-1]]
+            if self._simple(cut[:-1]):
+                return self[cut[:-1]] + self.owner.first[cut[-1]]
+        if self._simple(cut):
+            return self.owner.letters(self.lead + cut)
+        if not cut or cut[0].isspace() or cut[-1].isspace():
+            raise _Whole
+        if "\n" in cut:
+            return self._lines(cut)
+        return self.owner.library(self.lead + cut)
+
     @staticmethod
     def _simple(stem: str) -> bool:
         return stem.isalpha() and (stem.isascii() or max(stem) <= _LAST_SIMPLE)
@@ -110,6 +122,8 @@ class Encoder:
         # Cutting at spaces holds for byte-level pre-tokens without a normalizer only.
         self.cuttable = kind == "ByteLevel" and self.tokenizer.normalizer is None
         self.merge = self.tokenizer.model.tokenize
+        # Every id as bytes; the vocabulary bounds the table.
+        self.packed = [self._packed([i]) for i in range(self.tokenizer.get_vocab_size())]
         self.first, self.rest = Cuts(self, ""), Cuts(self, " ")
         self.newline = self.library("\n") if self.cuttable else b""
 
@@ -125,7 +139,7 @@ class Encoder:
     def letters(self, word: str) -> bytes:
         """Letters after at most one space are one pre-token: straight to the library's model."""
         marked = word.encode().decode("latin-1").translate(_MARKS)
-        return self._packed([t.id for t in self.merge(marked)])
+        return b"".join([self.packed[t.id] for t in self.merge(marked)])
 
     def encode(self, text: str) -> bytes:
         if not text:
