@@ -42,12 +42,12 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{root.rstrip('/')}/shopgauge-{what}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
+def stored(df: DataFrame, what: str, **options: str) -> DataFrame:
     """The frame written to the shared folder and read back.
 
     Cuts lineage: later jobs read files that outlive any executor, and the planner knows the
     table's size, so that it broadcasts it only below its threshold.
     """
     path = scratch(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     language,
     licenses,
     mixing,
@@ -95,6 +96,13 @@ def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = alignment.align_documents(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+        tokenizer_path("piece_bpe_32k.model"))
+    return found
+
+
 QUERIES: dict[str, Query] = {
     "op1_licenses": op1_licenses,
     "op2_near_documents": op2_near_documents,
@@ -108,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_search": op11_search,
     "op12_repeats": op12_repeats,
+    "op13_alignment": op13_alignment,
 }
 
 _WORDS = "list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')"

@@ -1,6 +1,7 @@
 """Registered queries against their SQL, and the pipeline against its parts."""
 
 import os
+import random
 import re
 import sys
 from collections import Counter
@@ -49,6 +50,7 @@ def test_pipeline_stages(spark):
             assert set(range(20)) <= set(ids) and not {22, 23, 24, 25, 29, 30} & set(ids)
         if name == "near duplicates":
             assert 20 not in ids and 5 in ids and max(ids.values()) == 1
+            assert None in ids  # a text of its own under no id
         kept = set(ids)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == kept
@@ -56,3 +58,39 @@ def test_pipeline_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+def test_near_duplicates_stage_judges_rows(spark):
+    rand = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    bases = [" ".join(rand.choices(words, k=60)) for _ in range(8)]
+
+    def near(text):
+        own = text.split()
+        own[rand.randrange(len(own))] = "edit"
+        return " ".join(own)
+    one, two = bases[:2]
+    texts = [(1, one), (2, one), (2, two), (5, bases[2]), (5, bases[3]), (5, bases[3]), (None, one),
+             (None, bases[4]), (None, near(bases[4])), (6, near(bases[2])), (4, near(bases[2])),
+             (7, bases[5]), (8, bases[6]), (8, near(bases[6])), (None, None), (9, ""), (9, "")]
+    unique = [t for t in texts if t[0] in (1, 4, 6, 7)]
+    for rows in (texts, unique, []):
+        docs = frame(spark, [(i, t, "en", f"s{n}", n) for n, (i, t) in enumerate(rows)], extra=True)
+        got = corpus_pipeline.near_duplicates(spark, docs, SF)
+        assert got.columns == docs.columns
+        sets = [frozenset(zip(*[(t or "").split()[k:] for k in range(5)])) or (t or "").strip()
+                for _, t in rows]
+        group = list(range(len(rows)))
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                    group = [group[j] if g == group[i] else g for g in group]
+        members = {}
+        for n, g in enumerate(group):
+            members.setdefault(g, []).append(n)
+        kept = [r.n_chars for r in got.collect()]
+        assert len(kept) == len(set(kept)) == len(members)
+        for own in members.values():
+            left = [rows[n][0] for n in own if n in kept]
+            ids = [rows[n][0] for n in own if rows[n][0] is not None]
+            assert left == [min(ids) if ids else None]
