@@ -9,12 +9,13 @@ last return the columns of ``documents``:
    follow the removal, texts without failing lines stay as they were);
 2. language identification, learnt on this stage's own input, rejects texts without letters and
    texts in no learnt language;
-3. near-duplicates on five-word shingles keep the document with the smallest id of each group;
+3. near-duplicates on five-word shingles keep one row of each group, that with the smallest id, nulls
+   last (of rows that share an id, the first by a hash of the row);
 4. mixing to target weights drops documents and repeats others, as rows;
 5. best-fit packing returns a row per piece of a document: its sequence, offset and capacity.
 
 Null texts go in stage 1; repeated rows are one document from stage 3 on, until stage 4 repeats
-them on purpose; columns beyond those of ``documents`` are carried along; empty tables stay empty.
+documents on purpose; rows that share an id, or have none, but differ in text are documents of their own; columns beyond those of ``documents`` are carried along; empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -35,17 +36,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = stored(near_text.near_documents(docs, size=5, least=0.8)
-                   .select("doc_id", "kept"), "pipeline-near")
-    # Only the ids to drop meet the texts; rows that share an id are rare and treated apart.
-    drop = stored(found.filter("not kept").select("doc_id").distinct(), "pipeline-drop")
-    again = stored(found.filter("doc_id is not null").groupBy("doc_id").count()
-                   .filter("count > 1").select("doc_id"), "pipeline-repeated")
-    stay = docs.join(drop, "doc_id", "left_anti").select(docs.columns)
-    if again.isEmpty():
-        return stay
-    return stay.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(
-        stay.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+    """Rows are judged, not ids: the first row of each group of near-duplicates stays."""
+    shared = docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null")
+    if shared.isEmpty():
+        rows, key = docs, "doc_id"
+    else:
+        # Ids that are null or shared do not tell rows apart: places in id order do, nulls last.
+        key = "_row"
+        while key in docs.columns:
+            key += "_"
+        order = [F.col("doc_id").asc_nulls_last(), F.xxhash64(*docs.columns)]
+        rows = stored(docs.repartitionByRange(*order).sortWithinPartitions(*order)
+                      .withColumn(key, F.monotonically_increasing_id()), "pipeline-rows")
+    found = near_text.near_documents(rows, id_col=key, size=5, least=0.8)
+    # Only the keys to drop meet the texts.
+    drop = stored(found.filter("not kept").select(F.col("doc_id").alias(key)), "pipeline-drop")
+    return rows.join(drop, key, "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
