@@ -42,8 +42,23 @@ def day_label(ts: str | Column) -> Column:
     return F.date_format(ts, DAY_FMT)
 
 
+# Key of a column's metadata that names the time column whose day or month it holds, and how the
+# partition values are written.
+PARTITION_OF, PARTITION_FORMAT = "partition_of", "partition_format"
+
+
 def time_window(df: DataFrame, ts: str, lower: dt.date | None, upper: dt.date | None) -> DataFrame:
-    """Rows with lower <= ts < upper (either bound optional)."""
+    """Rows with lower <= ts < upper (either bound optional).
+
+    If a column is marked as the partition column of `ts`, the same bounds prune the partitions.
+    """
+    for field in df.schema.fields:
+        if field.metadata.get(PARTITION_OF) == ts:
+            fmt = field.metadata[PARTITION_FORMAT]
+            if lower is not None:
+                df = df.filter(F.col(field.name) >= lower.strftime(fmt))
+            if upper is not None:
+                df = df.filter(F.col(field.name) <= (upper - dt.timedelta(days=1)).strftime(fmt))
     cond = None
     if lower is not None:
         cond = F.col(ts) >= ts_literal(lower, df, ts)

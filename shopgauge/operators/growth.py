@@ -19,7 +19,7 @@ MONEY_SUM = "decimal(38,2)"
 PRIOR = ""
 
 
-def _running(col: str) -> F.Column:
+def running(col: str) -> F.Column:
     w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return F.sum(col).over(w)
 
@@ -61,7 +61,7 @@ def growth_daily(member: DataFrame, order: DataFrame, as_of, days: int = 7,
                     F.count_if(~F.col("is_reg")).alias("n_order")))
     kept = per_day.filter((F.col("day") == PRIOR)
                           | ((F.col("n_reg") > 0) & (F.col("n_order") > 0)))
-    return (kept.withColumn("gmv", F.coalesce(_running("day_gmv"), F.lit(0)).cast("double"))
+    return (kept.withColumn("gmv", F.coalesce(running("day_gmv"), F.lit(0)).cast("double"))
             .filter(F.col("day") != PRIOR)
             .select("day", "regCount", "memberCount", "orderCount", "gmv")
             .orderBy("day"))
@@ -99,9 +99,9 @@ def growth_calendar(member: DataFrame, order: DataFrame, as_of, days: int = 7) -
                     F.sum("money").cast(MONEY_SUM).alias("money")))
     return (per_day
             .select("day", F.col("reg").alias("regCount"),
-                    _running("reg").alias("memberCount"),
-                    _running("ord").alias("orderCount"),
-                    _running("money").cast("double").alias("gmv"))
+                    running("reg").alias("memberCount"),
+                    running("ord").alias("orderCount"),
+                    running("money").cast("double").alias("gmv"))
             .filter(F.col("day") != PRIOR)
             .orderBy("day"))
 

@@ -3,14 +3,17 @@ evaluate many segments together (in narrow passes).
 
 Every operation here is row-local on the tag table (one row per member): a segment is a filter
 and a score expression, so selecting, exporting and batching need no shuffle. An audience is
-always whole; only a caller that asks for a page (`size`, `offset`) gets one, best score first.
+always whole; only a caller that asks for a page gets one, best score first: by `size` and
+`offset`, whose cost grows with the offset, or behind a cursor (`segment_page`), whose cost does not.
 """
 
 from __future__ import annotations
 
-from typing import Iterable, Mapping
+import json
+from dataclasses import dataclass
+from typing import Any, Iterable, Iterator, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..fixed import EXPORT_LINE
@@ -84,3 +87,60 @@ def segment_batch(tags: DataFrame, segments: Mapping[str, Iterable],
     for p in passes[1:]:
         out = out.unionByName(p)
     return out
+
+
+@dataclass(frozen=True)
+class Cursor:
+    """The last row of a page: where the next one starts."""
+
+    score: int
+    member_id: Any
+    phone: str | None
+
+    @classmethod
+    def after(cls, rows: list[Row]) -> Cursor | None:
+        """The cursor behind a page's rows; None behind an empty page."""
+        return cls(rows[-1]["score"], rows[-1]["memberId"], rows[-1]["phone"]) if rows else None
+
+    def to_text(self) -> str:
+        return json.dumps([self.score, self.member_id, self.phone])
+
+    @classmethod
+    def from_text(cls, text: str) -> Cursor:
+        return cls(*json.loads(text))
+
+
+def _behind(value: Any, name: str) -> Column:
+    """Rows that sort after a value of an ascending column (NULL sorts first)."""
+    return F.col(name).isNotNull() if value is None else F.col(name) > F.lit(value)
+
+
+def segment_page(tags: DataFrame, conditions: Iterable, size: int,
+                 after: Cursor | None = None) -> DataFrame:
+    """memberId, phone, score of the next `size` members behind a cursor, best score first, then
+    by memberId and phone.
+
+    The cursor is a row filter, so every page is one scan with a top-`size` per task and costs
+    what the first page costs; nothing before it is sorted or skipped over. The pages together
+    hold the audience once, if (memberId, phone) tells the rows apart, as in the tag table.
+    """
+    hits = segment_members(tags, conditions)
+    if after is not None:
+        later = F.col("score") < after.score
+        same = F.col("score") == after.score
+        for name, value in (("memberId", after.member_id), ("phone", after.phone)):
+            later = later | (same & _behind(value, name))
+            same = same & F.col(name).eqNullSafe(F.lit(value))
+        hits = hits.filter(later)
+    return (hits.orderBy(F.desc("score"), F.asc("memberId"), F.asc("phone")).limit(size)
+            .select("memberId", "phone", "score"))
+
+
+def pages(tags: DataFrame, conditions: Iterable, size: int) -> Iterator[list[Row]]:
+    """The audience page by page; each page is a bounded result at the driver."""
+    conditions, cursor = list(conditions), None
+    while rows := segment_page(tags, conditions, size, cursor).collect():
+        yield rows
+        if len(rows) < size:
+            return
+        cursor = Cursor.after(rows)

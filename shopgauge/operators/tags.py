@@ -46,7 +46,7 @@ def _member_goods(order: DataFrame, order_commodity: DataFrame) -> DataFrame:
             .select("member_id", "commodity_id").distinct())
 
 
-def _order_tags(rows: DataFrame, goods: DataFrame) -> DataFrame:
+def order_tags(rows: DataFrame, goods: DataFrame) -> DataFrame:
     """Order figures per member from order rows (member_id, order_id, w, money, create_time) and
     the member's distinct goods (member_id, commodity_id).
 
@@ -83,7 +83,7 @@ def tag_order_behavior(order: DataFrame, order_commodity: DataFrame) -> DataFram
                 .select("member_id", "order_id", "create_time",
                         F.coalesce(F.col("k"), F.lit(1)).alias("w"),
                         (F.col("pay_price") * F.coalesce(F.col("k"), F.lit(1))).alias("money")))
-    return _order_tags(weighted, _member_goods(order, order_commodity))
+    return order_tags(weighted, _member_goods(order, order_commodity))
 
 
 def tag_order_behavior_exact(order: DataFrame, order_commodity: DataFrame) -> DataFrame:
@@ -91,7 +91,7 @@ def tag_order_behavior_exact(order: DataFrame, order_commodity: DataFrame) -> Da
     rows = order.select("member_id", "order_id", "create_time",
                         F.lit(1).cast("bigint").alias("w"),
                         F.col("pay_price").cast(MONEY_SUM).alias("money"))
-    return _order_tags(rows, _member_goods(order, order_commodity))
+    return order_tags(rows, _member_goods(order, order_commodity))
 
 
 def tag_free_coupon(coupon_member: DataFrame) -> DataFrame:
@@ -175,6 +175,12 @@ def _coupon_tags(coupon_member: DataFrame, coupon: DataFrame) -> DataFrame:
               .agg(F.count_if(free).alias("n_free"), F.count_if(voucher).alias("n_voucher"),
                    F.count_if(F.col("coupon_channel") != CHARGE_CHANNEL).alias("n_charged"),
                    F.min(F.when(free, F.col("create_time"))).alias("first_free")))
+    return coupon_tags(grants, coupon)
+
+
+def coupon_tags(grants: DataFrame, coupon: DataFrame) -> DataFrame:
+    """The coupon tags of grants counted by (member_id, day, coupon_id): n_free, n_voucher,
+    n_charged and first_free, the time of the first free one."""
     priced = grants.join(_price_sums(coupon), "coupon_id", "left")
     money = F.when(F.col("n_charged") > 0, F.col("coupon_price") * F.col("n_charged"))
     return (priced.groupBy(F.col("member_id").alias("memberId"))
@@ -188,8 +194,9 @@ def _coupon_tags(coupon_member: DataFrame, coupon: DataFrame) -> DataFrame:
                     "chargeMoney"))
 
 
-def _wide(base: DataFrame, order_side: DataFrame, coupon_side: DataFrame,
-          over_time: DataFrame, feedback: DataFrame, literal: bool) -> DataFrame:
+def wide(base: DataFrame, order_side: DataFrame, coupon_side: DataFrame,
+         over_time: DataFrame, feedback: DataFrame, literal: bool = False) -> DataFrame:
+    """The member rows with all tags beside them (each side has one row per member)."""
     joined = base
     for side in (order_side, coupon_side, over_time, feedback):
         joined = joined.join(side, "memberId", "left")
@@ -214,9 +221,9 @@ def user_tags_literal(member: DataFrame, order: DataFrame, order_commodity: Data
                       feedback: DataFrame) -> DataFrame:
     """The wide tag table exactly as the tag job joins it: line fan-out in the order tags and one
     row per free-coupon grant (members with several grants repeat)."""
-    return _wide(tag_member_base(member), tag_order_behavior(order, order_commodity),
-                 _coupon_tags(coupon_member, coupon), tag_over_time(delivery),
-                 tag_latest_feedback(feedback), literal=True)
+    return wide(tag_member_base(member), tag_order_behavior(order, order_commodity),
+                _coupon_tags(coupon_member, coupon), tag_over_time(delivery),
+                tag_latest_feedback(feedback), literal=True)
 
 
 def user_tags(member: DataFrame, order: DataFrame, order_commodity: DataFrame,
@@ -224,6 +231,6 @@ def user_tags(member: DataFrame, order: DataFrame, order_commodity: DataFrame,
               feedback: DataFrame) -> DataFrame:
     """The wide tag table with one row per member: order-level counts and money, and the
     earliest free-coupon day."""
-    return _wide(tag_member_base(member), tag_order_behavior_exact(order, order_commodity),
-                 _coupon_tags(coupon_member, coupon), tag_over_time(delivery),
-                 tag_latest_feedback(feedback), literal=False)
+    return wide(tag_member_base(member), tag_order_behavior_exact(order, order_commodity),
+                _coupon_tags(coupon_member, coupon), tag_over_time(delivery),
+                tag_latest_feedback(feedback))

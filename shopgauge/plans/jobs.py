@@ -1,7 +1,8 @@
 """Runnable report jobs: each reads the tables of a data folder, computes one family of reports
 and writes the results (overwrite, so a rerun replaces its output).
 
-    python -m shopgauge.plans.jobs <job> --data DIR --out DIR [--as-of YYYY-MM-DD]
+    python -m shopgauge.plans.jobs <job> (--data DIR | --database NAME) --out DIR
+        [--as-of YYYY-MM-DD]
 
 Jobs: members, funnel, growth, week, reminders, words, tags, segment.
 The segment job reads the tag table written by the tags job (the written table cuts the
@@ -17,6 +18,7 @@ from pyspark.sql import SparkSession
 from ..functions.conditions import parse_request
 from ..operators import funnel, growth, members, reminders, segments, tags, words
 from ..session import get_session
+from ..sources.catalog import CatalogTables
 from ..sources.sinks import write_lines, write_tags
 from ..sources.tables import ShopTables
 from ..sources.text import read_lines
@@ -79,14 +81,19 @@ JOBS = {"members": members_job, "funnel": funnel_job, "growth": growth_job, "wee
         "segment": segment_job}
 
 
-def run(spark: SparkSession, job: str, data: str, out: str, **params) -> None:
-    JOBS[job](ShopTables.of(spark, data), out.rstrip("/"), **params)
+def run(spark: SparkSession, job: str, data: str | None, out: str, database: str | None = None,
+        **params) -> None:
+    """A job over the tables of a data folder, or over those of a catalog database."""
+    tables = CatalogTables(spark, database) if database else ShopTables.of(spark, data)
+    JOBS[job](tables, out.rstrip("/"), **params)
 
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("job", choices=sorted(JOBS))
-    ap.add_argument("--data", required=True)
+    source = ap.add_mutually_exclusive_group(required=True)
+    source.add_argument("--data")
+    source.add_argument("--database", help="catalog database with t_member, t_order, ...")
     ap.add_argument("--out", required=True)
     ap.add_argument("--as-of", default=None)
     ap.add_argument("--lines", default=None,
@@ -101,7 +108,7 @@ def main(argv: list[str] | None = None) -> None:
         params["lines"] = args.lines
     if args.conditions:
         params["conditions"] = parse_request(args.conditions)
-    run(get_session(), args.job, args.data, args.out, **params)
+    run(get_session(), args.job, args.data, args.out, args.database, **params)
 
 
 if __name__ == "__main__":

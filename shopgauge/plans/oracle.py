@@ -305,6 +305,39 @@ SELECT 'seg_not_ch3', "memberId", phone, 0 FROM user_tags WHERE NOT coalesce(cha
 UNION ALL
 SELECT 'seg_all', "memberId", phone, 0 FROM user_tags""", USER_TAGS_CTES)
 
+# Definitions are rows of `part`; the kinds are spelt out here, the JSON texts are not used.
+_DEFINED = [
+    ("m < 400", """list_contains("favGoods", k)""", "1"),
+    ("m >= 400 AND m < 800",
+     """list_contains("favGoods", k) AND NOT coalesce(channel = k % 25, false)""", "1"),
+    ("m >= 800 AND m < 995", """"orderMoney" BETWEEN k % 2000 * 1000 AND k % 2000 * 1000 + 500""", "1"),
+    ("m = 995", """(in_days OR coalesce("orderCount" = k % 30, false))
+       AND NOT coalesce(sex = 'BUILDING', false)""",
+     """in_days::INT + coalesce("orderCount" = k % 30, false)::INT"""),
+    ("m = 996", """"chargeMoney" >= 1000 OR "overTime" <= 1000000""",
+     """coalesce("chargeMoney" >= 1000, false)::INT + coalesce("overTime" <= 1000000, false)::INT"""),
+    ("m = 997", """"freeCouponTime" IS NOT NULL AND NOT coalesce(sex = 'MACHINERY', false)""", "1"),
+    ("m = 998", "NOT coalesce(channel = 3, false) AND NOT coalesce(sex = 'BUILDING', false)", "0"),
+]
+_IN_DAYS = """coalesce(list_bool_or(list_transform("couponTimes", lambda x:
+         x BETWEEN CAST(DATE '2024-01-01' + CAST(k % 28 AS INTEGER) AS VARCHAR)
+         AND CAST(DATE '2024-01-02' + CAST(k % 28 AS INTEGER) AS VARCHAR))), false)"""
+SEGMENT_FROM_TABLE = with_views(" UNION ALL ".join(
+    f"""SELECT 'part-' || k AS segment_id, "memberId", phone, CAST({score} AS INTEGER) AS score
+FROM (SELECT *, {_IN_DAYS if 'in_days' in where else 'NULL'} AS in_days
+      FROM (SELECT p_partkey AS k, p_partkey % 1000 AS m FROM part) d
+      JOIN user_tags ON {which}) x
+WHERE {where}""" for which, where, score in _DEFINED), USER_TAGS_CTES)
+SEGMENT_PAGE = with_views(
+    f"""SELECT "memberId", phone, CAST((sex = 'BUILDING')::INT
+       + coalesce("orderCount" BETWEEN 12 AND 14, false)::INT
+       + coalesce(list_contains("favGoods", 7), false)::INT
+       + coalesce("chargeMoney" >= 1000, false)::INT + coalesce("overTime" <= 1000000, false)::INT
+       + ("feedBack" IS NOT NULL)::INT AS INTEGER) AS score
+FROM user_tags WHERE {_SEGMENT_SELECT_WHERE}
+ORDER BY score DESC, "memberId", phone LIMIT {P.PAGE_SIZE} OFFSET {(P.PAGE - 1) * P.PAGE_SIZE}""",
+    USER_TAGS_CTES)
+
 # ------------------------------------------------------------------------------ dates
 _DUCK_TOKENS = [("yyyy", "%Y", r"\d{4}"), ("MM", "%m", r"\d{2}"), ("dd", "%d", r"\d{2}"),
                 ("HH", "%H", r"\d{2}"), ("mm", "%M", r"\d{2}"), ("ss", "%S", r"\d{2}")]
@@ -410,6 +443,10 @@ ORACLE_SQL: dict[str, str] = {
     "repeat_buyers": REPEAT_BUYERS,
     "growth_daily": _growth_daily(P.GROWTH_AS_OF),
     "growth_calendar": _growth_calendar(P.GROWTH_AS_OF),
+    "growth_daily_catalog": _growth_daily(P.GROWTH_AS_OF),
+    "wow_order_catalog": _wow_compare("t_order", "order_id", P.WOW_ORDER_AS_OF),
+    "growth_daily_rollup": _growth_daily(P.GROWTH_AS_OF),
+    "growth_calendar_rollup": _growth_calendar(P.GROWTH_AS_OF),
     "wow_reg_daily": _wow_daily("t_member", "id", "regCount", P.WOW_REG_AS_OF),
     "wow_order_daily": _wow_daily("t_order", "order_id", "orderCount", P.WOW_ORDER_AS_OF),
     "wow_reg_compare": _wow_compare("t_member", "id", P.WOW_REG_AS_OF),
@@ -430,11 +467,14 @@ ORACLE_SQL: dict[str, str] = {
     "tag_latest_feedback": with_views(_FEEDBACK),
     "user_tags_literal": with_views(_WIDE_SELECT, USER_TAGS_LITERAL_CTES),
     "user_tags": with_views('SELECT * FROM user_tags', USER_TAGS_CTES),
+    "user_tags_incremental": with_views('SELECT * FROM user_tags', USER_TAGS_CTES),
     "segment_select": SEGMENT_SELECT,
     "segment_export": SEGMENT_EXPORT,
     "segment_batch": SEGMENT_BATCH,
     "segment_exclude_only": SEGMENT_EXCLUDE_ONLY,
     "segment_all": SEGMENT_ALL,
+    "segment_from_table": SEGMENT_FROM_TABLE,
+    "segment_page": SEGMENT_PAGE,
     "date_normalize": DATE_NORMALIZE,
     "date_shift": _date_shift(P.DATE_SHIFT),
     "date_parts": DATE_PARTS,

@@ -39,3 +39,12 @@ SEGMENT_BATCH = {
 # Date-text queries: the as-of used by the interval and the shift amount.
 DATE_AS_OF = dt.date(2024, 2, 1)
 DATE_SHIFT = 3
+
+# Members on a page, and the page that the registered query returns (from 1).
+PAGE_SIZE, PAGE = 50, 3
+
+# Where the late increment of the incremental tags starts, and the partitions of a kind of state
+# (a cluster takes a thousand or more).
+INCREMENT_FROM = dt.date(1996, 1, 1)
+COUPON_INCREMENT_FROM = dt.date(2024, 1, 15)
+STATE_BUCKETS = 4

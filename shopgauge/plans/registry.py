@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..operators import funnel, growth, members, reminders, segments, tags, words
+from ..operators import (
+    funnel,
+    growth,
+    growth_rollup,
+    members,
+    reminders,
+    segment_index,
+    segments,
+    tag_state,
+    tags,
+    words,
+)
+from ..sources.catalog import CatalogTables, write_tables
+from ..sources.shared import shared_folder, written
 from ..sources.tables import ShopTables
 from . import params as P
 
@@ -25,6 +40,63 @@ def _user_tags(t: ShopTables) -> DataFrame:
     return tags.user_tags(*_tag_args(t))
 
 
+def _user_tags_incremental(t: ShopTables) -> DataFrame:
+    """The tags of a state that took in the shop's rows as an early and a late increment, the
+    early one twice (as after a rerun). Members come early, some of them again late."""
+    day = F.lit(f"{P.INCREMENT_FROM} 00:00:00")
+    coupon_day = F.lit(f"{P.COUPON_INCREMENT_FROM} 00:00:00")
+
+    def half(late: bool) -> tag_state.Increment:
+        def pick(df: DataFrame, is_late: Column) -> DataFrame:
+            return df.filter(F.coalesce(is_late, F.lit(False)) == late)
+        order = pick(t.order, F.col("create_time") >= day)
+        return tag_state.Increment(
+            member=t.member.filter("id % 5 = 0") if late else t.member, order=order,
+            order_commodity=t.order_commodity.join(order.select("order_id"), "order_id", "left_semi"),
+            coupon_member=pick(t.coupon_member, F.col("create_time") >= coupon_day),
+            delivery=pick(t.delivery, F.col("pick_time") >= day),
+            feedback=pick(t.feedback, F.col("id") % 2 == 1))
+    state = tag_state.TagState(t.spark, shared_folder(t.spark, "tag-state"), P.STATE_BUCKETS)
+    for part, late in (("early", False), ("late", True), ("early", False)):
+        state.apply(part, half(late))
+    return state.tags(t.coupon)
+
+
+def _rollup(t: ShopTables) -> growth_rollup.GrowthRollup:
+    """A rollup closed in two steps up to some days before the report, one closed day read again."""
+    out = growth_rollup.GrowthRollup(t.spark, shared_folder(t.spark, "growth-rollup"))
+    out.close(t.member, t.order, P.GROWTH_AS_OF - dt.timedelta(days=30))
+    out.close(t.member, t.order, P.GROWTH_AS_OF - dt.timedelta(days=3),
+              late=[P.GROWTH_AS_OF - dt.timedelta(days=40)])
+    return out
+
+
+def _catalog(t: ShopTables) -> CatalogTables:
+    """Members and orders as tables of a new database, partitioned by month."""
+    where = shared_folder(t.spark, "shop-db")
+    database = where.rsplit("/", 1)[1].replace("-", "_")
+    write_tables(t, database, "month", where, ["t_member", "t_order"])
+    return CatalogTables(t.spark, database)
+
+
+def _growth_catalog(t: ShopTables) -> DataFrame:
+    shop = _catalog(t)
+    return growth.growth_daily(shop.member, shop.order, P.GROWTH_AS_OF)
+
+
+def _wow_catalog(t: ShopTables) -> DataFrame:
+    return growth.wow_order_compare(_catalog(t).order, P.WOW_ORDER_AS_OF)
+
+
+def _segment_page(t: ShopTables) -> DataFrame:
+    """One page behind the cursors of the pages before it (each a bounded result)."""
+    stored, cursor = written(_user_tags(t), "usertag"), None
+    for _ in range(P.PAGE - 1):
+        rows = segments.segment_page(stored, P.SEGMENT_CONDITIONS, P.PAGE_SIZE, cursor).collect()
+        cursor = segments.Cursor.after(rows) or cursor
+    return segments.segment_page(stored, P.SEGMENT_CONDITIONS, P.PAGE_SIZE, cursor)
+
+
 def _q(fn: Callable[[ShopTables], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(ShopTables.of(spark, sf_dir))
@@ -46,6 +118,11 @@ QUERIES: dict[str, Query] = {
     # growth and week over week
     "growth_daily": _q(lambda t: growth.growth_daily(t.member, t.order, P.GROWTH_AS_OF)),
     "growth_calendar": _q(lambda t: growth.growth_calendar(t.member, t.order, P.GROWTH_AS_OF)),
+    "growth_daily_rollup": _q(lambda t: _rollup(t).daily(t.member, t.order, P.GROWTH_AS_OF)),
+    "growth_calendar_rollup": _q(lambda t: _rollup(t).calendar(t.member, t.order,
+                                                               P.GROWTH_AS_OF)),
+    "growth_daily_catalog": _q(_growth_catalog),
+    "wow_order_catalog": _q(_wow_catalog),
     "wow_reg_daily": _q(lambda t: growth.wow_reg_daily(t.member, P.WOW_REG_AS_OF)),
     "wow_order_daily": _q(lambda t: growth.wow_order_daily(t.order, P.WOW_ORDER_AS_OF)),
     "wow_reg_compare": _q(lambda t: growth.wow_reg_compare(t.member, P.WOW_REG_AS_OF)),
@@ -71,6 +148,7 @@ QUERIES: dict[str, Query] = {
     "tag_latest_feedback": _q(lambda t: tags.tag_latest_feedback(t.feedback)),
     "user_tags_literal": _q(lambda t: tags.user_tags_literal(*_tag_args(t))),
     "user_tags": _q(_user_tags),
+    "user_tags_incremental": _q(_user_tags_incremental),
     # segments
     "segment_select": _q(lambda t: segments.segment_select(_user_tags(t), P.SEGMENT_CONDITIONS)),
     "segment_export": _q(lambda t: segments.segment_export(_user_tags(t), P.SEGMENT_CONDITIONS)),
@@ -78,6 +156,9 @@ QUERIES: dict[str, Query] = {
     "segment_exclude_only": _q(lambda t: segments.segment_select(_user_tags(t),
                                                                  P.SEGMENT_EXCLUDE_ONLY)),
     "segment_all": _q(lambda t: segments.segment_select(_user_tags(t), [])),
+    "segment_from_table": _q(lambda t: segment_index.segment_from_table(
+        written(_user_tags(t), "usertag"), t.definitions)),
+    "segment_page": _q(_segment_page),
     # date text
     "date_normalize": _q(lambda t: D.date_normalize_report(D.styled_event_dates(t.events))),
     "date_shift": _q(lambda t: D.date_shift_report(D.styled_event_dates(t.events),

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -97,6 +97,40 @@ def line_frame(documents: DataFrame) -> DataFrame:
         F.concat_ws("\t", F.col("doc_id").cast("string"), "source", "lang").alias("line"))
 
 
+def definition_frame(part: DataFrame) -> DataFrame:
+    """Segment definitions, one for each part: segment_id and the request body as JSON text.
+
+    Most ask for the members who bought the part, some for a narrow range of money, a few of each
+    thousand for wide audiences, and one of each thousand names a tag that does not exist.
+    """
+    k = F.col("p_partkey")
+
+    def condition(name: str, kind: str, value=None, lo=None, hi=None) -> Column:
+        return F.struct(*(F.lit(v).cast("string").alias(n) for n, v in (
+            ("name", name), ("type", kind), ("value", value), ("lo", lo), ("hi", hi))))
+
+    bought = condition("favGoods", "match", k)
+    money = (k % 2000) * 1000
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (k % 28).cast("int"))
+    asked = (F.when(k % 1000 < 400, F.array(bought))
+             .when(k % 1000 < 800, F.array(bought, condition("channel", "notMatch", k % 25)))
+             .when(k % 1000 < 995, F.array(condition("orderMoney", "rangeBoth", lo=money,
+                                                     hi=money + 500)))
+             .when(k % 1000 == 995, F.array(
+                 condition("couponTimes", "rangeBoth", lo=day, hi=F.date_add(day, 1)),
+                 condition("orderCount", "match", k % 30),
+                 condition("sex", "notMatch", "BUILDING")))
+             .when(k % 1000 == 996, F.array(condition("chargeMoney", "rangeGte", "1000"),
+                                            condition("overTime", "rangeLte", "1000000")))
+             .when(k % 1000 == 997, F.array(condition("freeCouponTime", "exists"),
+                                            condition("sex", "notMatch", "MACHINERY")))
+             .when(k % 1000 == 998, F.array(condition("channel", "notMatch", "3"),
+                                            condition("sex", "notMatch", "BUILDING")))
+             .otherwise(F.array(condition("unheardOf", "match", "1"), bought)))
+    return part.select(F.concat(F.lit("part-"), k).alias("segment_id"),
+                       F.to_json(F.struct(asked.alias("selectedTags"))).alias("body"))
+
+
 class ShopTables:
     """Lazy access to the raw tables of one data directory and the shop adapters over them.
 
@@ -151,6 +185,10 @@ class ShopTables:
     def lines(self) -> DataFrame:
         return line_frame(self.raw("documents"))
 
+    @cached_property
+    def definitions(self) -> DataFrame:
+        return definition_frame(self.raw("part"))
+
     @cached_property
     def documents(self) -> DataFrame:
         return self.raw("documents")
