@@ -1,16 +1,17 @@
 """Date text as column expressions: detect the style of a date string, parse, format, shift,
 take parts, and count days between dates.
 
-Parsing is strict (Spark's `try_to_timestamp`): a value matches a style only when the whole
-text fits it, fields are zero-padded and in range, so at most one of the styles matches and
-detection does not depend on the clock. Text that fits no style gives NULL everywhere.
+Parsing is strict: a value matches a style only when the whole text fits it, fields are zero-padded
+and in range, so at most one of the styles matches and detection does not depend on the clock. Text
+that fits no style gives NULL everywhere. The style is found from the text's shape, its digits
+masked; then its fields are put in full and parsed once. Reports with several outputs decode a
+column first (`decoded`).
 Styles without a year take 1970; styles without a date take 1970-01-01.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,42 +36,72 @@ def _case(cases: list[tuple[Column, Column]]) -> Column:
     return out
 
 
-# Digit layout of each style token: a style is only tried on text laid out like it, so every
-# value is parsed once (a failed strict parse is far costlier than a regex test).
-_TOKEN_LAYOUT = [("yyyy", r"\d{4}"), ("MM", r"\d{2}"), ("dd", r"\d{2}"), ("HH", r"\d{2}"),
-                 ("mm", r"\d{2}"), ("ss", r"\d{2}")]
+# Fields of a full time: token, and what stands for a field that a style lacks.
+_FIELDS = [("yyyy", "1970"), ("MM", "01"), ("dd", "01"), ("HH", "00"), ("mm", "00"), ("ss", "00")]
 
 
-def layout_regex(style: str) -> str:
-    """Full-match regex of the text layout of `style` (4-digit year, 2-digit fields)."""
-    out, i = "", 0
-    while i < len(style):
-        for tok, rx in _TOKEN_LAYOUT:
-            if style.startswith(tok, i):
-                out, i = out + rx, i + len(tok)
-                break
-        else:
-            out, i = out + re.escape(style[i]), i + 1
-    return "^" + out + "$"
+def _shape(style: str) -> str:
+    """A style's text with every digit as 0."""
+    for token, _ in _FIELDS:
+        style = style.replace(token, "0" * len(token))
+    return style
 
 
-LAYOUTS = [(p, layout_regex(p)) for p in PATTERNS]
+SHAPES = [_shape(p) for p in PATTERNS]
 
 
-def _by_layout(t: Column, value_of) -> Column:
-    return _case([(t.rlike(rx), value_of(p)) for p, rx in LAYOUTS])
+def _masked(t: Column) -> Column:
+    """The text's shape: the digits are masked; each style has a shape of its own."""
+    return F.translate(t, "123456789", "0" * 9)
+
+
+def _style_number(t: Column) -> Column:
+    """Which style the text is laid out in (its fields may still be out of range), or NULL."""
+    return _case([(_masked(t) == own, F.lit(i)) for i, own in enumerate(SHAPES)])
+
+
+def _time(t: Column, layout: Column, layouts: list) -> Column:
+    """The time of a text by its layout, which is one of `layouts` (a value for each style).
+
+    Every field has its place in the text, which styles that differ in their separators share; put
+    in full, as `yyyy-MM-dd HH:mm:ss`, the text is parsed once.
+    """
+    places: dict[tuple, list] = {}
+    for p, own in zip(PATTERNS, layouts):
+        places.setdefault(tuple(p.find(token) for token, _ in _FIELDS), []).append(own)
+
+    def full(at: tuple) -> Column:
+        y, mo, d, h, mi, s = (F.lit(missing) if k < 0 else F.substring(t, k + 1, len(token))
+                              for k, (token, missing) in zip(at, _FIELDS))
+        dash, colon = F.lit("-"), F.lit(":")
+        return F.concat(y, dash, mo, dash, d, F.lit(" "), h, colon, mi, colon, s)
+    return F.try_to_timestamp(_case([(layout.isin(own), full(at)) for at, own in places.items()]),
+                              F.lit(STAMP))
+
+
+def decoded(df: DataFrame, txt: str = "txt") -> DataFrame:
+    """The frame with `style_number` (NULL if the text is no date) and `time` of its date text: each
+    value is looked at and parsed once, whatever is made of the two columns afterwards."""
+    t, number = F.col(txt), F.col("style_number")
+    return (df.withColumn("style_number", _style_number(t))
+            .withColumn("time", _time(t, number, list(range(len(PATTERNS)))))
+            .withColumn("style_number", F.when(F.col("time").isNotNull(), number)))
+
+
+def _style_name(number: Column) -> Column:
+    return _case([(number == i, F.lit(p)) for i, p in enumerate(PATTERNS)])
 
 
 # D2 / D1
 def detect_style(txt: str | Column) -> Column:
     """The style the text is written in, or NULL."""
     t = _col(txt)
-    return _by_layout(t, lambda p: F.when(F.try_to_timestamp(t, F.lit(p)).isNotNull(),
-                                          F.lit(p)))
+    return F.when(parse_date(t).isNotNull(),
+                  _case([(_masked(t) == own, F.lit(p)) for p, own in zip(PATTERNS, SHAPES)]))
 
 
 def is_date(txt: str | Column) -> Column:
-    return detect_style(txt).isNotNull()
+    return parse_date(txt).isNotNull()
 
 
 # D3
@@ -79,7 +110,7 @@ def parse_date(txt: str | Column, style: str | None = None) -> Column:
     t = _col(txt)
     if style is not None:
         return F.try_to_timestamp(t, F.lit(style))
-    return _by_layout(t, lambda p: F.try_to_timestamp(t, F.lit(p)))
+    return _time(t, _masked(t), SHAPES)
 
 
 # D4
@@ -125,8 +156,11 @@ SHIFTS = {"year": add_years, "month": add_months, "day": add_days, "hour": add_h
 def shift_text(txt: str | Column, n: int, unit: str = "day") -> Column:
     """Shift date text by `n` units and write it back in its own style."""
     t = _col(txt)
-    shift = SHIFTS[unit]
-    return _by_layout(t, lambda p: F.date_format(shift(F.try_to_timestamp(t, F.lit(p)), n), p))
+    return _in_style(SHIFTS[unit](parse_date(t), n), _masked(t), SHAPES)
+
+
+def _in_style(ts: Column, layout: Column, layouts: list) -> Column:
+    return _case([(layout == own, F.date_format(ts, p)) for p, own in zip(PATTERNS, layouts)])
 
 
 # D13-D21
@@ -211,31 +245,31 @@ def styled_event_dates(events: DataFrame) -> DataFrame:
 
 
 def date_normalize_report(df: DataFrame) -> DataFrame:
-    ts = parse_date("txt")
-    return df.select("event_id", "txt", detect_style("txt").alias("style"),
-                     is_date("txt").alias("is_date"),
-                     format_date(ts, STAMP).alias("normalized"),
-                     format_date(ts, DAY).alias("day"))
+    return decoded(df).select(
+        "event_id", "txt", _style_name(F.col("style_number")).alias("style"),
+        F.col("style_number").isNotNull().alias("is_date"),
+        format_date("time", STAMP).alias("normalized"), format_date("time", DAY).alias("day"))
 
 
 def date_shift_report(df: DataFrame, n: int) -> DataFrame:
-    ts = parse_date("txt")
-    return df.select("event_id", "txt",
-                     *[format_date(fn(ts, n), STAMP).alias(f"plus_{unit}s")
-                       for unit, fn in SHIFTS.items()],
-                     shift_text("txt", n, "day").alias("shifted_text"))
+    return decoded(df).select(
+        "event_id", "txt",
+        *[format_date(fn("time", n), STAMP).alias(f"plus_{unit}s") for unit, fn in SHIFTS.items()],
+        _in_style(add_days("time", n), F.col("style_number"), list(range(len(PATTERNS))))
+        .alias("shifted_text"))
 
 
 def date_parts_report(df: DataFrame) -> DataFrame:
-    ts = parse_date("txt")
-    return df.select("event_id", "txt", year(ts).alias("year"), month(ts).alias("month"),
-                     day(ts).alias("day"), hour(ts).alias("hour"), minute(ts).alias("minute"),
-                     second(ts).alias("second"), date_text(ts).alias("date_text"),
-                     time_text(ts).alias("time_text"), weekday_number(ts).alias("weekday"),
-                     weekday_cn(ts).alias("week_cn"), weekday_en(ts).alias("week_en"),
-                     weekday_short(ts).alias("week_short"))
+    ts = "time"
+    return decoded(df).select(
+        "event_id", "txt", year(ts).alias("year"), month(ts).alias("month"),
+        day(ts).alias("day"), hour(ts).alias("hour"), minute(ts).alias("minute"),
+        second(ts).alias("second"), date_text(ts).alias("date_text"),
+        time_text(ts).alias("time_text"), weekday_number(ts).alias("weekday"),
+        weekday_cn(ts).alias("week_cn"), weekday_en(ts).alias("week_en"),
+        weekday_short(ts).alias("week_short"))
 
 
 def date_interval_report(df: DataFrame, as_of: dt.date) -> DataFrame:
-    return df.select("event_id", "txt",
-                     interval_days(parse_date("txt"), F.lit(as_of)).alias("days"))
+    return decoded(df).select("event_id", "txt",
+                              interval_days("time", F.lit(as_of)).alias("days"))

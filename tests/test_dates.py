@@ -51,3 +51,33 @@ def test_interval_is_symmetric_and_null_safe(spark):
     got = [r.d for r in df.select(D.interval_days(D.parse_date("a"), D.parse_date("b"))
                                   .alias("d")).collect()]
     assert got == [59, None]
+
+
+ODD = ["2024-13-01", "2024-02-30", "2024-02-29", "23:59", "24:00", "99:00:00", "١٢-٣٠", "０１-０１", "0000-01",
+       "0001-01-01", "12-31 23:59:60", "2024-01-01 ", " 2024-01-01", "2024-1-1", "20240101", "", None,
+       "2024年02月29日 01:02:03", "02月30日", "02月28日 1:02", "2024/12/31 23:59:59", "12/31 23:60", "00-00",
+       "00:00", "2024-01-01T00:00:00", "2024-01/01", "9999-12-31 23:59:59", "x0-00", "12-31\\n"]
+
+
+def test_odd_texts_as_each_style_by_itself(spark):
+    """The one decoding against a strict parse in every style in turn."""
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "event_id int, txt string")
+    by_style = F.filter(F.array(*[F.struct(F.lit(p).alias("style"), F.try_to_timestamp(
+        "txt", F.lit(p)).alias("ts")) for p in D.PATTERNS]), lambda x: x["ts"].isNotNull())
+    # Strict parsing takes Unicode digits in no style; a style's text has the style's own length.
+    fits = F.filter(by_style, lambda x: F.length(x["style"]) == F.length("txt"))
+    want = [(r.s, r.t) for r in df.select(F.get(fits, 0)["style"].alias("s"),
+                                          F.get(fits, 0)["ts"].cast("string").alias("t")).collect()]
+    got = D.decoded(df).select(D._style_name(F.col("style_number")).alias("s"),
+                               F.col("time").cast("string").alias("t"))
+    assert [(r.s, r.t) for r in got.collect()] == want
+    single = df.select(D.detect_style("txt").alias("s"), D.parse_date("txt").cast("string").alias("t"))
+    assert [(r.s, r.t) for r in single.collect()] == want
+
+
+def test_reports_parse_each_value_once(spark):
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "11:12")], "event_id int, txt string").repartition(2)
+    for report in (D.date_normalize_report(df), D.date_shift_report(df, 3), D.date_parts_report(df)):
+        plan = report._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("gettimestamp(") == 1 and "RLIKE" not in plan
