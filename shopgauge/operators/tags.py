@@ -70,20 +70,26 @@ def tag_order_behavior(order: DataFrame, order_commodity: DataFrame) -> DataFram
     order with k lines counts k times in orderCount and orderMoney (an order with no line counts
     once). orderTime = day of the last order; favGoods = distinct goods ([] if none).
 
-    The fan-out is not materialised: lines are counted per order with map-side partial counts
-    (an order holding a third of all lines costs one row per map task), and each order row
-    carries its weight k into the member aggregate. The goods come from an inner equi-join of
-    orders and lines, whose hot order ids AQE's skew join splits. (Repartitioning the raw lines
-    by order once and reusing that exchange for both would read them once, but would send every
-    line of a hot order to a single task, so it is not done.)
+    The fan-out is not materialised, and orders and lines are each read once: lines are counted per
+    (order, good) with map-side partial counts, so an order that holds a third of all lines costs
+    each map task its distinct goods. Every order meets its counted goods in one left join (AQE's
+    skew join splits a hot order), and the result is summed per (member, good), partially again,
+    before a member gathers one row for each good.
     """
-    line_counts = (order_commodity.groupBy("order_id")
-                   .agg(F.count(F.lit(1)).alias("k")))
-    weighted = (order.join(line_counts, "order_id", "left")
-                .select("member_id", "order_id", "create_time",
-                        F.coalesce(F.col("k"), F.lit(1)).alias("w"),
-                        (F.col("pay_price") * F.coalesce(F.col("k"), F.lit(1))).alias("money")))
-    return order_tags(weighted, _member_goods(order, order_commodity))
+    counted = (order_commodity.groupBy("order_id", "commodity_id")
+               .agg(F.count(F.lit(1)).alias("k")))
+    weight = F.coalesce(F.col("k"), F.lit(1))
+    per_good = (order.select("member_id", "order_id", "create_time", "pay_price")
+                .join(counted, "order_id", "left")
+                .groupBy("member_id", "commodity_id")
+                .agg(F.sum(F.when(F.col("order_id").isNotNull(), weight)).alias("orders"),
+                     F.max("create_time").alias("last"),
+                     F.sum((F.col("pay_price") * weight).cast(MONEY_SUM)).alias("money")))
+    return (per_good.groupBy(F.col("member_id").alias("memberId"))
+            .agg(F.coalesce(F.sum("orders"), F.lit(0).cast("bigint")).alias("orderCount"),
+                 day_label(F.max("last")).alias("orderTime"),
+                 F.sum("money").cast(MONEY_SUM).cast("double").alias("orderMoney"),
+                 F.sort_array(F.collect_list("commodity_id")).alias("favGoods")))
 
 
 def tag_order_behavior_exact(order: DataFrame, order_commodity: DataFrame) -> DataFrame:

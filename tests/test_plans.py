@@ -84,3 +84,8 @@ def test_no_object_aggregate_over_raw_orders(spark):
 @pytest.mark.parametrize("name", ["hot_tokens_top10", "date_normalize", "date_shift", "date_parts"])
 def test_no_round_robin_of_raw_rows(spark, name):
     assert "RoundRobinPartitioning" not in plan(spark, name)
+
+
+def test_literal_order_tags_read_lines_and_orders_once(spark):
+    text = plan(spark, "tag_order_behavior")
+    assert text.count("struct<l_orderkey") == 1 and text.count("struct<o_orderkey") == 1
