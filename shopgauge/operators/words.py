@@ -39,6 +39,15 @@ def hot_field_rejects(lines: DataFrame, field: int = HOT_FIELD_INDEX, line_col:
     return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_if(word.isNull()).alias("rejected"))
 
 
+def hot_field_counts(lines: DataFrame, field: int = HOT_FIELD_INDEX, line_col: str = "line",
+                     sep: str = HOT_FIELD_SEP) -> DataFrame:
+    """word, count, rejected: every value of the field, and one row without a word for the lines
+    that are too short to have it."""
+    word = delimited_field(line_col, field, sep)
+    return (lines.select(word.alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+            .withColumn("rejected", F.col("word").isNull()))
+
+
 def token_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return (docs.select(F.explode(F.split(F.col(text_col), WHITESPACE)).alias("word"))
             .filter(F.col("word") != ""))

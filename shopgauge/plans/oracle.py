@@ -193,6 +193,10 @@ WHERE word IS NOT NULL GROUP BY word ORDER BY count DESC, word LIMIT 10""")
 HOT_FIELD_REJECTS = with_views(
     r"""SELECT count(*) AS lines, count(*) FILTER (WHERE word IS NULL) AS rejected
 FROM (SELECT string_split(regexp_replace(line, '\t+$', ''), chr(9))[3] AS word FROM t_line) w""")
+HOT_FIELD_FILE = with_views(
+    r"""SELECT word, count(*) AS count, word IS NULL AS rejected
+FROM (SELECT string_split(regexp_replace(line, '\t+$', ''), chr(9))[3] AS word FROM t_line) w
+GROUP BY word""")
 HOT_TOKENS_TOP10 = r"""SELECT word, count(*) AS count
 FROM (SELECT unnest(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+')) AS word FROM documents) w
 WHERE word <> '' GROUP BY word ORDER BY count DESC, word LIMIT 10"""
@@ -456,6 +460,7 @@ ORACLE_SQL: dict[str, str] = {
     "remind_coupon_daily": _remind("coupon_id <> 1", "couponCount", P.REMIND_AS_OF),
     "hot_field_top10": HOT_FIELD_TOP10,
     "hot_field_rejects": HOT_FIELD_REJECTS,
+    "hot_field_file": HOT_FIELD_FILE,
     "hot_tokens_top10": HOT_TOKENS_TOP10,
     "tag_member_base": with_views(_BASE),
     "tag_order_behavior": with_views(_ORDER_LITERAL, _ORDER_LITERAL_CTES),
@@ -470,6 +475,7 @@ ORACLE_SQL: dict[str, str] = {
     "user_tags_incremental": with_views('SELECT * FROM user_tags', USER_TAGS_CTES),
     "segment_select": SEGMENT_SELECT,
     "segment_export": SEGMENT_EXPORT,
+    "segment_export_file": SEGMENT_EXPORT,
     "segment_batch": SEGMENT_BATCH,
     "segment_exclude_only": SEGMENT_EXCLUDE_ONLY,
     "segment_all": SEGMENT_ALL,

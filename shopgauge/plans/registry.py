@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..fixed import EXPORT_LINE_SEP
 from ..functions import dates as D
 from ..operators import (
     funnel,
@@ -23,7 +24,9 @@ from ..operators import (
 )
 from ..sources.catalog import CatalogTables, write_tables
 from ..sources.shared import shared_folder, written
+from ..sources.sinks import write_lines
 from ..sources.tables import ShopTables
+from ..sources.text import read_lines
 from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +91,20 @@ def _wow_catalog(t: ShopTables) -> DataFrame:
     return growth.wow_order_compare(_catalog(t).order, P.WOW_ORDER_AS_OF)
 
 
+def _hot_field_file(t: ShopTables) -> DataFrame:
+    """The lines as a text file with CR LF, scanned again."""
+    where = shared_folder(t.spark, "lines")
+    write_lines(t.lines, where)
+    return words.hot_field_counts(read_lines(t.spark, where, line_sep=EXPORT_LINE_SEP))
+
+
+def _export_file(t: ShopTables) -> DataFrame:
+    """The audience export written in its download format and read back."""
+    where = shared_folder(t.spark, "export")
+    write_lines(segments.segment_export(_user_tags(t), P.SEGMENT_CONDITIONS), where)
+    return read_lines(t.spark, where, line_sep=EXPORT_LINE_SEP)
+
+
 def _segment_page(t: ShopTables) -> DataFrame:
     """One page behind the cursors of the pages before it (each a bounded result)."""
     stored, cursor = written(_user_tags(t), "usertag"), None
@@ -135,6 +152,7 @@ QUERIES: dict[str, Query] = {
     # hot words
     "hot_field_top10": _q(lambda t: words.hot_field_top(t.lines, 10)),
     "hot_field_rejects": _q(lambda t: words.hot_field_rejects(t.lines)),
+    "hot_field_file": _q(_hot_field_file),
     "hot_tokens_top10": _q(lambda t: words.hot_tokens_top(t.documents, 10)),
     # user tags
     "tag_member_base": _q(lambda t: tags.tag_member_base(t.member)),
@@ -152,6 +170,7 @@ QUERIES: dict[str, Query] = {
     # segments
     "segment_select": _q(lambda t: segments.segment_select(_user_tags(t), P.SEGMENT_CONDITIONS)),
     "segment_export": _q(lambda t: segments.segment_export(_user_tags(t), P.SEGMENT_CONDITIONS)),
+    "segment_export_file": _q(_export_file),
     "segment_batch": _q(lambda t: segments.segment_batch(_user_tags(t), P.SEGMENT_BATCH)),
     "segment_exclude_only": _q(lambda t: segments.segment_select(_user_tags(t),
                                                                  P.SEGMENT_EXCLUDE_ONLY)),

@@ -6,9 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_lines(spark: SparkSession, path: str, line_col: str = "line") -> DataFrame:
-    """One STRING column per line; splittable, so the scan runs in parallel over file blocks."""
-    return spark.read.text(path).withColumnRenamed("value", line_col)
+def read_lines(spark: SparkSession, path: str, line_col: str = "line",
+               line_sep: str | None = None) -> DataFrame:
+    """One STRING column per line; splittable, so the scan runs in parallel over file blocks.
+
+    Lines end at LF, CR LF or a lone CR, or at `line_sep` alone if that is given (the export format
+    ends lines with CR LF, and a lone CR is part of its text).
+    """
+    reader = spark.read if line_sep is None else spark.read.option("lineSep", line_sep)
+    return reader.text(path).withColumnRenamed("value", line_col)
 
 
 def delimited_field(line: str | Column, index: int, sep: str = "\t") -> Column:

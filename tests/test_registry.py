@@ -9,7 +9,9 @@ wow_order_compare remind_free_daily remind_coupon_daily hot_field_top10 hot_toke
 tag_member_base tag_order_behavior tag_order_behavior_exact tag_free_coupon tag_coupon_times
 tag_charge_money tag_over_time tag_latest_feedback user_tags_literal user_tags segment_select
 segment_export segment_batch date_normalize date_shift date_parts date_interval_days
-segment_exclude_only segment_all hot_field_rejects""".split()
+segment_exclude_only segment_all hot_field_rejects segment_from_table segment_page
+segment_export_file hot_field_file user_tags_incremental growth_daily_rollup growth_calendar_rollup
+growth_daily_catalog wow_order_catalog""".split()
 
 
 def test_planned_reports_are_registered_with_oracles():

@@ -74,3 +74,19 @@ def test_members_job_writes_the_profile_document(spark):
     assert set(doc) == {"memberSexes", "memberChannels", "memberMpSubs", "memberHeats"}
     assert sum(x["sexCount"] for x in doc["memberSexes"]) == spark.read.parquet(
         f"{SF}/customer.parquet").count()
+
+
+def test_wide_lines_and_lone_carriage_returns(spark):
+    wide = "w" * 3_000_000
+    rows = [("1\ts\ten",), (f"{wide}\ta\r b\tx y",), ("short",), ("",), ("\t\t\t",), ("a\tb\t\td",)]
+    out = os.path.join(tempfile.mkdtemp(prefix="sg-wide-"), "lines")
+    write_lines(spark.createDataFrame(rows, "line string").coalesce(1), out)
+    back = read_lines(spark, out, line_sep="\r\n")
+    assert sorted(r.line for r in back.collect()) == sorted(r[0] for r in rows)
+    assert {(r.word, r["count"], r.rejected) for r in words.hot_field_counts(back).collect()} == {
+        ("en", 1, False), ("x y", 1, False), ("", 1, False), (None, 3, True)}
+    # Without a separator a lone CR ends a line too.
+    assert read_lines(spark, out).count() == 7
+    empty = os.path.join(tempfile.mkdtemp(prefix="sg-wide-"), "lines")
+    write_lines(spark.createDataFrame([], "line string"), empty)
+    assert words.hot_field_counts(read_lines(spark, empty)).count() == 0
