@@ -10,7 +10,10 @@ Reader: walks a file member by member (or record by record where it isn't compre
 the gzip checksum, version line, header, length, closing blank lines and block digest. Where a check
 fails it searches for the next gzip magic or version line that begins a wholly valid member or
 record, goes on there, and returns the bytes between as a gap row with the reason. Files are
-read through a memory map, or ranged reads on remote stores; one record is held at a time.
+read through a memory map, or ranged reads on remote stores; one record is held at a time, also
+where many share a large gzip member, which is read twice: for its checksum, then for its records.
+Field names are compared without case, folded lines are joined, and block digests are checked as they
+are labelled (md5 or sha, in hex or base 32).
 
 Edge cases: a null html is an empty payload; pages that share the smallest id are all responses; a
 null id never is smallest and refers to the smallest one there is; line breaks in a url are
@@ -19,11 +22,13 @@ percent-encoded; an empty file has neither records nor gaps; an empty table writ
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,6 +41,18 @@ VERSION = b"WARC/1.1"
 _START = re.compile(rb"WARC/1\.\d\r\n")
 _MAGIC = b"\x1f\x8b\x08"
 _CHUNK = 1 << 20
+_KEEP = 1 << 25          # inflated bytes of a member that are kept rather than inflated again
+_HEADER = 1 << 24        # bytes of a header at most
+_LONGEST = (1 << 31) - 1024  # bytes of a block at most: what one Arrow value holds
+_DIGESTS = ("md5", "sha1", "sha256", "sha384", "sha512")
+# Field names of the format, by their lower case.
+_NAMES = {n.lower(): n for n in (
+    "WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length", "Content-Type",
+    "WARC-Concurrent-To", "WARC-Block-Digest", "WARC-Payload-Digest", "WARC-IP-Address",
+    "WARC-Refers-To", "WARC-Refers-To-Target-URI", "WARC-Refers-To-Date", "WARC-Target-URI",
+    "WARC-Truncated", "WARC-Warcinfo-ID", "WARC-Filename", "WARC-Profile",
+    "WARC-Identified-Payload-Type", "WARC-Segment-Number", "WARC-Segment-Origin-ID",
+    "WARC-Segment-Total-Length", "Page-ID", "Refers-To-Page-ID")}
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 RECORD = pa.schema([
@@ -143,51 +160,110 @@ class Broken(Exception):
     """A check failed; the text says which."""
 
 
-def parse_record(data, at: int) -> tuple[dict[str, str], bytes, int]:
-    """Fields, block and end of the record at ``at`` of a buffer; Broken if a check fails."""
-    if not _START.match(data, at):
-        raise Broken("no version line")
-    close = data.find(b"\r\n\r\n", at)
-    if close < 0:
-        raise Broken("header without end")
+def _fields(header: bytes) -> dict[str, str]:
+    """Named fields of a header. Names are compared without case and known ones given in their
+    usual spelling; a line that begins with white space continues the one before."""
     fields: dict[str, str] = {}
-    for line in bytes(data[data.find(b"\r\n", at) + 2:close]).split(b"\r\n"):
+    last = None
+    for line in header.split(b"\r\n"):
+        if line[:1] in (b" ", b"\t"):
+            if last is None:
+                raise Broken("header line without name")
+            fields[last] = f"{fields[last]} {line.decode('utf-8', 'replace').strip()}".strip()
+            continue
         name, colon, value = line.partition(b":")
         if not colon or not name.strip():
             raise Broken("header line without name")
-        fields[name.decode("utf-8", "replace").strip()] = value.decode("utf-8", "replace").strip()
-    if not fields.get("Content-Length", "").isdigit():
+        last = name.decode("utf-8", "replace").strip()
+        last = _NAMES.get(last.lower(), last)
+        fields[last] = value.decode("utf-8", "replace").strip()
+    return fields
+
+
+def digest_differs(label: str, data: bytes) -> bool:
+    """Does a labelled digest (algorithm:value, in hex or base 32) not fit the data? Labels of
+    unknown algorithms prove nothing."""
+    kind, colon, value = label.partition(":")
+    kind = kind.strip().lower().replace("-", "")
+    if not colon or kind not in _DIGESTS:
+        return False
+    raw = hashlib.new(kind, data).digest()
+    value = value.strip()
+    return (value.lower() != raw.hex()
+            and value.upper().rstrip("=") != base64.b32encode(raw).decode().rstrip("="))
+
+
+class _Stream:
+    """Bytes that arrive in chunks; holds what has not been dropped."""
+
+    def __init__(self, chunks: Iterator[bytes]):
+        self.chunks, self.held, self.base, self.ended = chunks, bytearray(), 0, False
+
+    def fill(self, n: int) -> bool:
+        """Hold n bytes, if there are as many."""
+        while len(self.held) < n and not self.ended:
+            chunk = next(self.chunks, None)
+            if chunk is None:
+                self.ended = True
+            else:
+                self.held += chunk
+        return len(self.held) >= n
+
+    def drop(self, n: int) -> None:
+        del self.held[:n]
+        self.base += n
+
+
+def _record(s: _Stream) -> tuple[dict[str, str], bytes, int]:
+    """Fields, block and size of the record that the held bytes begin with; Broken if a check fails."""
+    s.fill(10)
+    if not _START.match(s.held):
+        raise Broken("no version line")
+    seen = 0
+    while (close := s.held.find(b"\r\n\r\n", seen)) < 0:
+        seen = max(0, len(s.held) - 3)
+        if len(s.held) > _HEADER or not s.fill(len(s.held) + 1):
+            raise Broken("header without end")
+    fields = _fields(bytes(s.held[s.held.find(b"\r\n") + 2:close]))
+    size = fields.get("Content-Length", "")
+    if not (size.isascii() and size.isdigit()):
         raise Broken("no content length")
-    begin = close + 4
-    end = begin + int(fields["Content-Length"])
-    if data[end:end + 4] != b"\r\n\r\n":
+    begin, end = close + 4, close + 4 + int(size)
+    if int(size) > _LONGEST or not s.fill(end + 4):
+        raise Broken("record ends early")
+    if s.held[end:end + 4] != b"\r\n\r\n":
         raise Broken("record doesn't end where its length says")
-    block = bytes(data[begin:end])
-    digest = fields.get("WARC-Block-Digest", "")
-    if digest.startswith("sha256:") and digest[7:] != hashlib.sha256(block).hexdigest():
+    block = bytes(s.held[begin:end])
+    if digest_differs(fields.get("WARC-Block-Digest", ""), block):
         raise Broken("block digest differs")
     return fields, block, end + 4
 
 
-def parse_records(data: bytes) -> Iterator[tuple]:
-    """('record', start, end, fields, block) and ('gap', start, end, reason) over a buffer."""
-    at, gap, why = 0, None, ""
-    while at < len(data):
+def parse_records(chunks: Iterator[bytes]) -> Iterator[tuple]:
+    """('record', start, end, fields, block) and ('gap', start, end, reason) over bytes that arrive
+    in chunks; one record is held at a time."""
+    s, gap, why = _Stream(chunks), None, ""
+    while s.fill(1):
         try:
-            fields, block, end = parse_record(data, at)
+            fields, block, size = _record(s)
         except Broken as e:
             if gap is None:
-                gap, why = at, str(e)
-            found = _START.search(data, at + 1)
-            at = found.start() if found else len(data)
+                gap, why = s.base, str(e)
+            at = 1
+            while not (found := _START.search(s.held, at)) and not s.ended:
+                # A version line may begin in the last bytes.
+                s.drop(max(at, len(s.held) - 9))
+                at = 0
+                s.fill(len(s.held) + 1)
+            s.drop(found.start() if found else len(s.held))
             continue
         if gap is not None:
-            yield "gap", gap, at, why
+            yield "gap", gap, s.base, why
             gap = None
-        yield "record", at, end, fields, block
-        at = end
+        yield "record", s.base, s.base + size, fields, block
+        s.drop(size)
     if gap is not None:
-        yield "gap", gap, len(data), why
+        yield "gap", gap, s.base, why
 
 
 class _Window:
@@ -211,39 +287,52 @@ class _Window:
         return self.size
 
 
-def _member(window: _Window, at: int) -> tuple[bytes, int]:
-    z, parts, pos = zlib.decompressobj(31), [], at
+def _inflated(window: _Window, at: int, ends: list[int]) -> Iterator[bytes]:
+    """The bytes of the gzip member at ``at`` in chunks; its end is added to ``ends``."""
+    z, pos, first = zlib.decompressobj(31), at, True
     while not z.eof:
-        chunk = window.read(pos, _CHUNK)
+        chunk = z.unconsumed_tail
         if not chunk:
-            raise Broken("member ends early")
-        pos += len(chunk)
+            chunk = window.read(pos, _CHUNK)
+            if not chunk:
+                raise Broken("member ends early")
+            pos += len(chunk)
         try:
-            parts.append(z.decompress(chunk))
+            data = z.decompress(chunk, _CHUNK)
         except zlib.error as e:
             raise Broken("member doesn't decompress" if "check" not in str(e)
                          else "member checksum differs") from None
-        if parts and len(parts) == 1 and not VERSION.startswith(parts[0][:5]) \
-                and parts[0][:5] != b"WARC/":
+        if first and data and not VERSION.startswith(data[:5]) and data[:5] != b"WARC/":
             raise Broken("member holds no record")
-    return b"".join(parts), pos - len(z.unused_data)
+        first = first and not data
+        if data:
+            yield data
+    ends.append(pos - len(z.unused_data))
+
+
+def _member(window: _Window, at: int) -> tuple[Iterator[bytes], int]:
+    """Chunks of a member that has been read to its end once, so that its checksum holds; a large
+    one is not kept but inflated again."""
+    ends: list[int] = []
+    kept, size = [], 0
+    for data in _inflated(window, at, ends):
+        size += len(data)
+        if size <= _KEEP:
+            kept.append(data)
+        else:
+            kept.clear()
+    return iter(kept) if size <= _KEEP else _inflated(window, at, []), ends[0]
 
 
 def _plain(window: _Window, at: int) -> tuple[dict[str, str], bytes, int]:
-    """The uncompressed record at ``at``: reads its header, then as much as its length says."""
-    n = 1 << 14
-    head = window.read(at, n)
-    while b"\r\n\r\n" not in head and n < 1 << 24 and at + n < window.size:
-        n *= 4
-        head = window.read(at, n)
-    size = re.search(rb"\r\nContent-Length:[ \t]*(\d{1,18})", head, re.I)
-    if not _START.match(head) or not size:
-        raise Broken("no version line" if not _START.match(head) else "no content length")
-    need = head.find(b"\r\n\r\n") + 8 + int(size[1])
-    if at + need > window.size:
-        raise Broken("record ends early")
-    fields, block, end = parse_record(window.read(at, need), 0)
-    return fields, block, at + end
+    """The uncompressed record at ``at``."""
+    def chunks() -> Iterator[bytes]:
+        pos, n = at, 1 << 14
+        while data := window.read(pos, n):
+            yield data
+            pos, n = pos + len(data), _CHUNK
+    fields, block, size = _record(_Stream(chunks()))
+    return fields, block, at + size
 
 
 def walk(f: pa.NativeFile) -> Iterator[tuple]:
@@ -256,14 +345,16 @@ def walk(f: pa.NativeFile) -> Iterator[tuple]:
         try:
             if head == _MAGIC:
                 data, end = _member(window, at)
-                inner = list(parse_records(data))
-                if not any(x[0] == "record" for x in inner):
-                    raise Broken(inner[0][3] if inner else "member is empty")
-                found = [(x[0], at, end, x[1], x[2], *((x[3], None, None) if x[0] == "gap"
-                                                       else (None, x[3], x[4]))) for x in inner]
+                inner = parse_records(data)
+                lead = list(islice(inner, 2))  # a gap is never followed by another one
+                if not any(x[0] == "record" for x in lead):
+                    raise Broken(lead[0][3] if lead else "member is empty")
+                found = ((x[0], at, end, x[1], x[2], *((x[3], None, None) if x[0] == "gap"
+                                                       else (None, x[3], x[4])))
+                         for x in chain(lead, inner))
             else:
                 fields, block, end = _plain(window, at)
-                found = [("record", at, end, None, None, None, fields, block)]
+                found = iter([("record", at, end, None, None, None, fields, block)])
         except Broken as e:
             if gap is None:
                 gap, why = at, str(e)

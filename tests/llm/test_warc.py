@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import io
 
@@ -74,6 +75,77 @@ def test_salvage_of_plain_records_and_of_records_in_one_member():
     assert kinds(parts[0].replace(b"Content-Length", b"Content-Lngth"))[0][0] == "gap"
 
 
+def other(body, digest="", names=str, fold=False):
+    """A record as other writers make it."""
+    lines = [("WARC-Type", "resource"), ("WARC-Target-URI", "urn:x"), ("Content-Length", str(len(body))),
+             ("X-Note", "one\r\n\ttwo" if fold else "one")]
+    if digest:
+        lines.append(("WARC-Block-Digest", digest))
+    head = "".join(f"{names(k)}: {v}\r\n" for k, v in lines)
+    return b"WARC/1.0\r\n" + head.encode() + b"\r\n" + body + b"\r\n\r\n"
+
+
+def test_records_of_other_writers():
+    body = b"some body"
+    for algorithm in ("md5", "sha1", "sha256", "SHA-512"):
+        raw = hashlib.new(algorithm.replace("-", ""), body).digest()
+        for value in (raw.hex(), raw.hex().upper(), base64.b32encode(raw).decode(),
+                      base64.b32encode(raw).decode().rstrip("=").lower()):
+            good = other(body, f"{algorithm}:{value}", str.lower, fold=True)
+            bad = other(body[:-1] + b"X", f"{algorithm}:{value}", str.upper)
+            for pack in (bytes, warc.member):
+                kind, *_, fields, block = walked(pack(good))[0]
+                assert (kind, block, fields["X-Note" if "X-Note" in fields else "x-note"]) == (
+                    "record", body, "one two")
+                assert fields["WARC-Type"] == "resource"
+                got = walked(pack(bad) + pack(good))
+                assert [g[0] for g in got] == ["gap", "record"]
+                assert got[0][5] == "block digest differs"
+    assert walked(other(body, "crc32:00"))[0][0] == "record"
+    broken = b"WARC/1.0\r\n folded: first\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    assert walked(broken)[0][5] == "header line without name"
+
+
+def test_many_records_in_one_member_are_streamed(monkeypatch):
+    parts = [record(i, b"body %d " % i * (i * 7 % 50 + 1)) for i in range(300)]
+    bad = bytearray(b"".join(parts))
+    hit = sum(map(len, parts[:100])) + len(parts[100]) - 8
+    bad[hit] ^= 1
+    want = [x[:5] for x in walked(warc.member(bytes(bad)))]
+    assert [x[0] for x in want].count("record") == 299 and len(want) == 300
+    monkeypatch.setattr(warc, "_KEEP", 1000)
+    held = []
+    fill = warc._Stream.fill
+
+    def watched(self, n):
+        out = fill(self, n)
+        held.append(len(self.held))
+        return out
+    monkeypatch.setattr(warc._Stream, "fill", watched)
+    for chunk in (64, 777, 1 << 12):
+        monkeypatch.setattr(warc, "_CHUNK", chunk)
+        data = warc.member(bytes(bad))
+        assert [x[:5] for x in walked(data)] == want
+        assert [x[:5] for x in walked(data + warc.member(parts[0]))][:-1] == want
+    assert max(held) < 2 * (1 << 12) + max(map(len, parts))
+    flipped = bytearray(data)
+    flipped[-5] ^= 1  # the checksum at the end: no record of the member counts
+    assert [x[0] for x in walked(bytes(flipped))] == ["gap"]
+    plain = bytes(bad)
+    assert [(x[0], x[1], x[2]) for x in walked(plain)] == [(x[0], x[3], x[4]) for x in want]
+
+
+def test_extra_columns_change_nothing(spark):
+    rows = [(i, f"u{i % 3}", "<p>" + "z" * (150 + i % 4)) for i in range(20)]
+    pages = spark.createDataFrame(rows, PAGE)
+    odd = pages.selectExpr("*", *(f"'x' AS `{c}`" for c in (
+        "digest", "n", "refers_to", "r_id", "copies", "path", "headers", "kind")))
+    both = [sorted((r.start, r.headers["Page-ID"], r.warc_type, r.payload_sha256) for r in
+                   warc.read_warcs(warc.write_warcs(p.coalesce(1), scratch(spark, "test"))).collect())
+            for p in (pages, odd)]
+    assert both[0] == both[1] and len(both[0]) == 20
+
+
 def test_a_failed_attempt_leaves_no_file(tmp_path):
     try:
         with files.written(f"file://{tmp_path}/a/b.bin") as out:
