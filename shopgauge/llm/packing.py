@@ -2,11 +2,19 @@
 
 Documents are spread over tasks by a hash, only (id, length) rows move. Each task sorts a block of
 at most ``block_items`` documents by falling length and places each into the open sequence with the
-least room that holds it. If none does, a new sequence is opened at the permitted length of least
-cost for each word it can expect to hold. The block is packed once for every smallest permitted
-opening length, every sequence is then downsized to the shortest length that holds its contents,
+least room that holds it. If none does, a new sequence is opened, at the permitted length of least
+cost for each word it can expect to hold: the document's and those that the shorter documents still
+ahead can bring.
+
+Which lengths to permit is decided jointly: the block is packed once for every set of lengths with
+the longest in it. Every sequence is then downsized to the shortest length that holds its contents,
 and the cheapest packing is kept.
 
+The default cost of a sequence of c words is c * (1 + c / 4096): a training step's work has a part
+that grows with the words and one that grows with their square, equal at 4,096 words. Under it short
+sequences are cheaper for each word, so several lengths are opened; with a cost in proportion to the
+length the longest is never worse.
+
 A document longer than the longest sequence is cut into full pieces and a remainder; all pieces
 are returned, so the pieces of a document cover it without gap or overlap.
 
@@ -19,6 +27,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
+from itertools import accumulate, combinations
 
 import numpy as np
 import pandas as pd
@@ -28,31 +37,49 @@ from pyspark.sql import functions as F
 from . import files
 from .common import n_words
 
-CAPACITIES = (512, 1024, 2048, 4096)
+CAPACITIES = (512, 768, 1024, 1536, 2048, 4096)
 SCHEMA = ("doc_id long, piece long, piece_start long, n_words long, bin_id long, bin_start long, "
           "bin_capacity long, bin_used long")
 
 
-def _open(length: int, ahead: int, sizes: tuple[int, ...], cost: Callable) -> int:
-    """The permitted size of least cost per word expected; the larger of equal ones."""
-    return min((c for c in sizes if c >= length),
-               key=lambda c: (cost(c) / min(c, length + ahead), -c))
+def training_cost(c: int) -> float:
+    """Work of a step over a sequence of c words, in words of a very short one."""
+    return c * (1 + c / 4096)
 
 
-def best_fit(lengths: list[int], capacities: tuple[int, ...],
-             cost: Callable[[int], float] = float) -> tuple[list[int], list[int], list[int]]:
-    """(bin of each item, offset in it, capacity of each bin) for lengths in falling order."""
-    best = None
-    for least in capacities:
-        sizes = tuple(c for c in capacities if c >= least)
-        opened: list[int] = []          # sizes opened
+class _Block:
+    """The lengths of a block in falling order, and what is ahead of each place."""
+
+    def __init__(self, lengths: list[int], capacities: tuple[int, ...],
+                 cost: Callable[[int], float]):
+        self.lengths, self.capacities, self.cost = lengths, capacities, cost
+        self.falling = [-n for n in lengths]
+        self.sum_from = [*accumulate(reversed(lengths), initial=0)][::-1]
+
+    def final(self, used: int) -> int:
+        """The shortest length that holds a sequence's words."""
+        return self.capacities[bisect_left(self.capacities, used)]
+
+    def open(self, at: int, sizes: tuple[int, ...]) -> int:
+        """The size of least cost for each word it can expect, for the item at a place; the larger
+        of equal ones."""
+        n = self.lengths[at]
+
+        def price(c: int) -> tuple[float, int]:
+            # Items ahead that fit beside this one.
+            fitting = max(at + 1, bisect_left(self.falling, n - c))
+            fill = min(c, n + self.sum_from[fitting])
+            return self.cost(self.final(fill)) / fill, -c
+        return min((c for c in sizes if c >= n), key=price)
+
+    def pack(self, sizes: tuple[int, ...]) -> tuple[list[int], list[int], list[int]]:
+        """(bin of each item, offset in it, words of each bin) with these sizes permitted."""
+        opened: list[int] = []
         used: list[int] = []
         bins, starts = [], []
         rooms: list[int] = []           # distinct rooms of open bins, rising
         by_room: dict[int, list[int]] = {}
-        ahead = sum(lengths)
-        for n in lengths:
-            ahead -= n
+        for at, n in enumerate(self.lengths):
             k = bisect_left(rooms, n)
             if k < len(rooms):
                 room = rooms[k]
@@ -61,7 +88,7 @@ def best_fit(lengths: list[int], capacities: tuple[int, ...],
                     del by_room[room], rooms[k]
             else:
                 b = len(opened)
-                opened.append(_open(n, ahead, sizes, cost))
+                opened.append(self.open(at, sizes))
                 used.append(0)
             bins.append(b)
             starts.append(used[b])
@@ -72,20 +99,32 @@ def best_fit(lengths: list[int], capacities: tuple[int, ...],
                     by_room[room] = []
                     insort(rooms, room)
                 by_room[room].append(b)
-        final = [next(c for c in capacities if c >= u) for u in used]
-        price = (sum(map(cost, final)), len(final))
-        if best is None or price < best[0]:
-            best = price, bins, starts, final
+        return bins, starts, used
+
+
+def best_fit(lengths: list[int], capacities: tuple[int, ...],
+             cost: Callable[[int], float] = training_cost) -> tuple[list[int], list[int], list[int]]:
+    """(bin of each item, offset in it, capacity of each bin) for lengths in falling order: the
+    cheapest of the packings with every set of permitted sizes."""
+    block, best = _Block(lengths, capacities, cost), None
+    *others, longest = capacities
+    for k in range(len(others) + 1):
+        for some in combinations(others, k):
+            bins, starts, used = block.pack((*some, longest))
+            final = list(map(block.final, used))
+            price = (sum(map(cost, final)), len(final))
+            if best is None or price < best[0]:
+                best = price, bins, starts, final
     return best[1:]
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          length: Column | None = None, capacities: tuple[int, ...] = CAPACITIES,
-         cost: Callable[[int], float] = float, block_items: int = 50_000) -> DataFrame:
+         cost: Callable[[int], float] = training_cost, block_items: int = 50_000) -> DataFrame:
     """One row per piece of a document: where it lies in the document and in its sequence.
 
     ``length`` (default: words of the text) measures documents; ``cost`` prices a sequence of a
-    given length (default: its length, so that padding is least).
+    given length (default: the work of a training step).
     """
     capacities = tuple(sorted(capacities))
     longest = capacities[-1]

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -82,6 +83,55 @@ def test_best_fit_prefers_the_fullest_and_downsizes():
     assert packing.best_fit([3], (4, 8), float)[2] == [4]
 
 
+def optimum(items, capacities, cost):
+    """The least cost of any packing, by trying all."""
+    def price(used):
+        return cost(next(c for c in capacities if c >= used))
+    best = [float("inf")]
+
+    def place(i, used, total):
+        if total >= best[0]:
+            return
+        if i == len(items):
+            best[0] = total
+            return
+        for k in {u: k for k, u in enumerate(used)}.values():
+            if (now := used[k] + items[i]) <= capacities[-1]:
+                rest = [*used[:k], now, *used[k + 1:]]
+                place(i + 1, rest, total + price(now) - price(used[k]))
+        place(i + 1, [*used, items[i]], total + price(items[i]))
+    place(0, [], 0)
+    return best[0]
+
+
+def test_packing_against_all_packings_of_few_items():
+    rand = random.Random(1)
+    shares = []
+    for _ in range(600):
+        capacities = rand.choice([(4, 6, 8, 12, 16, 32), (3, 5, 16), (8, 16), (10,), (5, 7, 11, 13)])
+        cost = rand.choice([float, lambda c: c * (1 + c / capacities[-1])])
+        items = sorted((rand.randint(1, capacities[-1]) for _ in range(rand.randint(1, 8))),
+                       reverse=True)
+        final = packing.best_fit(items, capacities, cost)[2]
+        shares.append(sum(map(cost, final)) / optimum(items, capacities, cost))
+    assert min(shares) >= 1 - 1e-9 and max(shares) <= 1.25
+    assert sum(s < 1 + 1e-9 for s in shares) > 0.85 * len(shares)
+
+
+def test_joint_lengths_cost_less_than_any_one_length():
+    rand = random.Random(2)
+    items = sorted((min(4096, int(rand.lognormvariate(5.6, 1.1)) + 1) for _ in range(3000)), reverse=True)
+    final = packing.best_fit(items, packing.CAPACITIES)[2]
+    total = sum(map(packing.training_cost, final))
+    assert len(set(final)) >= 3
+    block = packing._Block(items, packing.CAPACITIES, packing.training_cost)
+    for c in packing.CAPACITIES:  # what doesn't fit goes to the longest
+        used = block.pack(tuple(sorted({c, 4096})))[2]
+        assert total < sum(packing.training_cost(block.final(u)) for u in used)
+    equal = packing.best_fit([512] * 20_000, packing.CAPACITIES)[2]
+    assert equal == [512] * 20_000
+
+
 def test_packing_covers_every_word_once(spark):
     rows = documents()
     got = packing.pack(frame(spark, rows), capacities=(64, 128, 512), block_items=10).collect()
