@@ -10,7 +10,7 @@ are separators; letters the samples lack are single phrases). A letter of the sa
 if they hold more than ``MOST_LETTERS``, as with Chinese or Korean, it is one symbol for each byte of
 its UTF-8 form, so that no letter is left out and the tables stay narrow. The parse restarts every ``LANE``
 symbols, which lets numpy step thousands of stretches of whole texts at once through the
-automata's transition tables.
+automata.
 
 Learning uses a bounded sample, a documented parameter: for each language ``sample_rows`` labelled
 documents drawn by a hash of the id, and at most ``sample_chars`` symbols of them. A ``Model`` holds
@@ -48,11 +48,11 @@ def codes(texts: list[str]) -> np.ndarray:
 
 
 class Automaton:
-    """Suffix automaton of a symbol sequence as a transition table.
+    """Suffix automaton of a symbol sequence, its transitions packed into one array.
 
-    An entry of ``table[state * width + symbol]`` is the next state's row shifted left by two, plus
-    the phrases that end there: 1 if the match can't go on and the symbol begins the next phrase, and one
-    more if no phrase can begin with it. Symbol 0 closes an open phrase.
+    A state has a base; its transition by symbol s lies in cell base + s, marked with the state, so
+    that the rows of all states interleave. There are less than three transitions and two states for
+    each symbol of the sample, whatever the alphabet: about 1 MB for 40,000 symbols.
     """
 
     def __init__(self, symbols: np.ndarray, width: int):
@@ -81,28 +81,59 @@ class Automaton:
                         p = link[p]
                     link[q] = link[new] = twin
             last = new
-        start = np.zeros(width, np.int64)           # where a phrase that begins with s leads
-        for s, t in nexts[0].items():
-            start[s] = t
-        begins = np.where(start > 0, start * width << 2, 1)
-        begins[0] = 0
-        table = np.broadcast_to(begins + np.r_[1, np.ones(width - 1, np.int64)],
-                                (len(length), width)).copy()
-        table[0] = begins
+        base = self._place(nexts, width)
+        self.base = np.array(base, np.int32)
+        self.cells = np.full(max(base) + width, -1, np.int64)  # mark and target
         for state, row in enumerate(nexts):
             for s, t in row.items():
-                table[state, s] = t * width << 2
+                self.cells[base[state] + s] = state << 32 | t
+        # Where a phrase that begins with a symbol leads; the root, state 0, if none does.
+        self.start = np.zeros(width, np.int64)
+        for s, t in nexts[0].items():
+            self.start[s] = t
+        # A symbol that begins no phrase is one by itself; symbol 0 only closes an open one.
+        self.lone = (self.start == 0).astype(np.int32)
+        self.lone[0] = 0
         self.bits = float(np.log2(max(2, len(symbols))))
-        self.table = table.astype(np.int32).ravel()
+
+    @staticmethod
+    def _place(nexts: list[dict], width: int) -> list[int]:
+        """A base for every state, so that no two rows share a cell: the fullest rows first, each
+        where its cells are free; a row of one transition takes the next free cell."""
+        base = [0] * len(nexts)
+        taken = bytearray(width + sum(map(len, nexts)) + 4 * width)
+        low = front = width  # where the first free cell is; where rows of several look first
+        for state in sorted(range(len(nexts)), key=lambda i: -len(nexts[i])):
+            row = sorted(nexts[state])
+            if not row:
+                continue
+            if len(row) == 1:
+                low = at = taken.find(0, low)
+            else:
+                at, tried = taken.find(0, front), 0
+                while any(taken[at - row[0] + s] for s in row):
+                    at, tried = taken.find(0, at + 1), tried + 1
+                    if at + 2 * width >= len(taken):
+                        taken.extend(bytes(len(taken)))
+                if tried > 8:  # the holes that are left go to rows of one
+                    front = at
+            base[state] = at - row[0]
+            for s in row:
+                taken[base[state] + s] = 1
+            if at + 2 * width >= len(taken):
+                taken.extend(bytes(len(taken)))
+        return base
 
     def phrases(self, lanes: np.ndarray) -> np.ndarray:
         """Phrases of each column; the last row must be symbol 0."""
-        state = np.zeros(lanes.shape[1], np.int32)
+        state = np.zeros(lanes.shape[1], np.int64)
         count = np.zeros(lanes.shape[1], np.int32)
         for row in lanes:
-            entry = self.table.take(state + row)
-            count += entry & 3
-            state = entry >> 2
+            cell = self.cells.take(self.base.take(state) + row)
+            miss = (cell >> 32) != state
+            count += miss & (state != 0)
+            count += miss * self.lone.take(row)
+            state = np.where(miss, self.start.take(row), cell & 0xFFFFFFFF)
         return count
 
 
@@ -290,9 +321,6 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return groups[0] if len(groups) == 1 else Models(groups)
 
 
-_WORKER: dict = {}
-
-
 def identify(docs: DataFrame, model: Model | Models, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred, score and phrases_per_symbol of every document."""

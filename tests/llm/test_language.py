@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 import pytest
 from rows import ES, EN, documents, frame, prose, same
 from shopgauge.llm import language
@@ -106,3 +108,27 @@ def test_more_labels_than_one_model_holds(spark):
     got = {r.doc_id: r for r in language.identify(docs, model).collect()}
     assert all(got[r[0]].lang_pred == r[2] for r in rows)
     assert language.in_known_language(docs, model).count() == len(rows)
+
+
+def test_packed_transitions_are_those_of_all_substrings():
+    """Every substring is a path of the automaton, nothing else; two hundred labels stay small."""
+    rand = random.Random(3)
+    for width, n in ((5, 60), (40, 400), (250, 900)):
+        symbols = np.array([rand.randrange(1, width) for _ in range(n)])
+        made = language.Automaton(symbols, width)
+        inside = {tuple(symbols[i:j]) for i in range(n) for j in range(i + 1, min(n, i + 6) + 1)}
+
+        def walk(piece):
+            state = 0
+            for s in piece:
+                cell = int(made.cells[made.base[state] + s])
+                if cell >> 32 != state:
+                    return False
+                state = cell & 0xFFFFFFFF
+            return True
+        assert all(map(walk, inside))
+        for _ in range(500):
+            piece = tuple(rand.randrange(1, width) for _ in range(rand.randint(1, 5)))
+            assert walk(piece) == (piece in inside)
+        assert (made.cells >= 0).sum() < 3 * n
+        assert made.cells.nbytes + made.base.nbytes < 64 * n + 16 * width
