@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import stored
 from .components import components
@@ -52,8 +53,9 @@ def _blocks(dims: int, block_dims: int) -> list[slice]:
 
 
 def classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """id, label and, for vectors that can link, the key of their class of copies and their
-    components as packed doubles."""
+    """id, label and, for vectors that can link, the key of their class of copies and their packed
+    components: in single precision if they come so, which loses nothing, else in double."""
+    dtype = np.float32 if _is_float(vectors, vector_col) else np.float64
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
                           F.col(label_col).cast("string").alias("label"),
                           F.col(vector_col).cast("array<double>").alias("vector"))
@@ -66,7 +68,7 @@ def classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) ->
                 if label is not None and v.is_valid and len(v.values) and not v.values.null_count:
                     x = v.values.to_numpy()
                     if np.isfinite(x).all() and x.any():
-                        data = (x + 0.0).tobytes()
+                        data = (x + 0.0).astype(dtype).tobytes()
                         key = hashlib.sha1(label.encode() + b"\0" + data).digest()
                 keys.append(key)
                 packed.append(data)
@@ -77,23 +79,53 @@ def classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) ->
     return rows.mapInArrow(pack, "vec_id long, label string, key binary, vector binary")
 
 
+def _is_float(vectors: DataFrame, vector_col: str) -> bool:
+    kind = vectors.select(F.col(vector_col).alias("v")).schema["v"].dataType
+    return isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     """Unit vectors, scaled first so that no square overflows or vanishes."""
     x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _deal(block_dims: int, grid_dims: int, width: float, distance: float):
+def _homes(block_dims: int, grid_dims: int, width: float, dtype: type):
+    """The home cells alone: (label, cell) of each row and block."""
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.array([len(r) for r in batch.column("vector").to_pylist()])
+            for size in np.unique(sizes):
+                own = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                turned = _turned(own.column("vector"), dtype)
+                dims = turned.shape[1]
+                for b, at in enumerate(_blocks(dims, block_dims)):
+                    home = np.floor(turned[:, at][:, :grid_dims] / width).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [own.column("label"), pa.array(_names(dims, b, home))],
+                        names=["label", "cell"])
+    return homes
+
+
+def _turned(vectors: pa.Array, dtype: type) -> np.ndarray:
+    raw = matrix(vectors, dtype).astype(np.float64)
+    return _unit(raw) @ _rotation(raw.shape[1])
+
+
+def _names(dims: int, block: int, cells: np.ndarray) -> list[str]:
+    return [f"{dims}:{block}:{':'.join(map(str, c))}" for c in cells.tolist()]
+
+
+def _deal(block_dims: int, grid_dims: int, width: float, distance: float, dtype: type):
     """Rows for the cells: one home row for each block, visitor rows for the other cells."""
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raws = batch.column("vector").to_pylist()
-            sizes = np.array([len(r) // 8 for r in raws])
-            for dims in np.unique(sizes):
-                rows = np.flatnonzero(sizes == dims)
-                own = batch.take(pa.array(rows))
-                turned = _unit(matrix(own.column("vector"), np.float64)) @ _rotation(int(dims))
-                for b, at in enumerate(_blocks(int(dims), block_dims)):
+            sizes = np.array([len(r) for r in batch.column("vector").to_pylist()])
+            for size in np.unique(sizes):
+                own = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                turned = _turned(own.column("vector"), dtype)
+                dims = turned.shape[1]
+                for b, at in enumerate(_blocks(dims, block_dims)):
                     radius = np.sqrt(distance * (at.stop - at.start) / dims) * (1 + 1e-6)
                     y = turned[:, at][:, :grid_dims]
                     home = np.floor(y / width).astype(np.int64)
@@ -107,19 +139,18 @@ def _deal(block_dims: int, grid_dims: int, width: float, distance: float):
                             continue
                         cell, visit = cell[hit], (cell[hit] != home[hit]).any(1)
                         part = own.take(pa.array(hit))
-                        names = [f"{b}:{':'.join(map(str, c))}" for c in cell.tolist()]
                         yield pa.RecordBatch.from_arrays(
                             [part.column("vec_id"), part.column("label"), part.column("copies"),
                              part.column("vector"),
                              pa.array(np.full(len(hit), b), pa.int32()),
-                             pa.array([f"{dims}:{n}" for n in names]), pa.array(visit)],
+                             pa.array(_names(dims, b, cell)), pa.array(visit)],
                             names=["vec_id", "label", "copies", "vector", "block", "cell",
                                    "visit"])
 
     return deal
 
 
-def _join(block_dims: int, least: float, distance: float):
+def _join(block_dims: int, least: float, distance: float, dtype: type):
     """Links inside one cell: counts and ties."""
     def compare(home, other, same: bool, counts: dict, ties: dict) -> None:
         ids, copies, raw, turned, block = home
@@ -154,7 +185,7 @@ def _join(block_dims: int, least: float, distance: float):
                 _tie(ties, n, m)
 
     def load(batch: pa.RecordBatch):
-        raw = matrix(batch.column("vector"), np.float64)
+        raw = matrix(batch.column("vector"), dtype).astype(np.float64)
         raw = raw / np.abs(raw).max(1, keepdims=True)
         return (batch.column("vec_id").to_numpy(), batch.column("copies").to_numpy(), raw,
                 _unit(raw) @ _rotation(raw.shape[1]), batch.column("block")[0].as_py())
@@ -217,11 +248,14 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"),
         F.first("label").alias("label"), F.first("vector").alias("vector")), "vec-classes")
 
+    dtype = np.float32 if _is_float(vectors, vector_col) else np.float64
     dealt = copies.select("vec_id", "label", "copies", "vector").mapInArrow(
-        _deal(block_dims, grid_dims, width, distance),
+        _deal(block_dims, grid_dims, width, distance, dtype),
         "vec_id long, label string, copies long, vector binary, block int, cell string, "
         "visit boolean")
-    crowded = stored(dealt.filter("not visit").groupBy("label", "cell").count()
+    homes = copies.select("label", "vector").mapInArrow(
+        _homes(block_dims, grid_dims, width, dtype), "label string, cell string")
+    crowded = stored(homes.groupBy("label", "cell").count()
                      .filter(F.col("count") > cell_rows)
                      .select("label", "cell", F.ceil(F.col("count") / cell_rows).alias("salts")),
                      "vec-crowded")
@@ -234,7 +268,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     grouped = (spread.withColumn("group", F.xxhash64("label", "cell", "salt"))
                .repartition("group").sortWithinPartitions("group", "visit")
                .select("group", "vec_id", "copies", "vector", "block", "visit"))
-    found = stored(grouped.mapInArrow(_join(block_dims, least, distance),
+    found = stored(grouped.mapInArrow(_join(block_dims, least, distance, dtype),
                                       "a long, b long, n long"), "vec-links")
 
     links = found.filter("b is null").groupBy("a").agg(F.sum("n").alias("far"))

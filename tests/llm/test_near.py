@@ -113,3 +113,20 @@ def test_vectors_match_all_pairs(spark):
                 assert r.n_links == sum(r.vec_id in p for p in linked)
                 assert r.kept == (r.vec_id == r.component_id)
     assert vectors.near_vectors(df.limit(0)).count() == 0
+
+
+def test_single_precision_and_extra_columns(spark):
+    rand = np.random.default_rng(6)
+    rows = []
+    for c in range(20):
+        centre = rand.standard_normal(16)
+        rows += [(len(rows) + k, (centre + rand.standard_normal(16) * 0.06).astype(np.float32).tolist(),
+                  c % 2) for k in range(8)]
+    rows += [(len(rows), rows[0][1], 0), (len(rows) + 1, [float("inf")] * 16, 0)]
+    single = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    odd = single.selectExpr("*", *(f"'x' AS `{c}`" for c in (
+        "vector", "key", "copies", "cell", "block", "visit", "salts", "rep", "node", "n_links")))
+    double = single.selectExpr("vec_id", "cast(embedding as array<double>) embedding", "label")
+    wants = vectors.near_vectors(double)
+    assert wants.filter("n_links > 0").count() > 50
+    assert same(vectors.near_vectors(single), wants) and same(vectors.near_vectors(odd), wants)
