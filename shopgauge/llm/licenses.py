@@ -6,8 +6,10 @@ that occur in any licence template. A multinomial logistic
 regression over these sparse features predicts the licence family or ``unknown``. Its probabilities
 are calibrated by a temperature fitted on held-out rows, and a family is accepted only from
 ``least_probability``. An accepted prediction is confirmed if a template of that family has
-``least_overlap`` of its three-word shingles in the window, and the window holds a word of the
-family's own if all its templates do (``affero``). Every other family whose template is in the window
+``least_overlap`` of its three-word shingles and all of its numbers in the window, and the window holds
+a word of the family's own if all its templates do (``affero``). Templates are passages of the licences' texts,
+notices that name a licence, SPDX lines, and, in a paragraph of at most ``SHORT`` words, the names by
+themselves. Every other family whose template is in the window
 is judged by the template's stretch alone, so one window can confirm several families.
 
 Training rows are variants of the templates (spans, dropped words, surrounding text) and, as
@@ -38,38 +40,53 @@ _WORD = re.compile("[0-9a-z]+")
 # What stands before a line's words in source comments; a line of nothing else is blank.
 _MARKS = re.compile(r"""[\s#*/;%!|<>"'{}()\\.=~+_-]*(?:(?:dnl|rem)\b[\s#*/;%!|<>-]*)?""", re.I)
 
-# Licence families and sentences by which their texts are known.
-TEMPLATES: dict[str, list[str]] = {
+# Passages of the licences' texts and notices, by family.
+PASSAGES: dict[str, list[str]] = {
     "agpl-3.0": [
-        "licensed under the GNU Affero General Public License, version 3",
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU Affero General Public License as published by the Free Software Foundation",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
     ],
     "apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
         "file except in compliance with the License.",
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Unless required by applicable law or agreed to in writing, software distributed under "
         "the License is distributed on an \"AS IS\" BASIS",
+        "Apache License Version 2.0, January 2004",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to "
+        "You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright "
+        "license to reproduce, prepare Derivative Works of",
     ],
     "bsd": [
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met",
         "Redistributions of source code must retain the above copyright notice, this list of "
         "conditions and the following disclaimer",
-        "Released under the BSD License.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials "
+        "provided with the distribution",
+        "may be used to endorse or promote products derived from this software without specific "
+        "prior written permission",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY "
+        "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED",
+    ],
+    "cc-by-3.0": [
+        "This work is licensed under a Creative Commons Attribution 3.0 Unported License",
     ],
     "cc-by-4.0": [
-        "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License",
     ],
     "cc-by-nc-4.0": [
-        "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
         "International License",
     ],
+    "cc-by-sa-3.0": [
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License",
+    ],
     "cc-by-sa-4.0": [
-        "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
         "License",
     ],
@@ -78,38 +95,98 @@ TEMPLATES: dict[str, list[str]] = {
         "neighboring rights to this work",
         "released under CC0 1.0 Universal",
     ],
+    "epl-2.0": [
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0",
+    ],
     "gpl-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
         "either version 2 of the License, or (at your option) any later version",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
     ],
     "gpl-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "either version 3 of the License, or (at your option) any later version",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
     ],
     "isc": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
         "without fee is hereby granted",
-        "Released under the ISC License.",
+        "THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS",
     ],
     "lgpl": [
         "licensed under the GNU Lesser General Public License",
         "under the terms of the GNU Lesser General Public License as published by the Free "
         "Software Foundation",
+        "GNU Lesser General Public License version 2.1",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
     ],
     "mit": [
-        "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
         "software and associated documentation files",
+        "to deal in the Software without restriction, including without limitation the rights to "
+        "use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so",
         "The above copyright notice and this permission notice shall be included in all copies "
         "or substantial portions of the Software",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, "
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+        "PURPOSE AND NONINFRINGEMENT",
     ],
     "mpl-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at",
     ],
     "unlicense": [
         "This is free and unencumbered software released into the public domain",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, "
+        "either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means",
     ],
+    "zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event "
+        "will the authors be held liable for any damages arising from the use of this software",
+    ],
+}
+# The families' names in notices, and their identifiers in SPDX lines.
+NAMES: dict[str, list[str]] = {
+    "agpl-3.0": ["GNU Affero General Public License, version 3", "GNU AGPL v3"],
+    "apache-2.0": ["Apache License 2.0", "Apache License, Version 2.0"],
+    "bsd": ["BSD License", "BSD 3-Clause License", "BSD 2-Clause License"],
+    "cc-by-3.0": ["CC BY 3.0"],
+    "cc-by-4.0": ["CC BY 4.0"],
+    "cc-by-nc-4.0": ["CC BY-NC 4.0"],
+    "cc-by-sa-3.0": ["CC BY-SA 3.0"],
+    "cc-by-sa-4.0": ["CC BY-SA 4.0"],
+    "cc0-1.0": ["CC0 1.0 Universal"],
+    "epl-2.0": ["Eclipse Public License 2.0"],
+    "gpl-2.0": ["GNU General Public License, version 2", "GNU GPL v2"],
+    "gpl-3.0": ["GNU General Public License, version 3", "GNU GPL v3"],
+    "isc": ["ISC License"],
+    "lgpl": ["GNU Lesser General Public License"],
+    "mit": ["MIT License", "The MIT License (MIT)"],
+    "mpl-2.0": ["Mozilla Public License 2.0", "Mozilla Public License, version 2.0"],
+    "unlicense": ["The Unlicense"],
+    "zlib": ["zlib License"],
+}
+SPDX: dict[str, list[str]] = {
+    "agpl-3.0": ["AGPL-3.0"], "apache-2.0": ["Apache-2.0"],
+    "bsd": ["BSD-2-Clause", "BSD-3-Clause"], "cc-by-3.0": ["CC-BY-3.0"], "cc-by-4.0": ["CC-BY-4.0"],
+    "cc-by-nc-4.0": ["CC-BY-NC-4.0"], "cc-by-sa-3.0": ["CC-BY-SA-3.0"],
+    "cc-by-sa-4.0": ["CC-BY-SA-4.0"], "cc0-1.0": ["CC0-1.0"], "epl-2.0": ["EPL-2.0"],
+    "gpl-2.0": ["GPL-2.0"], "gpl-3.0": ["GPL-3.0"], "isc": ["ISC"], "lgpl": ["LGPL-2.1", "LGPL-3.0"],
+    "mit": ["MIT"], "mpl-2.0": ["MPL-2.0"], "unlicense": ["Unlicense"], "zlib": ["Zlib"],
 }
+# A notice says one of these of a name.
+FORMS = ["Licensed under {}", "Licensed under the {}", "Released under the {}",
+         "This project is licensed under the {}", "Distributed under the terms of the {}"]
+# The licences' passages, and their names in every form. A name by itself counts in a short
+# paragraph (a heading), not in running text.
+TEMPLATES: dict[str, list[str]] = {
+    f: PASSAGES[f] + [form.format(n) for n in NAMES[f] for form in FORMS]
+    + [f"SPDX-License-Identifier: {i}" for i in SPDX[f]] for f in sorted(PASSAGES)}
+SHORT = 12  # words of a paragraph in which a name by itself is a notice
 
 GNU, OTHER_GNU = ("gpl-2.0", "gpl-3.0"), ("agpl-3.0", "lgpl")
 GNU_NAME = ("gnu", "general", "public")
@@ -151,16 +228,28 @@ class Classifier:
     def __init__(self, background: list[str], seed: int = 11, rounds: int = 120):
         self.families = sorted(TEMPLATES) + [UNKNOWN]
         texts = {f: [tokens(t) for t in TEMPLATES[f]] for f in sorted(TEMPLATES)}
-        self.shingles = {f: [grams(t, 3) for t in texts[f]] for f in texts}
-        # Words that all templates of a family and no other family's hold, as "affero".
-        held = {f: set().union(*texts[f]) for f in texts}
-        self.marked = {f: set(texts[f][0]).intersection(*texts[f]).difference(
-            *(held[g] for g in texts if g != f)) for f in texts}
+        names = {f: [tokens(n) for n in NAMES[f]] for f in texts}
+        # (family, shingles, is it a name by itself); a text of two words is one shingle.
+        # Versions tell families apart: all numbers of a template must be there.
+        self.templates = [(f, frozenset(grams(t, min(3, len(t)))), kind,
+                           frozenset((w,) for w in t if w.isdigit()))
+                          for f in texts for kind, own in ((False, texts[f]), (True, names[f]))
+                          for t in own]
+        self.holders: dict[tuple, list[int]] = {}
+        for i, (_, own, _, _) in enumerate(self.templates):
+            for g in own:
+                self.holders.setdefault(g, []).append(i)
+        # Words of a family's names that no other family's have, as "affero". If all its passages hold
+        # one too, a text of that family does.
+        said = {f: set().union(*names[f], *(tokens(i) for i in SPDX[f])) for f in texts}
+        self.own = {f: said[f].difference(*(said[g] for g in texts if g != f)) for f in texts}
+        self.marked = {f: self.own[f] if all(self.own[f] & set(tokens(p)) for p in PASSAGES[f])
+                       else set() for f in texts}
         known = sorted(set().union(*(grams(t) for own in texts.values() for t in own)))
         self.index = {g: i for i, g in enumerate(known)}
         self.single = {g[0] for g in known if len(g) == 1}
         background = [w for t in background for w in windows(tokens(t))
-                      if not any(self.overlap(f, self.found(w)) >= 0.7 for f in texts)]
+                      if not any(share >= 0.7 for _, share, _ in self.shares(self.found(w), True))]
         rows, labels = self._variants(texts, background, random.Random(seed))
         x = np.zeros((len(rows), len(known)), np.float32)
         for i, r in enumerate(rows):
@@ -173,12 +262,23 @@ class Classifier:
         self.margin = (self.weights[:, :-1].max(1) - self.weights[:, -1]).tolist()
         self.base = float((self.bias[:-1] - self.bias[-1]).max())
 
+    def shares(self, found: set, short: bool) -> list[tuple[str, float, frozenset]]:
+        """(family, share of its shingles found, its shingles) of the templates that share any; names
+        by themselves only in a short text."""
+        hits: dict[int, int] = {}
+        for g in found:
+            for i in self.holders.get(g, ()):
+                hits[i] = hits.get(i, 0) + 1
+        return [(f, n / len(own), own) for i, n in sorted(hits.items())
+                for f, own, name, numbers in [self.templates[i]]
+                if (short or not name) and numbers <= found]
+
     def _variants(self, texts, background, rand) -> tuple[list[list[str]], list[int]]:
         rows, labels = [], []
         filler = background or [["text"]]
         for k, family in enumerate(self.families[:-1]):
-            for words in texts[family]:
-                for i in range(48):
+            for t, words in enumerate(texts[family]):
+                for i in range(48 if t < len(PASSAGES[family]) else 12):
                     own = list(words)
                     if i % 3 == 1 and len(own) > 12:
                         at = rand.randrange(len(own) - 10)
@@ -191,16 +291,22 @@ class Classifier:
                         own = some[:cut][-30:] + own + some[cut:][:30]
                     rows.append(own)
                     labels.append(k)
+            for name in map(tokens, NAMES[family]):  # headings
+                for i in range(12):
+                    rows.append(rand.choice(filler)[:i % 4] + name)
+                    labels.append(k)
         for words in background:
             rows.append(words)
             labels.append(len(self.families) - 1)
         # Short pieces that several families share say nothing on their own.
         for family in self.families[:-1]:
             for words in texts[family]:
-                for _ in range(16):
+                for _ in range(6):
                     at = rand.randrange(len(words))
-                    rows.append(words[at:at + rand.randint(1, 2)] + rand.choice(filler)[:30])
-                    labels.append(len(self.families) - 1)
+                    piece = words[at:at + rand.randint(1, 2)]
+                    if self.own[family].isdisjoint(piece):
+                        rows.append(piece + rand.choice(filler)[:30])
+                        labels.append(len(self.families) - 1)
         order = list(range(len(rows)))
         rand.shuffle(order)
         return [rows[i] for i in order], [labels[i] for i in order]
@@ -244,16 +350,14 @@ class Classifier:
     def features(self, words: list[str]) -> set[int]:
         return {self.index[g] for g in self.found(words)}
 
-    def overlap(self, family: str, found: set) -> float:
-        return max(len(s & found) / len(s) for s in self.shingles[family])
-
     def judge(self, words: list[str]) -> tuple[str, float, float] | None:
         """(family, probability, template overlap); None for unknown."""
         if self.single.isdisjoint(words):
             return None
-        return self._predict(self.found(words))
+        found = self.found(words)
+        return self._predict(found, self.shares(found, len(words) <= SHORT))
 
-    def _predict(self, found: set) -> tuple[str, float, float] | None:
+    def _predict(self, found: set, shares: list) -> tuple[str, float, float] | None:
         own = [self.index[g] for g in found]
         if self.base + sum(m for i in own if (m := self.margin[i]) > 0) <= 0:
             return None
@@ -261,7 +365,8 @@ class Classifier:
         k = int(p.argmax())
         if k == len(self.families) - 1:
             return None
-        return self.families[k], float(p[k]), self.overlap(self.families[k], found)
+        family = self.families[k]
+        return family, float(p[k]), max((n for f, n, _ in shares if f == family), default=0.0)
 
     def confirms(self, said: tuple[str, float, float], words: list[str],
                  least_overlap: float) -> bool:
@@ -274,35 +379,33 @@ class Classifier:
         if self.single.isdisjoint(words):
             return [], False
         found = self.found(words)
-        said = self._predict(found)
+        shares = self.shares(found, len(words) <= SHORT)
+        said = self._predict(found, shares)
         if said is not None and said[1] < least_probability:
             said = None
         out = [said] if said and self.confirms(said, words, least_overlap) else []
-        for family, shingles in self.shingles.items():
-            if out and out[0][0] == family:
+        for family, share, own in shares:
+            if share < least_overlap or any(family == f for f, _, _ in out):
                 continue
             # The template's stretch is judged by itself, without its neighbours.
-            for own in shingles:
-                if len(own & found) < least_overlap * len(own):
-                    continue
-                stretch = self._stretch(words, own)
-                local = self.judge(stretch)
-                if local and local[0] == family and local[1] >= least_probability \
-                        and self.confirms(local, stretch, least_overlap):
-                    out.append(local)
-                    break
+            stretch = self._stretch(words, own)
+            local = self.judge(stretch)
+            if local and local[0] == family and local[1] >= least_probability \
+                    and self.confirms(local, stretch, least_overlap):
+                out.append(local)
         return out, said is not None and not out
 
     @staticmethod
     def _stretch(words: list[str], own: set) -> list[str]:
         """The words that hold most of a template's shingles within little more than its length."""
-        hits = [(i, g) for i in range(len(words) - 2) if (g := tuple(words[i:i + 3])) in own]
+        size = len(next(iter(own)))
+        hits = [(i, g) for i in range(len(words) - size + 1) if (g := tuple(words[i:i + size])) in own]
         reach = len(own) + len(own) // 4 + 2
         near = max(([h for h in hits[k:] if h[0] < i + reach] for k, (i, _) in enumerate(hits)),
                    key=lambda hs: len({g for _, g in hs}))
         # With the words that stand where the template's missing ones would: they may tell it apart.
         missing = len(own) - len({g for _, g in near})
-        return words[max(0, near[0][0] - missing):near[-1][0] + 3 + missing]
+        return words[max(0, near[0][0] - missing):near[-1][0] + size + missing]
 
     def paragraph(self, words: list[str], least_probability: float,
                   least_overlap: float) -> tuple[list[tuple[str, float, float]], int]:
@@ -330,8 +433,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drawn = (docs.select(F.col(id_col).alias("i"))
              .orderBy(F.xxhash64("i", F.lit("licenses")), "i").limit(sample_docs).collect())
     ids = sorted({r[0] for r in drawn if r[0] is not None})
+    # Ids can repeat: the number of rows is bounded too. Of a sampled text its first 20,000
+    # characters are background.
     rows = docs.filter(F.col(id_col).isin(ids)).select(
-        F.col(id_col), F.substring(text_col, 1, 20_000)).limit(4 * sample_docs).collect() \
+        F.col(id_col), F.substring(text_col, 1, 20_000).alias("text")).orderBy(
+        F.xxhash64(id_col, "text"), id_col, "text").limit(4 * sample_docs).collect() \
         if ids else []
     found = sorted({" ".join(w) for r in rows for p in paragraphs(r[1])
                     for w in windows(tokens(p)) if w})

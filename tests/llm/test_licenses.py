@@ -1,3 +1,4 @@
+import random
 import textwrap
 
 import pytest
@@ -10,7 +11,7 @@ def test_families_are_found_and_prose_is_not(spark):
     families = sorted(licenses.TEMPLATES)
     for k, name in enumerate(families):
         for j, text in enumerate(licenses.TEMPLATES[name]):
-            rows.append((1000 + 10 * k + j, prose(EN, 30, k) + "\n" + text + "\n" + prose(EN, 30, j),
+            rows.append((1000 + 100 * k + j, prose(EN, 30, k) + "\n" + text + "\n" + prose(EN, 30, j),
                          "en", name, 0))
     # A notice inside a long paragraph, and words of licences that are no licence.
     rows.append((5000, prose(EN, 300, 1).replace("\n", " ") + " Released under the MIT License. "
@@ -92,3 +93,57 @@ def test_two_licences_in_one_window(spark, one, other):
     both = ",".join(sorted([one, other]))
     assert [got[i].licenses for i in (1, 2, 3, 4)] == [both, both, one, other]
     assert got[1].n_confirmed == 2
+
+
+# Wordings that are none of the templates.
+UNSEEN = {
+    "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: GPL-3.0-or-later": "gpl-3.0",
+    "SPDX-License-Identifier: Apache-2.0": "apache-2.0", "SPDX-License-Identifier: LGPL-2.1+": "lgpl",
+    "This project is licensed under the MIT License - see the LICENSE file for details": "mit",
+    "MIT License": "mit", "The MIT License (MIT)": "mit", "License: MIT License": "mit",
+    "This library is distributed under the MIT license.": "mit",
+    "Distributed under the terms of the Apache License 2.0": "apache-2.0",
+    "Apache License, Version 2.0, January 2004": "apache-2.0",
+    "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007": "gpl-3.0",
+    "Licensed under the terms of the GNU Lesser General Public License version 2.1": "lgpl",
+    "CC BY-SA 3.0": "cc-by-sa-3.0", "Text is available under CC BY-SA 4.0": "cc-by-sa-4.0",
+    "Photos: CC BY-NC 4.0": "cc-by-nc-4.0", "This file is released under the BSD 3-Clause License": "bsd",
+    "Code is under the ISC License": "isc", "This code is under the Mozilla Public License 2.0.": "mpl-2.0",
+    "The code is released under the GNU Affero General Public License, version 3": "agpl-3.0",
+}
+
+
+def test_notices_in_words_that_were_not_trained_on(spark):
+    docs = frame(spark, documents())
+    model = licenses.train(docs)
+    rows = [(i, prose(EN, 30, i) + "\n\n" + text + "\n\n" + prose(EN, 30, i + 50), "en", "s", 0)
+            for i, text in enumerate(UNSEEN)]
+    # Names in running text, and words of notices without a licence, are none.
+    plain = ["The students of the MIT license their work to whoever asks them for it in time and pay.",
+             "Version 3 of the public work was released in June under the old terms of the library.",
+             "You need a license to use the general software of this school, the author says so.",
+             "My driving license", "Public domain songs", "The source and binary forms of a virus"]
+    rows += [(100 + i, t, "en", "s", 0) for i, t in enumerate(plain)]
+    got = {r.doc_id: r.licenses for r in licenses.scan(frame(spark, rows), model).collect()}
+    assert {t: got[i] for i, t in enumerate(UNSEEN)} == UNSEEN
+    assert [got[100 + i] for i in range(len(plain))] == [None] * len(plain)
+
+
+def test_confirmation_against_counting(spark):
+    """What a template confirms has that share of its shingles in the window, counted plainly."""
+    model = licenses.train(frame(spark, documents()))
+    rand = random.Random(9)
+    for _ in range(200):
+        family = rand.choice(sorted(licenses.TEMPLATES))
+        words = licenses.tokens(rand.choice(licenses.TEMPLATES[family]))
+        words = [w for w in words if rand.random() > 0.12]
+        words = licenses.tokens(prose(EN, rand.randint(0, 20), 1)) + words + ["tail"] * rand.randint(0, 9)
+        for said in model.verdicts(words, 0.5, 0.7)[0]:
+            names = licenses.NAMES[said[0]] if len(words) <= licenses.SHORT else []
+            best = 0.0
+            for t in map(licenses.tokens, licenses.TEMPLATES[said[0]] + names):
+                k = min(3, len(t))
+                want = {tuple(t[i:i + k]) for i in range(len(t) - k + 1)}
+                have = {tuple(words[i:i + k]) for i in range(len(words) - k + 1)}
+                best = max(best, len(want & have) / len(want))
+            assert best >= 0.7 and said[2] <= best + 1e-9
