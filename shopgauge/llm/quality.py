@@ -125,7 +125,12 @@ def phrases_by_words() -> dict[int, str]:
     found: dict[int, list[str]] = {}
     for phrase in BOILERPLATE:
         found.setdefault(len(phrase.split()), []).append(phrase)
-    return {k: "|".join(own) for k, own in found.items()}
+    return {k: _behind_no_letter(own) for k, own in found.items()}
+
+
+def _behind_no_letter(phrases: list[str]) -> str:
+    """A pattern that looks for phrases only where a word can begin."""
+    return f"(?:^|[^a-z])(?:{'|'.join(phrases)})"
 
 
 def _stock_words(lowered: Column) -> Column:
@@ -141,7 +146,7 @@ def line_fails(line: Column, label_words: int = 3) -> Column:
     bars = F.regexp_count(line, F.lit(rf"(?<={_WS}|^)[|»•>](?={_WS}|$)"))
     closed = line.rlike(rf"[.!?:;…\"')”»。！？]{_WS}*$")
     # Most lines hold no phrase and end at the first test.
-    stock = F.lower(line).rlike("|".join(BOILERPLATE)) & (_stock_words(F.lower(line)) * 4 > n)
+    stock = F.lower(line).rlike(_behind_no_letter(BOILERPLATE)) & (_stock_words(F.lower(line)) * 4 > n)
     return (piled * 3 > n) | (bars * 4 > n) | ((n <= label_words) & ~closed) | stock
 
 
