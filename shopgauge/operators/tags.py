@@ -22,6 +22,8 @@ from .daily import day_label
 MONEY_SUM = "decimal(38,2)"
 # Largest number of repeated rows generated from one array in the literal wide table.
 REPEAT_CHUNK = 4096
+# Free-coupon grants of one member from which the chunks of its rows are dealt over tasks.
+SPREAD_FROM = 1_000_000
 
 BASE_COLUMNS = ["memberId", "phone", "sex", "channel", "subOpenId", "address", "regTime"]
 TAG_COLUMNS = BASE_COLUMNS + ["orderCount", "orderTime", "orderMoney", "favGoods",
@@ -201,8 +203,12 @@ def coupon_tags(grants: DataFrame, coupon: DataFrame) -> DataFrame:
 
 
 def wide(base: DataFrame, order_side: DataFrame, coupon_side: DataFrame,
-         over_time: DataFrame, feedback: DataFrame, literal: bool = False) -> DataFrame:
-    """The member rows with all tags beside them (each side has one row per member)."""
+         over_time: DataFrame, feedback: DataFrame, literal: bool = False,
+         spread: bool = False) -> DataFrame:
+    """The member rows with all tags beside them (each side has one row per member).
+
+    `literal` repeats a row per free coupon; `spread` deals the repeats over tasks in chunks.
+    """
     joined = base
     for side in (order_side, coupon_side, over_time, feedback):
         joined = joined.join(side, "memberId", "left")
@@ -216,20 +222,31 @@ def wide(base: DataFrame, order_side: DataFrame, coupon_side: DataFrame,
         joined = (joined.withColumn("_free", F.explode_outer("free_days"))
                   .withColumn("freeCouponTime", F.col("_free.day"))
                   .withColumn("_chunk", F.explode(F.sequence(
-                      F.lit(0).cast("long"), F.floor((n - 1) / chunk).cast("long"))))
-                  .withColumn("_rep", F.explode(F.array_repeat(
+                      F.lit(0).cast("long"), F.floor((n - 1) / chunk).cast("long")))))
+        if spread:
+            tasks = int(joined.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            joined = joined.repartition(tasks, "memberId", "freeCouponTime", "_chunk")
+        joined = (joined.withColumn("_rep", F.explode(F.array_repeat(
                       F.lit(True), F.least(chunk, n - F.col("_chunk") * chunk).cast("int")))))
     return joined.select(*TAG_COLUMNS)
 
 
 def user_tags_literal(member: DataFrame, order: DataFrame, order_commodity: DataFrame,
                       coupon_member: DataFrame, coupon: DataFrame, delivery: DataFrame,
-                      feedback: DataFrame) -> DataFrame:
+                      feedback: DataFrame, spread: bool | None = None) -> DataFrame:
     """The wide tag table exactly as the tag job joins it: line fan-out in the order tags and one
-    row per free-coupon grant (members with several grants repeat)."""
+    row per free-coupon grant (members with several grants repeat).
+
+    A member with SPREAD_FROM grants or more has its repeats generated by many tasks. Whether there
+    is one is counted first (one small aggregate over the free grants), unless `spread` says so.
+    """
+    if spread is None:
+        most = (coupon_member.filter(F.col("coupon_id") == FREE_COUPON_ID)
+                .groupBy("member_id").count().agg(F.max("count")).first()[0])
+        spread = (most or 0) >= SPREAD_FROM
     return wide(tag_member_base(member), tag_order_behavior(order, order_commodity),
                 _coupon_tags(coupon_member, coupon), tag_over_time(delivery),
-                tag_latest_feedback(feedback), literal=True)
+                tag_latest_feedback(feedback), literal=True, spread=spread)
 
 
 def user_tags(member: DataFrame, order: DataFrame, order_commodity: DataFrame,

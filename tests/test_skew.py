@@ -99,3 +99,17 @@ def test_hot_order_literal_counts_match_counting(spark):
     assert got == {m: (count[m], float(money[m]), sorted(fav[m])) for m in count}
     plan = ours._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_COL" not in plan
+
+
+def test_repeats_of_a_hot_member_leave_many_tasks(spark, monkeypatch):
+    t, order, grants = _skewed(spark)
+    args = (t.member, order, t.order_commodity, grants, t.coupon, t.delivery, t.feedback)
+    monkeypatch.setattr(tags, "REPEAT_CHUNK", 4)
+    plain = tags.user_tags_literal(*args, spread=False)
+    monkeypatch.setattr(tags, "SPREAD_FROM", 50)
+    dealt = tags.user_tags_literal(*args)
+    cols = tags.TAG_COLUMNS
+    assert Counter(map(repr, dealt.select(cols).collect())) == Counter(
+        map(repr, plain.select(cols).collect()))
+    tasks = dealt.filter(F.col("memberId") == HOT).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) > 50
