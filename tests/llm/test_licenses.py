@@ -39,6 +39,9 @@ def test_odd_rows(spark):
     got = licenses.scan(frame(spark, [(1, None, None, None, 0), (1, "", None, None, 0)], extra=True),
                         model).collect()
     assert [(r.n_paragraphs, r.licenses) for r in got] == [(0, None)] * 2
+    again = [(7, f"line {i}\n\n" + prose(EN, 30, i), None, None, 0) for i in range(30)]
+    repeated = licenses.train(frame(spark, again * 3 + [(None, "x", None, None, 0)]), sample_docs=2)
+    assert repeated.judge(licenses.tokens("Released under the MIT License."))[0] == "mit"
     p = model.judge(licenses.tokens("Released under the MIT License."))
     assert 0.5 <= p[1] <= 1
 

@@ -38,8 +38,9 @@ def test_query_matches_sql(spark, name):
     assert sorted(names) == cols and got == want
 
 
-def test_pipeline_stages(spark):
-    docs = frame(spark)
+@pytest.mark.parametrize("extra", [False, True])
+def test_pipeline_stages(spark, extra):
+    docs = frame(spark, extra=extra)
     columns, kept = docs.columns, {r[0] for r in documents()}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)

@@ -6,6 +6,7 @@ import public_tokenizers
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from rows import documents, frame, same
 from shopgauge.llm import packing, token_counts, token_files
 from shopgauge.llm.common import scratch
@@ -54,6 +55,9 @@ def test_token_files_round_trip(spark):
     want = sorted((r[0] is not None, r[0], zlib.crc32(np.array(TOKENIZER.encode(
         r[1] or "", add_special_tokens=False).ids + [0], "<u4").tobytes())) for r in rows)
     assert sorted((r.doc_id is not None, r.doc_id, r.ids_crc32) for r in got) == want
+    odd = token_files.write_token_files(frame(spark, rows, extra=True).withColumn("tie", F.lit(1)), BPE,
+                                        scratch(spark, "test"))
+    assert same(token_files.read_token_files(spark, odd), token_files.read_token_files(spark, manifest))
     none = token_files.write_token_files(frame(spark, []), BPE, scratch(spark, "test"))
     assert token_files.read_token_files(spark, none).count() == 0
 
