@@ -4,17 +4,20 @@ A definition row is (segment_id, body), the body a request `{"selectedTags": [{n
 ...]}` as in `functions.conditions`, parsed by Spark. Instead of an expression per segment (see
 `segments.segment_batch`), conditions and members meet by key:
 
-* a condition becomes one row per key it asks for: (tag, value) for match and notMatch, (tag) for
-  exists, (tag, bucket) for every bucket that a range touches, and one key that all members hold
-  for definitions without a should condition;
-* a member becomes one row per key it holds, for the tags and kinds that any condition asks for;
-* equal keys meet in an equi-join, ranges are then checked exactly, and a count per (segment,
-  member) gives score and exclusion.
+* a should condition becomes one row per key it asks for: (tag, value) for match, (tag) for exists,
+  (tag, bucket) for every bucket that a range touches, and one key that all members hold for
+  definitions without a should condition; the definition's other conditions travel in the row;
+* a member becomes one row per key it holds, for the tags and kinds that any should condition asks
+  for, with the values of those tags that some definition combines with this one;
+* equal keys meet in an equi-join, and the joined row decides: the range exactly, the other
+  conditions on the values beside it. The first should condition that a member meets gives the
+  pair (segment, member), so pairs are neither gathered nor shuffled, however many there are.
 
 The plan does not grow with the number of definitions: expressions are per tag column. Keys that
-very many members hold (a third of them may share a value) are counted first; members of such a
-key are dealt over salts and its conditions repeated once per salt. Range buckets come from the
-quantiles of a bounded sample of members; they steer the cost only, never the result.
+very many members hold (a third of them may share a value), or that give very many pairs, are
+counted first; members of such a key are dealt over salts and its conditions repeated once per
+salt. Range buckets come from the quantiles of a bounded sample of members; they steer the cost
+only, never the result.
 
 A definition with a fault (a body that does not parse, an unknown tag or kind, a value that does
 not fit the tag's type) is left out as a whole and listed by `rejected_definitions`.
@@ -34,9 +37,9 @@ BODY = ("selectedTags array<struct<name: string, value: string, type: string, lo
 RANGES = ("rangeBoth", "rangeGte", "rangeLte")
 # Buckets of a tag's values, members sampled for their bounds, values taken of a sampled array.
 BUCKETS, SAMPLED, SAMPLED_VALUES = 64, 4096, 16
-# Member rows of one key that a task may take, and keys that are salted at most (each key beyond
-# them is held by less than 1/SALTED of all rows).
-PER_SALT, SALTED = 100_000, 4096
+# Member rows and pairs of one key that a task may take, and keys that are salted at most (each key
+# beyond them gives less than 1/SALTED of all pairs).
+PER_SALT, PAIRS, SALTED = 100_000, 100_000_000, 4096
 # A member's value is a whole number, a double or a text; the other two are NULL.
 _SPACES = ("n", "d", "t")
 
@@ -171,33 +174,51 @@ def _bucket(v: Column, bounds: list) -> Column:
 
 
 def _values(tags: DataFrame, name: str) -> Column:
-    """A member's values of one tag as an array of (n, d, t), without NULLs."""
+    """A row's values of one tag in its form, as an array without NULLs."""
     dtype = tags.schema[name].dataType
+    col, elem = F.col(f"`{name}`"), _element(dtype)
+    found = F.filter(col if isinstance(dtype, T.ArrayType) else F.array(col),
+                     lambda x: x.isNotNull())
+    typed = F.transform(found, lambda x: _held(x, elem, name)[_space(elem, name)])
+    return F.coalesce(typed, F.array().cast(typed_array(tags, name)))
+
+
+def typed_array(tags: DataFrame, name: str) -> str:
+    space = _space(_element(tags.schema[name].dataType), name)
+    return f"array<{dict(zip(_SPACES, ('bigint', 'double', 'string')))[space]}>"
+
+
+def _there(tags: DataFrame, name: str) -> Column:
     col = F.col(f"`{name}`")
-    if isinstance(dtype, T.ArrayType):
-        found = F.array_distinct(F.filter(col, lambda x: x.isNotNull()))
-    else:
-        found = F.filter(F.array(col), lambda x: x.isNotNull())
-    elem = _element(dtype)
-    typed = F.transform(found, lambda x: F.struct(*(
-        v.alias(s) for s, v in _held(x, elem, name).items())))
-    return F.coalesce(typed, F.array().cast("array<struct<n: bigint, d: double, t: string>>"))
+    return F.coalesce(F.size(col) > 0, F.lit(False)) \
+        if isinstance(tags.schema[name].dataType, T.ArrayType) else col.isNotNull()
 
 
-def _bounds(tags: DataFrame, names: list[str]) -> dict[str, list]:
-    """Sorted bucket bounds per tag from the members with the lowest hashes (a top-k, so at most
-    SAMPLED rows reach the driver)."""
+def _people(tags: DataFrame, names: list[str]) -> DataFrame:
+    """memberId, phone and for each tag i its sorted distinct values v<i> and presence h<i>: one row
+    for each (memberId, phone), which holds what any of its rows holds."""
+    rows = tags.select("memberId", "phone", *(c for i, n in enumerate(names) for c in (
+        _values(tags, n).alias(f"v{i}"), _there(tags, n).alias(f"h{i}"))))
     if not names:
+        return rows.distinct()
+    return rows.groupBy("memberId", "phone").agg(*(c for i in range(len(names)) for c in (
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(f"v{i}")))).alias(f"v{i}"),
+        F.max(f"h{i}").alias(f"h{i}"))))
+
+
+def _bounds(people: DataFrame, at: dict[str, int]) -> dict[str, list]:
+    """Sorted bucket bounds of tags (name -> i) from the members with the lowest hashes (a top-k, so
+    at most SAMPLED rows reach the driver)."""
+    if not at:
         return {}
-    rows = (tags.select(F.xxhash64("memberId").alias("h"),
-                        *(F.slice(_values(tags, n), 1, SAMPLED_VALUES).alias(f"v{i}")
-                          for i, n in enumerate(names)))
+    rows = (people.select(F.xxhash64("memberId").alias("h"),
+                          *(F.slice(f"v{i}", 1, SAMPLED_VALUES).alias(f"v{i}")
+                            for i in at.values()))
             .orderBy("h").limit(SAMPLED).collect())
     out = {}
-    for i, n in enumerate(names):
-        space = _space(_element(tags.schema[n].dataType), n)
-        seen = sorted({v[space] for r in rows for v in r[f"v{i}"]  # NaN has no place among bounds
-                       if v[space] is not None and v[space] == v[space]})
+    for n, i in at.items():
+        # NaN has no place among bounds.
+        seen = sorted({v for r in rows for v in r[f"v{i}"] if v == v})
         step = max(1, len(seen) // BUCKETS)
         out[n] = seen[step::step][:BUCKETS - 1]
     return out
@@ -211,103 +232,173 @@ def _text(v: Column) -> Column:
     return F.coalesce(v["t"], v["n"].cast("string"), v["d"].cast("string"))
 
 
-def _bucket_of(name: str, v: Column, tags: DataFrame, bounds: dict[str, list]) -> Column:
-    return _bucket(v[_space(_element(tags.schema[name].dataType), name)], bounds[name])
+_ONE = "struct<n: bigint, d: double, t: string>"
+
+
+def _one(space: str, value: Column) -> Column:
+    """A value as (n, d, t)."""
+    return F.struct(*((value if s == space else F.lit(None)).cast(k).alias(s)
+                      for s, k in zip(_SPACES, ("bigint", "double", "string"))))
 
 
-def _member_rows(tags: DataFrame, used: dict[str, set[str]], bounds: dict[str, list],
-                 everyone: bool) -> DataFrame:
-    """key, memberId, phone, v: a row for every key that a member holds and a condition may ask."""
-    none = F.lit(None).cast("struct<n: bigint, d: double, t: string>")
+def _member_rows(people: DataFrame, spaces: dict[str, str], at: dict[str, int],
+                 used: dict[str, set[str]], beside: dict[str, set[str]],
+                 bounds: dict[str, list]) -> DataFrame:
+    """key, memberId, phone, v, before, beside: a row for every key that a member holds and a should
+    condition may ask. For ranges `v` is the value and `before` the member's next smaller one;
+    `beside` holds the values of the tags that definitions combine with this one ("": with none)."""
+    none = F.lit(None).cast(_ONE)
+    tags = sorted({n for names in beside.values() for n in names})
 
-    def row(key: Column, value: Column) -> Column:
-        return F.struct(key.alias("key"), value.alias("v"))
+    def others(name: str) -> Column:
+        if not beside.get(name):
+            return F.lit(None).cast(_beside_type(people, at, tags))
+        return F.struct(*((F.col(c) if n in beside[name] else F.lit(None)).cast(
+            people.schema[c].dataType).alias(c) for n in tags for c in (f"v{at[n]}", f"h{at[n]}")))
 
-    held = [F.array(row(_key("all"), none)) if everyone else F.slice(F.array(row(_key("all"), none)), 1, 0)]
+    def row(key: Column, value: Column, before: Column, name: str) -> Column:
+        return F.struct(key.alias("key"), value.alias("v"), before.alias("before"),
+                        others(name).alias("beside"))
+
+    held = [F.slice(F.array(row(_key("all"), none, none, "")), 1, 1 if "" in beside else 0)]
     for name, shapes in sorted(used.items()):
-        values = _values(tags, name)
+        space, values = spaces[name], F.col(f"v{at[name]}")
         if "match" in shapes:
-            held.append(F.transform(values, lambda x: row(_key("is", name, _text(x)), none)))
-        if "range" in shapes:
             held.append(F.transform(values, lambda x: row(
-                _key("in", name, _bucket_of(name, x, tags, bounds).cast("string")), x)))
+                _key("is", name, _text(_one(space, x))), none, none, name)))
+        if "range" in shapes:
+            held.append(F.transform(values, lambda x, i: row(
+                _key("in", name, _bucket(x, bounds[name]).cast("string")), _one(space, x),
+                F.when(i > 0, _one(space, F.get(values, i - 1))), name)))
         if "exists" in shapes:
-            col, dtype = F.col(f"`{name}`"), tags.schema[name].dataType
-            there = F.coalesce(F.size(col) > 0, F.lit(False)) if isinstance(dtype, T.ArrayType) \
-                else col.isNotNull()
-            held.append(F.filter(F.array(row(F.when(there, _key("has", name)), none)),
-                                 lambda x: x["key"].isNotNull()))
-    return tags.select("memberId", "phone", F.explode(F.concat(*held)).alias("held")).select(
-        "memberId", "phone", "held.key", "held.v")
-
-
-def _condition_rows(rules: DataFrame, tags: DataFrame, bounds: dict[str, list]) -> DataFrame:
-    """key, segment_id, rule, position (NULL: counts for nothing), must_not, lo, hi."""
-    name, kind = F.col("name"), F.col("kind")
+            held.append(F.filter(F.array(row(F.when(F.col(f"h{at[name]}"), _key("has", name)),
+                                             none, none, name)), lambda x: x["key"].isNotNull()))
+    return people.select("memberId", "phone", F.explode(F.concat(*held)).alias("held")).select(
+        "memberId", "phone", "held.key", "held.v", "held.before", "held.beside")
+
+
+def _beside_type(people: DataFrame, at: dict[str, int], tags: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, people.schema[c].dataType)
+                         for n in tags for c in (f"v{at[n]}", f"h{at[n]}")])
+
+
+def _condition_rows(rules: DataFrame, spaces: dict[str, str],
+                    bounds: dict[str, list]) -> DataFrame:
+    """key, segment_id, position, lo, hi, others (the definition's other conditions); a definition
+    without a should condition has the key of all members and no position."""
+    c = F.col("c")
+    listed = rules.groupBy("segment_id", "rule").agg(F.collect_list(F.when(
+        F.col("position").isNotNull(), F.struct(
+            "position", "name", "shape", "must_not", "value", "lo", "hi"))).alias("others"))
+    anyone = (listed.filter(~F.exists("others", lambda o: ~o["must_not"]))
+              .select(_key("all").alias("key"), "segment_id", "others"))
+    each = (listed.select("segment_id", "others", F.explode("others").alias("c"))
+            .filter(~c["must_not"])
+            .select("segment_id", "c.*", F.filter("others", lambda o: o["position"] != c["position"])
+                    .alias("others")))
+    name = F.col("name")
     ends = {}
     for end, v in (("first", F.col("lo")), ("last", F.col("hi"))):
         at = F.lit(None).cast("int")
         for tag in bounds:
             open_end = F.lit(0 if end == "first" else len(bounds[tag]))
-            at = F.when(name == tag, F.when(_given(v), _bucket_of(tag, v, tags, bounds))
+            at = F.when(name == tag, F.when(_given(v), _bucket(v[spaces[tag]], bounds[tag]))
                         .otherwise(open_end)).otherwise(at)
-        ends[end] = at
-    rows = rules.select("segment_id", "rule", "position", "name", "kind",
-                        kind.isin(*MUST_NOT_KINDS).alias("must_not"), "lo", "hi", "value",
-                        *(F.when(kind.isin(*RANGES), at).alias(end) for end, at in ends.items()))
-    asked = rows.filter("position is not null")
-    ranges = asked.filter("first <= last").withColumn("bucket", F.explode(F.sequence("first", "last")))
-    out = ["segment_id", "rule", "position", "must_not", "lo", "hi"]
-    keyed = asked.filter(kind.isin("match", "notMatch")).select(
-        *out, _key("is", name, _text(F.col("value"))).alias("key"))
-    keyed = keyed.unionByName(asked.filter(kind == "exists").select(
-        *out, _key("has", name).alias("key")))
+        ends[end] = F.when(F.col("shape") == "range", at)
+    each = each.select("*", *(at.alias(end) for end, at in ends.items()))
+    out = ["segment_id", "position", "lo", "hi", "others"]
+    keyed = each.filter("shape = 'match'").select(
+        _key("is", name, _text(F.col("value"))).alias("key"), *out)
+    keyed = keyed.unionByName(each.filter("shape = 'exists'").select(
+        _key("has", name).alias("key"), *out))
+    ranges = each.filter("first <= last").withColumn("bucket", F.explode(F.sequence("first", "last")))
     keyed = keyed.unionByName(ranges.select(
-        *out, _key("in", name, F.col("bucket").cast("string")).alias("key")))
-    should = F.col("position").isNotNull() & ~F.coalesce("must_not", F.lit(False))
-    anyone = (rows.groupBy("segment_id", "rule").agg(F.max(should).alias("should"))
-              .filter("not should").withColumn("key", _key("all")).drop("should"))
+        _key("in", name, F.col("bucket").cast("string")).alias("key"), *out))
     return keyed.unionByName(anyone, allowMissingColumns=True)
 
 
-def _within(v: Column, lo: Column, hi: Column) -> Column:
-    """Is a member's value between a condition's bounds (a missing bound is open)?"""
+def _within(v: Column, lo: Column, hi: Column, spaces: tuple[str, ...] = _SPACES) -> Column:
+    """Is a value between a condition's bounds (a missing bound is open)?"""
     out = F.lit(True)
-    for s in _SPACES:
-        out = out & (lo[s].isNull() | F.coalesce(v[s] >= lo[s], F.lit(False)))
-        out = out & (hi[s].isNull() | F.coalesce(v[s] <= hi[s], F.lit(False)))
+    for s in spaces:
+        x = v[s] if spaces is _SPACES else v
+        out = out & (lo[s].isNull() | F.coalesce(x >= lo[s], F.lit(False)))
+        out = out & (hi[s].isNull() | F.coalesce(x <= hi[s], F.lit(False)))
     return F.coalesce(out, F.lit(True))
 
 
+def _first_within(v: Column, before: Column, lo: Column, hi: Column) -> Column:
+    """Is a value within the bounds and the member's next smaller one not? An array can meet one
+    range several times: its smallest value there counts."""
+    return _within(v, lo, hi) & (before.isNull() | ~_within(before, lo, hi))
+
+
+def _met(o: Column, spaces: dict[str, str], at: dict[str, int], tags: list[str]) -> Column:
+    """Does the member meet a condition, judged on the values beside its key?"""
+    out = F.lit(False)
+    for n in tags:
+        s, values = spaces[n], F.col(f"beside.v{at[n]}")
+        here = (F.when(o["shape"] == "exists", F.col(f"beside.h{at[n]}"))
+                .when(o["shape"] == "match", F.array_contains(values, o["value"][s]))
+                .otherwise(F.exists(values, lambda x: _within(x, o["lo"], o["hi"], (s,)))))
+        out = F.when(o["name"] == n, F.coalesce(here, F.lit(False))).otherwise(out)
+    return out
+
+
 def segment_from_table(tags: DataFrame, definitions: DataFrame) -> DataFrame:
     """segment_id, memberId, phone, score of every member of every defined segment.
 
-    Same audiences and scores as `segment_batch`. `tags` is read up to three times (bucket bounds,
-    hot keys, the join): give a written table; the parsed conditions are written once. Definitions may repeat a segment_id; each row is
-    judged by itself, equal rows once. Members are told apart by (memberId, phone).
+    Same audiences and scores as `segment_batch`. `tags` is read once; the parsed conditions, the
+    members' values and the keyed conditions are written. Definitions may repeat a segment_id; each
+    row is judged by itself, equal rows once. Members are told apart by (memberId, phone).
     """
     parsed = written(_conditions(definitions, tags.schema).dropDuplicates(["rule", "position"]),
                      "conditions")
     faulty = parsed.filter("fault is not null").select("rule").distinct()
-    rules = parsed.join(faulty, "rule", "left_anti")
-    shape = (F.when(F.col("kind").isin("match", "notMatch"), "match")
-             .when(F.col("kind") == "exists", "exists").otherwise("range"))
-    # At most three rows for every tag column.
+    kind = F.col("kind")
+    rules = (parsed.join(faulty, "rule", "left_anti")
+             .withColumn("must_not", kind.isin(*MUST_NOT_KINDS))
+             .withColumn("shape", F.when(kind.isin("match", "notMatch"), "match")
+                         .when(kind == "exists", "exists").otherwise("range")))
+    # Which tags are asked for and which are combined with which, "" standing for definitions
+    # without a should condition: at most a row for every pair of tags, kind and side.
+    asked_for = (rules.groupBy("segment_id", "rule").agg(F.collect_set(F.when(
+        F.col("position").isNotNull(), F.struct("position", "name", "shape", "must_not"))).alias("all")))
+    sides = F.transform(F.filter("all", lambda o: ~o["must_not"]), lambda o: F.struct(
+        o["position"].alias("position"), o["name"].alias("name"), o["shape"].alias("shape")))
+    nobody = F.array(F.struct(F.lit(-1).alias("position"), F.lit("").alias("name"),
+                              F.lit("").alias("shape")))
+    pairs = (asked_for.select("all", F.explode(F.when(F.size(sides) > 0, sides).otherwise(nobody))
+                              .alias("side"))
+             .select(F.col("side.name").alias("name"), F.col("side.shape").alias("shape"),
+                     F.explode_outer(F.transform(F.filter(
+                         "all", lambda o: o["position"] != F.col("side.position")),
+                         lambda o: o["name"])).alias("other")).distinct().collect())
     used: dict[str, set[str]] = {}
-    for r in (rules.filter("position is not null").select("name", shape.alias("shape"))
-              .distinct().collect()):
-        used.setdefault(r["name"], set()).add(r["shape"])
-    bounds = _bounds(tags, sorted(n for n, s in used.items() if "range" in s))
-
-    asked = written(_condition_rows(rules, tags, bounds), "condition-keys")
-    held = _member_rows(tags, used, bounds, everyone=not asked.filter(
-        F.col("key") == "all").isEmpty())
-    counted = (held.select("key").join(asked.select("key").distinct(), "key", "left_semi")
-               .groupBy("key").count().filter(F.col("count") > PER_SALT)
-               .orderBy(F.desc("count")).limit(SALTED).collect())
+    beside: dict[str, set[str]] = {}
+    for r in pairs:
+        others = beside.setdefault(r["name"], set())
+        if r["other"] is not None:
+            others.add(r["other"])
+        if r["name"]:
+            used.setdefault(r["name"], set()).add(r["shape"])
+    together = sorted({n for names in beside.values() for n in names})
+    at = {n: i for i, n in enumerate(sorted({*used, *together}))}
+    spaces = {n: _space(_element(tags.schema[n].dataType), n) for n in at}
+    people = written(_people(tags, list(at)), "members")
+    bounds = _bounds(people, {n: at[n] for n, s in sorted(used.items()) if "range" in s})
+
+    asked = written(_condition_rows(rules, spaces, bounds), "condition-keys")
+    held = _member_rows(people, spaces, at, used, beside, bounds)
+    m, c = F.col("m"), F.col("c")
+    salts = F.least(m, F.greatest(F.ceil(m / PER_SALT), F.ceil(m * c / PAIRS))).cast("long")
+    counted = (held.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+               .join(asked.groupBy("key").agg(F.count(F.lit(1)).alias("c")), "key")
+               .select("key", (m * c).alias("pairs"), salts.alias("salts")).filter("salts > 1")
+               .orderBy(F.desc("pairs")).limit(SALTED).collect())
     if counted:
         salts = F.broadcast(tags.sparkSession.createDataFrame(
-            [(r["key"], -(-r["count"] // PER_SALT)) for r in counted], "key string, salts long"))
+            [(r["key"], r["salts"]) for r in counted], "key string, salts long"))
         held = held.join(salts, "key", "left").withColumn("salt", F.coalesce(
             F.pmod(F.xxhash64("memberId", "phone"), "salts"), F.lit(0).cast("long")))
         asked = asked.join(salts, "key", "left").withColumn("salt", F.explode(F.sequence(
@@ -315,9 +406,12 @@ def segment_from_table(tags: DataFrame, definitions: DataFrame) -> DataFrame:
         met = held.drop("salts").join(asked.drop("salts"), ["key", "salt"])
     else:
         met = held.join(asked, "key")
-    met = met.filter(_within(F.col("v"), F.col("lo"), F.col("hi")))
-    # An array can meet one range several times: a condition counts once.
-    return (met.groupBy("segment_id", "rule", "memberId", "phone")
-            .agg(F.max(F.coalesce("must_not", F.lit(False))).alias("out"),
-                 F.size(F.collect_set("position")).alias("score"))
-            .filter(~F.col("out")).select("segment_id", "memberId", "phone", "score"))
+    met = met.filter(F.col("v").isNull() | _first_within(F.col("v"), F.col("before"), F.col("lo"),
+                                                         F.col("hi")))
+    alone, position = F.size("others") == 0, F.col("position")
+    met = met.filter(alone | ~F.exists("others", lambda o: (
+        o["must_not"] | F.coalesce(o["position"] < position, F.lit(False)))
+        & _met(o, spaces, at, together)))
+    score = F.when(position.isNull(), 0).when(alone, 1).otherwise(1 + F.size(F.filter(
+        "others", lambda o: ~o["must_not"] & _met(o, spaces, at, together))))
+    return met.select("segment_id", "memberId", "phone", score.alias("score"))

@@ -119,6 +119,29 @@ def test_the_plan_does_not_grow_with_the_definitions(spark):
     assert size(4) == size(1000)
 
 
+def test_pairs_of_segment_and_member_are_not_gathered(spark):
+    tags = spark.createDataFrame(members(40), SCHEMA)
+    found = segment_index.segment_from_table(tags, definitions(spark))
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_of_one_member_count_together(spark, monkeypatch):
+    monkeypatch.setattr(segment_index, "PAIRS", 2)
+    tags = spark.createDataFrame(
+        [(1, "p", "F", 1, 5), (1, "p", "M", 2, None), (1, "p", "M", 2, None), (1, "q", "M", 1, 2),
+         (None, None, "F", None, 1), (None, None, "F", None, 1)],
+        "memberId long, phone string, sex string, channel int, orderCount long")
+    asked = {"both": [("sex", "F", "match"), ("sex", "M", "match"), ("orderCount", "1", "rangeGte")],
+             "not": [("channel", "2", "notMatch")], "out": [("sex", "F", "match"), ("sex", "M", "notMatch")],
+             "last": [("orderCount", "9", "rangeGte"), ("orderCount", None, "exists")]}
+    df = spark.createDataFrame([(k, body(v)) for k, v in asked.items()], "segment_id string, body string")
+    assert sorted(map(tuple, segment_index.segment_from_table(tags, df).selectExpr(
+        "segment_id", "string(memberId)", "phone", "score").collect()), key=str) == sorted([
+        ("both", "1", "p", 3), ("both", "1", "q", 2), ("both", None, None, 2),
+        ("not", "1", "q", 0), ("not", None, None, 0), ("out", None, None, 1),
+        ("last", "1", "p", 1), ("last", "1", "q", 1), ("last", None, None, 1)], key=str)
+
+
 def test_pages_hold_the_audience_once(spark):
     tags = spark.createDataFrame(members(), SCHEMA).repartition(4)
     for name in ("mixed", "empty range"):
