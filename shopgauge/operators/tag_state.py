@@ -7,7 +7,9 @@ aggregate over those keys, so a member with a third of all rows stays spread ove
 
 Rows lie in partitions (kind, bucket of the member). An increment, the new rows of a day, touches
 the partitions of its own members only: they are read, merged and replaced by a dynamic partition
-overwrite. Each partition also holds a marker per increment that it has taken in. A repeated
+overwrite. Partitions are merged in pieces of some 200,000 rows by a hash of their keys, as many as
+the counted rows ask for, so that a task's memory does not grow with the state. Each partition also
+holds a marker per increment that it has taken in. A repeated
 increment skips the partitions that hold its marker, so a rerun changes nothing and a run that was
 cut short goes on where it stopped.
 
@@ -25,13 +27,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed import CHARGE_CHANNEL, FREE_COUPON_ID
-from ..sources.shared import written
+from ..sources.shared import small_tasks, written
 from . import tags as T
 from .daily import day_label
 
 KEYS = ["kind", "bucket", "member_id", "item", "label", "marker"]
 MERGED = {"n": F.sum, "charged": F.sum, "money": F.sum, "first": F.min, "last": F.max,
           "picked": F.max, "base": F.max, "feedback": F.max}
+# Rows of a partition that are merged together, and rows of a task on average.
+PIECE_ROWS, TASK_ROWS = 200_000, 200_000
 
 
 @dataclass(frozen=True)
@@ -47,11 +51,12 @@ class Increment:
 
 
 def state_rows(new: Increment, part: str) -> DataFrame:
-    """The state of some rows by themselves."""
+    """The state of some rows by themselves, one row for each of its keys."""
     base = T.tag_member_base(new.member)
     payload = [c for c in T.BASE_COLUMNS if c != "memberId"]
     bases = base.select(F.lit("base").alias("kind"), F.col("memberId").alias("member_id"),
                         F.struct(F.lit(part).alias("part"), *payload).alias("base"))
+    bases = bases.groupBy("kind", "member_id").agg(F.max("base").alias("base"))
     orders = (new.order.groupBy("member_id")
               .agg(F.count("order_id").alias("n"), F.max("create_time").alias("last"),
                    F.sum(F.col("pay_price").cast(T.MONEY_SUM)).cast(T.MONEY_SUM).alias("money"))
@@ -82,10 +87,10 @@ def state_rows(new: Increment, part: str) -> DataFrame:
     return out.withColumn("marker", F.lit(None).cast("string"))
 
 
-def merge(states: DataFrame) -> DataFrame:
-    """Rows of several states as one."""
+def merge(states: DataFrame, *within: str) -> DataFrame:
+    """Rows of several states as one; `within` names columns that follow from the keys."""
     types = {f.name: f.dataType for f in states.schema.fields}
-    return states.groupBy(*KEYS).agg(*(
+    return states.groupBy(*KEYS, *within).agg(*(
         f(c).cast(types[c]).alias(c) for c, f in MERGED.items()))
 
 
@@ -108,13 +113,18 @@ class TagState:
     def _delta(self, new: Increment, part: str) -> DataFrame:
         bucket = F.pmod(F.xxhash64("member_id"), F.lit(self.buckets)).cast("int")
         rows = state_rows(new, part).withColumn("bucket", bucket)
-        return written(merge(rows), "tag-increment")
+        return written(rows.select(*KEYS, *MERGED), "tag-increment")
 
     def apply(self, part: str, new: Increment) -> int:
         """Take in an increment; the number of partitions (kind, bucket) that changed."""
+        with small_tasks(self.spark):
+            return self._apply(part, new)
+
+    def _apply(self, part: str, new: Increment) -> int:
         delta = self._delta(new, part)
         # One row for each kind and bucket at most.
-        todo = {(r.kind, r.bucket) for r in delta.select("kind", "bucket").distinct().collect()}
+        sizes = self._sizes(delta)
+        todo = set(sizes)
         stored = self.rows(delta.schema)
         if stored is not None and todo:
             mine = stored.filter(self._in(todo) & (F.col("marker") == part))
@@ -127,12 +137,27 @@ class TagState:
         rows = delta.filter(here).unionByName(marks, allowMissingColumns=True)
         if stored is not None:
             rows = rows.unionByName(stored.filter(here))
-        # One rebalance to the partitions that are written; a large one takes several files.
-        (merge(rows).hint("rebalance", "kind", "bucket").write.mode("overwrite")
+            for at, n in self._sizes(stored.filter(here)).items():
+                sizes[at] += n
+        # One shuffle to the partitions that are written; a large one takes a file for each piece.
+        sizes = {at: sizes[at] for at in todo}
+        pieces = self.spark.createDataFrame(
+            [(*at, -(-n // PIECE_ROWS)) for at, n in sorted(sizes.items())],
+            "kind string, bucket int, pieces long")
+        rows = (rows.join(F.broadcast(pieces), ["kind", "bucket"])
+                .withColumn("piece", F.pmod(F.xxhash64("member_id", "item", "label"), "pieces"))
+                .repartition(-(-sum(sizes.values()) // TASK_ROWS), "kind", "bucket", "piece"))
+        (merge(rows, "piece").drop("piece").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("kind", "bucket")
          .parquet(self.path))
         return len(todo)
 
+    @staticmethod
+    def _sizes(rows: DataFrame) -> dict[tuple[str, int], int]:
+        """Rows of every kind and bucket (one entry for each at most)."""
+        return {(r.kind, r.bucket): r["count"]
+                for r in rows.groupBy("kind", "bucket").count().collect()}
+
     def _in(self, pairs: set[tuple[str, int]]):
         """Rows of some partitions, as a filter on the partition columns."""
         kinds: dict[str, list[int]] = {}

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from shopgauge.operators import growth, growth_rollup, segments, tag_state, tags
 from shopgauge.sources.catalog import CatalogTables, write_tables
-from shopgauge.sources.shared import shared_folder
+from shopgauge.sources.shared import TASK_BYTES, shared_folder, small_tasks
 
 DAY = dt.date(2024, 3, 1)
 
@@ -128,6 +128,31 @@ def test_a_cut_short_run_goes_on(spark):
     assert table(kept.tags(f["coupon"])) == table(wide(f))
 
 
+def test_a_large_partition_is_merged_and_written_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(tag_state, "PIECE_ROWS", 40)
+    monkeypatch.setattr(tag_state, "TASK_ROWS", 20)
+    f = shop(spark)
+    kept = state(spark, 1)
+    sizes = {k: spark.conf.get(k) for k in TASK_BYTES}
+    for part in range(2):
+        kept.apply(f"{part}", increment(f, part, 2))
+    assert {k: spark.conf.get(k) for k in TASK_BYTES} == sizes
+    rows = kept.rows()
+    assert rows.groupBy(*tag_state.KEYS).count().filter("count > 1").isEmpty()
+    files = {r.kind: r["count"] for r in rows.select("kind", F.input_file_name().alias("file"))
+             .distinct().groupBy("kind").count().collect()}
+    assert files["grant"] > 1 and files["base"] == 1
+    assert table(kept.tags(f["coupon"])) == table(wide(f))
+
+
+def test_jobs_on_state_run_in_small_tasks(spark):
+    sizes = {k: spark.conf.get(k) for k in TASK_BYTES}
+    with pytest.raises(ZeroDivisionError), small_tasks(spark):
+        assert {k: spark.conf.get(k) for k in TASK_BYTES} == {k: str(v) for k, v in TASK_BYTES.items()}
+        1 / 0
+    assert {k: spark.conf.get(k) for k in TASK_BYTES} == sizes
+
+
 def test_no_state_and_empty_increments(spark):
     f = {k: v.limit(0) for k, v in shop(spark).items()}
     kept = state(spark)
