@@ -4,20 +4,22 @@ A definition row is (segment_id, body), the body a request `{"selectedTags": [{n
 ...]}` as in `functions.conditions`, parsed by Spark. Instead of an expression per segment (see
 `segments.segment_batch`), conditions and members meet by key:
 
-* a should condition becomes one row per key it asks for: (tag, value) for match, (tag) for exists,
-  (tag, bucket) for every bucket that a range touches, and one key that all members hold for
-  definitions without a should condition; the definition's other conditions travel in the row;
+* a should condition becomes one row per key it asks for: its value for match, one key for exists,
+  the nodes that make up a range, and one key that all members hold for definitions without a
+  should condition; the definition's other conditions travel in the row;
 * a member becomes one row per key it holds, for the tags and kinds that any should condition asks
   for, with the values of those tags that some definition combines with this one;
-* equal keys meet in an equi-join, and the joined row decides: the range exactly, the other
-  conditions on the values beside it. The first should condition that a member meets gives the
-  pair (segment, member), so pairs are neither gathered nor shuffled, however many there are.
+* equal keys meet in an equi-join, one for each tag and kind, and the joined row decides: the range
+  exactly, the other conditions on the values beside it. The first should condition that a member
+  meets gives the pair (segment, member), so pairs are neither gathered nor shuffled, however many
+  there are. A pair is judged in generated code, without a lambda.
 
 The plan does not grow with the number of definitions: expressions are per tag column. Keys that
 very many members hold (a third of them may share a value), or that give very many pairs, are
 counted first; members of such a key are dealt over salts and its conditions repeated once per
-salt. Range buckets come from the quantiles of a bounded sample of members; they steer the cost
-only, never the result.
+salt, and a join of very many pairs gets tasks by its pairs, not by its bytes. The leaves of a tag's
+values come from the quantiles of a bounded sample of members; FAN leaves make a node, FAN nodes the
+next. They steer the cost only, never the result.
 
 A definition with a fault (a body that does not parse, an unknown tag or kind, a value that does
 not fit the tag's type) is left out as a whole and listed by `rejected_definitions`.
@@ -25,21 +27,28 @@ not fit the tag's type) is left out as a whole and listed by `rejected_definitio
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.conditions import KINDS, MUST_NOT_KINDS
-from ..sources.shared import written
+from ..sources.shared import shared_folder, written
 
 BODY = ("selectedTags array<struct<name: string, value: string, type: string, lo: string, "
         "hi: string>>")
 RANGES = ("rangeBoth", "rangeGte", "rangeLte")
-# Buckets of a tag's values, members sampled for their bounds, values taken of a sampled array.
-BUCKETS, SAMPLED, SAMPLED_VALUES = 64, 4096, 16
-# Member rows and pairs of one key that a task may take, and keys that are salted at most (each key
-# beyond them gives less than 1/SALTED of all pairs).
-PER_SALT, PAIRS, SALTED = 100_000, 100_000_000, 4096
+# Leaves of a tag's values and how many of them (or of its nodes) make a node; members sampled for
+# the bounds, values taken of a sampled array.
+BUCKETS, FAN, SAMPLED, SAMPLED_VALUES = 4096, 16, 16_384, 16
+# Member rows and pairs of one key that a task may take, members a salt holds at least, and keys
+# that are salted at most (each key beyond them gives less than 1/SALTED of all pairs).
+PER_SALT, PAIRS, LEAST_MEMBERS, SALTED = 100_000, 5_000_000, 16, 4096
+# Other conditions of a definition that are judged in generated code (with more, by a lambda), and
+# how many tests (conditions times the tags and shapes they may have) that code may hold.
+BESIDE, TESTS = 4, 24
 # A member's value is a whole number, a double or a text; the other two are NULL.
 _SPACES = ("n", "d", "t")
 
@@ -112,16 +121,14 @@ def _given(v: Column) -> Column:
 
 
 def _conditions(definitions: DataFrame, schema: T.StructType) -> DataFrame:
-    """One row per condition: segment_id, rule (a key of the definition row), position, name, kind,
-    value, lo, hi (typed), fault. An empty list gives one row without a position, a body without a
-    list one with a fault."""
+    """One row per condition: segment_id, body, position, name, kind, value, lo, hi (typed), fault.
+    An empty list gives one row without a position, a body without a list one with a fault."""
     tags = F.from_json("body", BODY)["selectedTags"]
-    listed = definitions.select("segment_id", F.xxhash64("segment_id", "body").alias("rule"),
-                                tags.alias("tags"))
+    listed = definitions.select("segment_id", "body", tags.alias("tags"))
     c, kind, text = F.col("c"), F.col("kind"), F.col("text")
-    rows = listed.select("segment_id", "rule", F.col("tags").isNull().alias("unread"),
+    rows = listed.select("segment_id", "body", F.col("tags").isNull().alias("unread"),
                          F.posexplode_outer("tags").alias("position", "c"))
-    rows = rows.select("segment_id", "rule", "unread", "position", c["name"].alias("name"),
+    rows = rows.select("segment_id", "body", "unread", "position", c["name"].alias("name"),
                        c["type"].alias("kind"), c["value"].alias("text"), c["lo"].alias("low"),
                        c["hi"].alias("high"),
                        F.when(c["type"] == "rangeBoth", F.from_json(c["value"], "array<string>"))
@@ -136,7 +143,7 @@ def _conditions(definitions: DataFrame, schema: T.StructType) -> DataFrame:
         return (F.when(kind == own, text).when(kind != "rangeBoth", F.lit(None))
                 .when(apart, F.col(column)).when(paired, F.get(pair, at))
                 .when(dashed, F.get(dash, at)).alias(column))
-    rows = rows.select("segment_id", "rule", "unread", "position", "name", "kind",
+    rows = rows.select("segment_id", "body", "unread", "position", "name", "kind",
                        F.when(kind.isin("match", "notMatch"), text).alias("key"),
                        end("rangeGte", "low", 0), end("rangeLte", "high", 1))
     name = F.col("name")
@@ -152,7 +159,7 @@ def _conditions(definitions: DataFrame, schema: T.StructType) -> DataFrame:
              .when(kind.isin("match", "notMatch") & F.col("key").isNull(), "no value")
              .when(kind.isin(*RANGES) & F.col("low").isNull() & F.col("high").isNull(), "no bounds")
              .when(unfit, "value does not fit the tag"))
-    return rows.select("segment_id", "rule", "position", "name", "kind", "value", "lo", "hi",
+    return rows.select("segment_id", "body", "position", "name", "kind", "value", "lo", "hi",
                        fault.alias("fault"))
 
 
@@ -163,14 +170,54 @@ def rejected_definitions(definitions: DataFrame, schema: T.StructType) -> DataFr
             .select("segment_id", "position", "fault"))
 
 
-def _bucket(v: Column, bounds: list) -> Column:
-    """How many of the sorted bounds are at or below a value, as a balanced tree of tests."""
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(v < F.lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-    return tree(0, len(bounds))
+def _bucket(v: Column, bounds: list, kind: str) -> Column:
+    """How many of the sorted bounds are at or below a value, by halving."""
+    if not bounds:
+        return F.lit(0)
+    listed = F.from_json(F.lit(json.dumps(bounds)), f"array<{kind}>")
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))))
+    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(
+        F.coalesce(F.get(listed, at + step - 1) <= v, F.lit(False)), step).otherwise(0))
+
+
+def _levels(bounds: list) -> range:
+    """Levels of nodes over the leaves (0), the last of at most FAN nodes."""
+    n = 1
+    while FAN ** n < len(bounds) + 1:
+        n += 1
+    return range(n)
+
+
+def _node(leaf: Column, level: int) -> Column:
+    """The key of the node of a level that a leaf lies in."""
+    return F.concat(F.lit(f"{level}:"), F.floor(leaf / FAN ** level).cast("string"))
+
+
+def _nodes(first: Column, last: Column, levels: range) -> Column:
+    """The fewest nodes that hold the leaves first..last and no other, as (level, key)."""
+    def up(x: Column, level: int) -> Column:
+        return F.ceil(x / FAN ** level).cast("int")
+
+    def down(x: Column, level: int) -> Column:
+        return F.floor(x / FAN ** level).cast("int")
+
+    def run(start: Column, end: Column, level: int) -> Column:
+        found = F.when(start < end, F.sequence(start, end - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(found, lambda k: F.struct(F.lit(level).alias("level"), F.concat(
+            F.lit(f"{level}:"), k.cast("string")).alias("key")))
+
+    out, end = [], last + 1
+    for level in levels:
+        at, to = up(first, level), down(end, level)
+        if level == levels[-1]:
+            out.append(run(at, to, level))
+            continue
+        # What a node above holds whole is left to it.
+        above, beyond = up(first, level + 1), down(end, level + 1)
+        held = above < beyond
+        out.append(run(at, F.when(held, above * FAN).otherwise(to), level))
+        out.append(run(F.when(held, beyond * FAN).otherwise(to), to, level))
+    return F.concat(*out)
 
 
 def _values(tags: DataFrame, name: str) -> Column:
@@ -197,11 +244,16 @@ def _there(tags: DataFrame, name: str) -> Column:
 def _people(tags: DataFrame, names: list[str]) -> DataFrame:
     """memberId, phone and for each tag i its sorted distinct values v<i> and presence h<i>: one row
     for each (memberId, phone), which holds what any of its rows holds."""
-    rows = tags.select("memberId", "phone", *(c for i, n in enumerate(names) for c in (
-        _values(tags, n).alias(f"v{i}"), _there(tags, n).alias(f"h{i}"))))
+    person = ["memberId", "phone"]
+    rows = tags.select(*person, *(c for i, n in enumerate(names) for c in (
+        F.array_sort(F.array_distinct(_values(tags, n))).alias(f"v{i}"),
+        _there(tags, n).alias(f"h{i}"))))
     if not names:
         return rows.distinct()
-    return rows.groupBy("memberId", "phone").agg(*(c for i in range(len(names)) for c in (
+    # Rows are gathered only if any come more than once.
+    if not tags.groupBy(*person).count().filter("count > 1").head(1):
+        return rows
+    return rows.groupBy(*person).agg(*(c for i in range(len(names)) for c in (
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(f"v{i}")))).alias(f"v{i}"),
         F.max(f"h{i}").alias(f"h{i}"))))
 
@@ -224,194 +276,283 @@ def _bounds(people: DataFrame, at: dict[str, int]) -> dict[str, list]:
     return out
 
 
-def _key(*parts: Column | str) -> Column:
-    return F.concat_ws("\x00", *(p if isinstance(p, Column) else F.lit(p) for p in parts))
-
-
-def _text(v: Column) -> Column:
-    return F.coalesce(v["t"], v["n"].cast("string"), v["d"].cast("string"))
-
-
-_ONE = "struct<n: bigint, d: double, t: string>"
-
-
-def _one(space: str, value: Column) -> Column:
-    """A value as (n, d, t)."""
-    return F.struct(*((value if s == space else F.lit(None)).cast(k).alias(s)
-                      for s, k in zip(_SPACES, ("bigint", "double", "string"))))
-
-
-def _member_rows(people: DataFrame, spaces: dict[str, str], at: dict[str, int],
-                 used: dict[str, set[str]], beside: dict[str, set[str]],
-                 bounds: dict[str, list]) -> DataFrame:
-    """key, memberId, phone, v, before, beside: a row for every key that a member holds and a should
-    condition may ask. For ranges `v` is the value and `before` the member's next smaller one;
-    `beside` holds the values of the tags that definitions combine with this one ("": with none)."""
-    none = F.lit(None).cast(_ONE)
-    tags = sorted({n for names in beside.values() for n in names})
-
-    def others(name: str) -> Column:
-        if not beside.get(name):
-            return F.lit(None).cast(_beside_type(people, at, tags))
-        return F.struct(*((F.col(c) if n in beside[name] else F.lit(None)).cast(
-            people.schema[c].dataType).alias(c) for n in tags for c in (f"v{at[n]}", f"h{at[n]}")))
-
-    def row(key: Column, value: Column, before: Column, name: str) -> Column:
-        return F.struct(key.alias("key"), value.alias("v"), before.alias("before"),
-                        others(name).alias("beside"))
-
-    held = [F.slice(F.array(row(_key("all"), none, none, "")), 1, 1 if "" in beside else 0)]
-    for name, shapes in sorted(used.items()):
-        space, values = spaces[name], F.col(f"v{at[name]}")
-        if "match" in shapes:
-            held.append(F.transform(values, lambda x: row(
-                _key("is", name, _text(_one(space, x))), none, none, name)))
-        if "range" in shapes:
-            held.append(F.transform(values, lambda x, i: row(
-                _key("in", name, _bucket(x, bounds[name]).cast("string")), _one(space, x),
-                F.when(i > 0, _one(space, F.get(values, i - 1))), name)))
-        if "exists" in shapes:
-            held.append(F.filter(F.array(row(F.when(F.col(f"h{at[name]}"), _key("has", name)),
-                                             none, none, name)), lambda x: x["key"].isNotNull()))
-    return people.select("memberId", "phone", F.explode(F.concat(*held)).alias("held")).select(
-        "memberId", "phone", "held.key", "held.v", "held.before", "held.beside")
-
-
-def _beside_type(people: DataFrame, at: dict[str, int], tags: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, people.schema[c].dataType)
-                         for n in tags for c in (f"v{at[n]}", f"h{at[n]}")])
-
-
-def _condition_rows(rules: DataFrame, spaces: dict[str, str],
-                    bounds: dict[str, list]) -> DataFrame:
-    """key, segment_id, position, lo, hi, others (the definition's other conditions); a definition
-    without a should condition has the key of all members and no position."""
-    c = F.col("c")
-    listed = rules.groupBy("segment_id", "rule").agg(F.collect_list(F.when(
-        F.col("position").isNotNull(), F.struct(
-            "position", "name", "shape", "must_not", "value", "lo", "hi"))).alias("others"))
-    anyone = (listed.filter(~F.exists("others", lambda o: ~o["must_not"]))
-              .select(_key("all").alias("key"), "segment_id", "others"))
-    each = (listed.select("segment_id", "others", F.explode("others").alias("c"))
-            .filter(~c["must_not"])
-            .select("segment_id", "c.*", F.filter("others", lambda o: o["position"] != c["position"])
-                    .alias("others")))
-    name = F.col("name")
-    ends = {}
-    for end, v in (("first", F.col("lo")), ("last", F.col("hi"))):
-        at = F.lit(None).cast("int")
-        for tag in bounds:
-            open_end = F.lit(0 if end == "first" else len(bounds[tag]))
-            at = F.when(name == tag, F.when(_given(v), _bucket(v[spaces[tag]], bounds[tag]))
-                        .otherwise(open_end)).otherwise(at)
-        ends[end] = F.when(F.col("shape") == "range", at)
-    each = each.select("*", *(at.alias(end) for end, at in ends.items()))
-    out = ["segment_id", "position", "lo", "hi", "others"]
-    keyed = each.filter("shape = 'match'").select(
-        _key("is", name, _text(F.col("value"))).alias("key"), *out)
-    keyed = keyed.unionByName(each.filter("shape = 'exists'").select(
-        _key("has", name).alias("key"), *out))
-    ranges = each.filter("first <= last").withColumn("bucket", F.explode(F.sequence("first", "last")))
-    keyed = keyed.unionByName(ranges.select(
-        _key("in", name, F.col("bucket").cast("string")).alias("key"), *out))
-    return keyed.unionByName(anyone, allowMissingColumns=True)
-
-
-def _within(v: Column, lo: Column, hi: Column, spaces: tuple[str, ...] = _SPACES) -> Column:
-    """Is a value between a condition's bounds (a missing bound is open)?"""
-    out = F.lit(True)
-    for s in spaces:
-        x = v[s] if spaces is _SPACES else v
-        out = out & (lo[s].isNull() | F.coalesce(x >= lo[s], F.lit(False)))
-        out = out & (hi[s].isNull() | F.coalesce(x <= hi[s], F.lit(False)))
-    return F.coalesce(out, F.lit(True))
-
-
-def _first_within(v: Column, before: Column, lo: Column, hi: Column) -> Column:
-    """Is a value within the bounds and the member's next smaller one not? An array can meet one
-    range several times: its smallest value there counts."""
-    return _within(v, lo, hi) & (before.isNull() | ~_within(before, lo, hi))
-
-
-def _met(o: Column, spaces: dict[str, str], at: dict[str, int], tags: list[str]) -> Column:
-    """Does the member meet a condition, judged on the values beside its key?"""
+@dataclass(frozen=True)
+class _Plan:
+    """What the definitions ask of the tags: `at` numbers the tags, `spaces` has their forms,
+    `bounds` those of their leaves. A side is the tag and shape of a should condition, ("", "")
+    that of definitions without one; its `others` are the tags and shapes that some definition
+    combines with it, `most` the most of them in one definition."""
+
+    at: dict[str, int]
+    spaces: dict[str, str]
+    bounds: dict[str, list]
+    others: dict[tuple[str, str], list[tuple[str, str]]]
+    most: dict[tuple[str, str], int]
+
+    @property
+    def sides(self) -> list[tuple[str, str]]:
+        return sorted(self.others)
+
+    def unrolled(self, side: tuple[str, str]) -> int:
+        """How many other conditions of a definition are judged in generated code."""
+        return min(self.most[side], BESIDE, TESTS // max(1, len(self.others[side])))
+
+    @property
+    def kinds(self) -> list[tuple[str, str]]:
+        return sorted({o for found in self.others.values() for o in found})
+
+
+def _rules(definitions: DataFrame, schema: T.StructType) -> DataFrame:
+    """segment_id and `all` conditions of each definition without a fault, equal rows once."""
+    parsed = _conditions(definitions.select("segment_id", "body").distinct(), schema)
+    kind = F.col("kind")
+    shape = (F.when(kind.isin("match", "notMatch"), "match").when(kind == "exists", "exists")
+             .otherwise("range"))
+    return (parsed.groupBy("segment_id", "body").agg(
+        F.max(F.col("fault").isNotNull()).alias("faulty"),
+        F.collect_list(F.when(F.col("position").isNotNull(), F.struct(
+            "position", "name", shape.alias("shape"), kind.isin(*MUST_NOT_KINDS).alias("must_not"),
+            "value", "lo", "hi"))).alias("all"))
+        .filter(~F.col("faulty")).select("segment_id", "all"))
+
+
+def _sides(rules: DataFrame) -> DataFrame:
+    """The rules once for each should condition `c`, once with a NULL without any."""
+    return rules.select("segment_id", "all", F.explode_outer(
+        F.filter("all", lambda o: ~o["must_not"])).alias("c"))
+
+
+def _beside(position: Column) -> Column:
+    """The conditions of a rule other than the one of a position."""
+    return F.filter("all", lambda o: position.isNull() | (o["position"] != position))
+
+
+def _planned(rules: DataFrame, tags: DataFrame) -> _Plan:
+    """The plan without bounds; at most a row for every two tags and their shapes is collected."""
+    c, other = F.col("c"), F.col("other")
+    found = (_sides(rules).select(
+        F.coalesce(c["name"], F.lit("")).alias("name"), F.coalesce(c["shape"], F.lit("")).alias("shape"),
+        _beside(c["position"]).alias("others"))
+        .select("name", "shape", F.size("others").alias("n"), F.explode_outer("others").alias("other"))
+        .groupBy("name", "shape", other["name"].alias("o_name"), other["shape"].alias("o_shape"))
+        .agg(F.max("n").alias("n")).collect())
+    others: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    most: dict[tuple[str, str], int] = {}
+    for r in found:
+        side = (r["name"], r["shape"])
+        others.setdefault(side, [])
+        most[side] = max(most.get(side, 0), r["n"])
+        if r["o_name"] is not None:
+            others[side].append((r["o_name"], r["o_shape"]))
+    names = sorted({n for n, _ in others if n} | {n for found in others.values() for n, _ in found})
+    return _Plan({n: i for i, n in enumerate(names)},
+                 {n: _space(_element(tags.schema[n].dataType), n) for n in names}, {},
+                 {k: sorted(v) for k, v in others.items()}, most)
+
+
+def _kind_of(space: str) -> str:
+    return dict(zip(_SPACES, ("bigint", "double", "string")))[space]
+
+
+def _condition_rows(rules: DataFrame, plan: _Plan) -> DataFrame:
+    """side (its number), level, key, segment_id, position, lo, hi and others of every key that a
+    should condition asks for; `what` is the number of another condition's tag and shape."""
+    c, name, shape = F.col("c"), F.col("name"), F.col("shape")
+    what = {o: i for i, o in enumerate(plan.kinds)}
+
+    def numbered(o: Column) -> Column:
+        out = F.lit(None).cast("int")
+        for (n, s), i in what.items():
+            out = F.when((o["name"] == n) & (o["shape"] == s), i).otherwise(out)
+        return F.struct(out.alias("what"), o["must_not"].alias("must_not"),
+                        F.coalesce(o["position"] < c["position"], F.lit(False)).alias("earlier"),
+                        o["value"].alias("value"), o["lo"].alias("lo"), o["hi"].alias("hi"))
+
+    each = _sides(rules).select("segment_id", "c.*", F.transform(
+        _beside(c["position"]), numbered).alias("others"))
+    side = F.lit(None).cast("int")
+    keys = F.array(F.struct(F.lit(0).alias("level"), F.when(
+        shape == "match", F.coalesce(*(F.col("value")[s].cast("string") for s in _SPACES)))
+        .otherwise("").alias("key")))
+    for i, (n, s) in enumerate(plan.sides):
+        here = name.isNull() if not n else (name == n) & (shape == s)
+        side = F.when(here, i).otherwise(side)
+        if s == "range":
+            ends = []
+            for v, open_end in ((F.col("lo"), 0), (F.col("hi"), len(plan.bounds[n]))):
+                ends.append(F.when(_given(v), _bucket(v[plan.spaces[n]], plan.bounds[n], _kind_of(
+                    plan.spaces[n]))).otherwise(open_end))
+            keys = F.when(here, _nodes(*ends, _levels(plan.bounds[n]))).otherwise(keys)
+    return (each.select(side.alias("side"), F.explode(keys).alias("k"), "segment_id", "position",
+                        "lo", "hi", "others")
+            .select("side", "k.level", "k.key", "segment_id", "position", "lo", "hi", "others"))
+
+
+def _member_rows(people: DataFrame, side: tuple[str, str], plan: _Plan,
+                 levels: list[int]) -> DataFrame:
+    """key, memberId, phone and the tags of the side's others for every key that a member holds; for
+    ranges also `x`, the value, and `before`, the member's next smaller one."""
+    name, shape = side
+    keep = ["memberId", "phone", *sorted({f"{'h' if s == 'exists' else 'v'}{plan.at[n]}"
+                                          for n, s in plan.others[side]})]
+    if not name:
+        return people.select(F.lit("").alias("key"), *keep)
+    i = plan.at[name]
+    if shape == "exists":
+        return people.filter(f"h{i}").select(F.lit("").alias("key"), *keep)
+    if shape == "match":
+        return (people.select(F.explode(f"v{i}").alias("x"), *keep)
+                .select(F.col("x").cast("string").alias("key"), *keep))
+    leaf = _bucket(F.col("x"), plan.bounds[name], _kind_of(plan.spaces[name]))
+    return (people.select(F.posexplode(f"v{i}").alias("i", "x"), F.col(f"v{i}").alias("values"), *keep)
+            .select("x", F.get("values", F.col("i") - 1).alias("before"), leaf.alias("leaf"), *keep)
+            .select(F.explode(F.array(*(_node(F.col("leaf"), k) for k in levels))).alias("key"),
+                    "x", "before", *keep))
+
+
+def _within(v: Column, lo: Column, hi: Column) -> Column:
+    """Is a value between bounds of its form (a missing bound is open)?"""
+    return F.coalesce((lo.isNull() | (v >= lo)) & (hi.isNull() | (v <= hi)), F.lit(False))
+
+
+def _any_within(values: Column, lo: Column, hi: Column) -> Column:
+    """Does a sorted array hold a value between bounds (one may be missing)? Without a lambda, so
+    that it stays in generated code: only if all lies around the range is the first value from `lo`
+    on looked for, as the one behind `lo` in the array with `lo` added."""
+    first, last = F.get(values, F.lit(0)), F.get(values, F.size(values) - 1)
+    added = F.sort_array(F.array_append(values, lo))
+    behind = F.get(added, F.array_position(added, lo).cast("int"))
+    return (F.when(lo.isNull(), first <= hi).when(hi.isNull(), last >= lo)
+            .when((first > hi) | (last < lo), F.lit(False))
+            .when((first >= lo) | (last <= hi), F.lit(True)).otherwise(behind <= hi))
+
+
+def _met(o: Column, side: tuple[str, str], plan: _Plan) -> Column:
+    """Does the member meet another condition of the definition, judged on the tags beside its key?"""
     out = F.lit(False)
-    for n in tags:
-        s, values = spaces[n], F.col(f"beside.v{at[n]}")
-        here = (F.when(o["shape"] == "exists", F.col(f"beside.h{at[n]}"))
-                .when(o["shape"] == "match", F.array_contains(values, o["value"][s]))
-                .otherwise(F.exists(values, lambda x: _within(x, o["lo"], o["hi"], (s,)))))
-        out = F.when(o["name"] == n, F.coalesce(here, F.lit(False))).otherwise(out)
+    for n, shape in plan.others[side]:
+        s, i = plan.spaces[n], plan.at[n]
+        if shape == "exists":
+            here = F.col(f"h{i}")
+        elif shape == "match":
+            here = F.array_contains(F.col(f"v{i}"), o["value"][s])
+        else:
+            here = _any_within(F.col(f"v{i}"), o["lo"][s], o["hi"][s])
+        out = F.when(o["what"] == plan.kinds.index((n, shape)), F.coalesce(here, F.lit(False))
+                     ).otherwise(out)
     return out
 
 
+def _counted(keys: DataFrame, asked: DataFrame) -> DataFrame:
+    """side, key, pairs and salts of every key that members hold and conditions ask for."""
+    m, c = F.col("m"), F.col("c")
+    salts = F.least(F.ceil(m / LEAST_MEMBERS),
+                    F.greatest(F.ceil(m / PER_SALT), F.ceil(m * c / PAIRS))).cast("long")
+    return (keys.groupBy("side", "key").agg(F.count(F.lit(1)).alias("m"))
+            .join(asked.groupBy("side", "key").agg(F.count(F.lit(1)).alias("c")), ["side", "key"])
+            .select("side", "key", (m * c).alias("pairs"), salts.alias("salts")))
+
+
+def _joined(held: DataFrame, asked: DataFrame, salted: dict[str, int], pairs: int,
+            one_key: bool) -> DataFrame:
+    """Members and conditions of equal keys; `one_key` if there is only one."""
+    on, spark = ["key"], held.sparkSession
+    if salted:
+        salts = F.broadcast(spark.createDataFrame(list(salted.items()), "key string, salts long"))
+        held = held.join(salts, "key", "left").withColumn("salt", F.coalesce(
+            F.pmod(F.xxhash64("memberId", "phone"), "salts"), F.lit(0).cast("long"))).drop("salts")
+        asked = asked.join(salts, "key", "left").withColumn("salt", F.explode(F.sequence(
+            F.lit(0).cast("long"), F.coalesce(F.col("salts") - 1, F.lit(0).cast("long"))))).drop("salts")
+        # A constant would be folded out of one side's partitioning, which Spark then deals anew.
+        on = ["salt"] if one_key else ["key", "salt"]
+    if pairs > PAIRS:
+        # By its bytes such a join would get far too few tasks.
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * -(-pairs // PAIRS))
+        held, asked = held.repartition(tasks, *on), asked.repartition(tasks, *on)
+    return held.join(asked.drop("key") if "key" not in on else asked, on)
+
+
+def _judged(met: DataFrame, side: tuple[str, str], plan: _Plan, unrolled: bool) -> DataFrame:
+    """segment_id, memberId, phone, score of the joined rows that give a pair."""
+    name, shape = side
+    if shape == "range":
+        s = plan.spaces[name]
+        lo, hi = F.col(f"lo.{s}"), F.col(f"hi.{s}")
+        # An array can meet one range several times: its smallest value there counts.
+        met = met.filter(_within(F.col("x"), lo, hi)
+                         & (F.col("before").isNull() | ~_within(F.col("before"), lo, hi)))
+    score = F.lit(1 if name else 0)
+    if plan.others[side]:
+        def bars(o: Column) -> Column:
+            return F.coalesce((o["must_not"] | o["earlier"]) & _met(o, side, plan), F.lit(False))
+
+        def adds(o: Column) -> Column:
+            return F.coalesce(~o["must_not"] & ~o["earlier"] & _met(o, side, plan), F.lit(False))
+        if unrolled:
+            for j in range(plan.unrolled(side)):
+                o = F.get("others", F.lit(j))
+                met = met.filter(~bars(o))
+                if name:
+                    score = score + adds(o).cast("int")
+        else:
+            met = met.filter(~F.exists("others", bars))
+            if name:
+                score = score + F.size(F.filter("others", adds))
+    return met.select("segment_id", "memberId", "phone", score.alias("score"))
+
+
 def segment_from_table(tags: DataFrame, definitions: DataFrame) -> DataFrame:
     """segment_id, memberId, phone, score of every member of every defined segment.
 
-    Same audiences and scores as `segment_batch`. `tags` is read once; the parsed conditions, the
-    members' values and the keyed conditions are written. Definitions may repeat a segment_id; each
+    Same audiences and scores as `segment_batch`. The parsed definitions, the members' values, the
+    keyed conditions and the counts of keys are written. Definitions may repeat a segment_id; each
     row is judged by itself, equal rows once. Members are told apart by (memberId, phone).
     """
-    parsed = written(_conditions(definitions, tags.schema).dropDuplicates(["rule", "position"]),
-                     "conditions")
-    faulty = parsed.filter("fault is not null").select("rule").distinct()
-    kind = F.col("kind")
-    rules = (parsed.join(faulty, "rule", "left_anti")
-             .withColumn("must_not", kind.isin(*MUST_NOT_KINDS))
-             .withColumn("shape", F.when(kind.isin("match", "notMatch"), "match")
-                         .when(kind == "exists", "exists").otherwise("range")))
-    # Which tags are asked for and which are combined with which, "" standing for definitions
-    # without a should condition: at most a row for every pair of tags, kind and side.
-    asked_for = (rules.groupBy("segment_id", "rule").agg(F.collect_set(F.when(
-        F.col("position").isNotNull(), F.struct("position", "name", "shape", "must_not"))).alias("all")))
-    sides = F.transform(F.filter("all", lambda o: ~o["must_not"]), lambda o: F.struct(
-        o["position"].alias("position"), o["name"].alias("name"), o["shape"].alias("shape")))
-    nobody = F.array(F.struct(F.lit(-1).alias("position"), F.lit("").alias("name"),
-                              F.lit("").alias("shape")))
-    pairs = (asked_for.select("all", F.explode(F.when(F.size(sides) > 0, sides).otherwise(nobody))
-                              .alias("side"))
-             .select(F.col("side.name").alias("name"), F.col("side.shape").alias("shape"),
-                     F.explode_outer(F.transform(F.filter(
-                         "all", lambda o: o["position"] != F.col("side.position")),
-                         lambda o: o["name"])).alias("other")).distinct().collect())
-    used: dict[str, set[str]] = {}
-    beside: dict[str, set[str]] = {}
-    for r in pairs:
-        others = beside.setdefault(r["name"], set())
-        if r["other"] is not None:
-            others.add(r["other"])
-        if r["name"]:
-            used.setdefault(r["name"], set()).add(r["shape"])
-    together = sorted({n for names in beside.values() for n in names})
-    at = {n: i for i, n in enumerate(sorted({*used, *together}))}
-    spaces = {n: _space(_element(tags.schema[n].dataType), n) for n in at}
-    people = written(_people(tags, list(at)), "members")
-    bounds = _bounds(people, {n: at[n] for n, s in sorted(used.items()) if "range" in s})
-
-    asked = written(_condition_rows(rules, spaces, bounds), "condition-keys")
-    held = _member_rows(people, spaces, at, used, beside, bounds)
-    m, c = F.col("m"), F.col("c")
-    salts = F.least(m, F.greatest(F.ceil(m / PER_SALT), F.ceil(m * c / PAIRS))).cast("long")
-    counted = (held.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
-               .join(asked.groupBy("key").agg(F.count(F.lit(1)).alias("c")), "key")
-               .select("key", (m * c).alias("pairs"), salts.alias("salts")).filter("salts > 1")
-               .orderBy(F.desc("pairs")).limit(SALTED).collect())
-    if counted:
-        salts = F.broadcast(tags.sparkSession.createDataFrame(
-            [(r["key"], r["salts"]) for r in counted], "key string, salts long"))
-        held = held.join(salts, "key", "left").withColumn("salt", F.coalesce(
-            F.pmod(F.xxhash64("memberId", "phone"), "salts"), F.lit(0).cast("long")))
-        asked = asked.join(salts, "key", "left").withColumn("salt", F.explode(F.sequence(
-            F.lit(0).cast("long"), F.coalesce(F.col("salts") - 1, F.lit(0).cast("long")))))
-        met = held.drop("salts").join(asked.drop("salts"), ["key", "salt"])
-    else:
-        met = held.join(asked, "key")
-    met = met.filter(F.col("v").isNull() | _first_within(F.col("v"), F.col("before"), F.col("lo"),
-                                                         F.col("hi")))
-    alone, position = F.size("others") == 0, F.col("position")
-    met = met.filter(alone | ~F.exists("others", lambda o: (
-        o["must_not"] | F.coalesce(o["position"] < position, F.lit(False)))
-        & _met(o, spaces, at, together)))
-    score = F.when(position.isNull(), 0).when(alone, 1).otherwise(1 + F.size(F.filter(
-        "others", lambda o: ~o["must_not"] & _met(o, spaces, at, together))))
-    return met.select("segment_id", "memberId", "phone", score.alias("score"))
+    spark = tags.sparkSession
+    rules = written(_rules(definitions, tags.schema), "rules")
+    plan = _planned(rules, tags)
+    people = written(_people(tags, list(plan.at)), "members")
+    plan.bounds.update(_bounds(people, {n: plan.at[n] for n, s in plan.sides if s == "range"}))
+
+    rows = _condition_rows(rules, plan)
+    path = shared_folder(spark, "condition-keys")
+    rows.write.partitionBy("side").parquet(path)
+    asked = spark.read.schema(rows.schema).parquet(path)
+    levels: dict[int, list[int]] = {}
+    for r in asked.select("side", "level").distinct().collect():
+        levels.setdefault(r["side"], []).append(r["level"])
+    held = {i: _member_rows(people, plan.sides[i], plan, sorted(found))
+            for i, found in sorted(levels.items())}
+    if not held:
+        return _nobody(tags, definitions)
+    keys = None
+    for i, found in held.items():
+        part = found.select(F.lit(i).alias("side"), "key")
+        keys = part if keys is None else keys.unionByName(part)
+    counted = written(_counted(keys, asked), "key-counts")
+    pairs = {r["side"]: r["n"] for r in
+             counted.groupBy("side").agg(F.sum("pairs").alias("n")).collect()}
+    salted: dict[int, dict[str, int]] = {}
+    for r in counted.filter("salts > 1").orderBy(F.desc("pairs")).limit(SALTED).collect():
+        salted.setdefault(r["side"], {})[r["key"]] = r["salts"]
+
+    out = None
+    for i, found in held.items():
+        if i not in pairs:
+            continue
+        side, mine = plan.sides[i], asked.filter(F.col("side") == i).drop("side", "level")
+        most, many = plan.unrolled(side), F.size("others") > plan.unrolled(side)
+        halves = [(mine, True)] if plan.most[side] == most else [
+            (mine.filter(~many), True), (mine.filter(many), False)]
+        for half, unrolled in halves:
+            met = _joined(found, half, salted.get(i, {}), pairs[i], side[1] in ("", "exists"))
+            part = _judged(met, side, plan, unrolled)
+            out = part if out is None else out.unionByName(part)
+    return out if out is not None else _nobody(tags, definitions)
+
+
+def _nobody(tags: DataFrame, definitions: DataFrame) -> DataFrame:
+    """The result without a row."""
+    return tags.sparkSession.createDataFrame([], T.StructType(
+        [definitions.schema["segment_id"], tags.schema["memberId"], tags.schema["phone"],
+         T.StructField("score", T.IntegerType(), False)]))

@@ -125,6 +125,57 @@ def test_pairs_of_segment_and_member_are_not_gathered(spark):
     assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_many_conditions_and_nodes_of_several_levels(spark, monkeypatch):
+    monkeypatch.setattr(segment_index, "BUCKETS", 6)
+    monkeypatch.setattr(segment_index, "FAN", 2)
+    monkeypatch.setattr(segment_index, "PAIRS", 1000)
+    monkeypatch.setattr(segment_index, "BESIDE", 2)
+    rand = random.Random(5)
+    values = {"favGoods": "012345678", "orderMoney": ["0", "1.5", "20", "nan"],
+              "couponTimes": ["2024-01-0%d" % d for d in range(1, 10)]}
+
+    def condition():
+        name = rand.choice(sorted(values))
+        kind = rand.choice(["match", "notMatch", "rangeBoth", "rangeGte", "rangeLte", "exists"])
+        if kind == "rangeBoth":
+            lo, hi = (rand.choice(values[name]) for _ in range(2))
+            return {"name": name, "type": kind, "lo": lo, "hi": hi}
+        return {"name": name, "type": kind, "value": rand.choice(values[name])}
+    asked = {f"s{i}": [condition() for _ in range(rand.randint(1, 5))] for i in range(30)}
+    tags = spark.createDataFrame(members(60), SCHEMA).repartition(4)
+    df = spark.createDataFrame([(k, body(v)) for k, v in asked.items()], "segment_id string, body string")
+    got = rows(segment_index.segment_from_table(tags, df))
+    assert got == rows(segments.segment_batch(tags, asked)) and len({g[0] for g in got}) > 20
+
+
+def test_narrow_ranges_meet_few_members(spark, monkeypatch):
+    kept = {}
+
+    def keep(df, what, write=segment_index.written):
+        kept[what] = write(df, what)
+        return kept[what]
+    monkeypatch.setattr(segment_index, "written", keep)
+    tags = spark.range(4000).selectExpr("id AS memberId", "'p' AS phone", "id * 10D AS orderMoney")
+    df = spark.createDataFrame([(f"s{i}", body([{"name": "orderMoney", "type": "rangeBoth",
+                                                 "lo": str(i * 100), "hi": str(i * 100 + 15)}]))
+                                for i in range(400)] + [("wide", body([("orderMoney", "5", "rangeGte")]))],
+                               "segment_id string, body string")
+    assert segment_index.segment_from_table(tags, df).count() == 400 * 2 + 3999
+    # Two leaves at most for a narrow range; the wide one meets each member once.
+    assert kept["key-counts"].selectExpr("sum(pairs)").first()[0] <= 400 * 2 * 2 + 4000
+
+
+def test_pairs_are_judged_in_generated_code(spark):
+    tags = spark.createDataFrame(members(40), SCHEMA)
+    asked = {"a": [("sex", "F", "match"), ("channel", "1", "notMatch"), ("favGoods", "6", "rangeGte"),
+                   {"name": "couponTimes", "type": "rangeBoth", "lo": "2024-01-02", "hi": "2024-01-05"}]}
+    df = spark.createDataFrame([(k, body(v)) for k, v in asked.items()], "segment_id string, body string")
+    found = segment_index.segment_from_table(tags, df)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and not any(f"{f}(others" in plan for f in ("exists", "filter"))
+    assert rows(found) == rows(segments.segment_batch(tags, asked))
+
+
 def test_rows_of_one_member_count_together(spark, monkeypatch):
     monkeypatch.setattr(segment_index, "PAIRS", 2)
     tags = spark.createDataFrame(
