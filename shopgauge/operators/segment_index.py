@@ -28,7 +28,9 @@ not fit the tag's type) is left out as a whole and listed by `rejected_definitio
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -427,22 +429,43 @@ def _any_within(values: Column, lo: Column, hi: Column) -> Column:
             .when((first >= lo) | (last <= hi), F.lit(True)).otherwise(behind <= hi))
 
 
-def _met(o: Column, side: tuple[str, str], plan: _Plan) -> Column:
-    """Does the member meet another condition of the definition, judged on the tags beside its key?"""
+def _met(o: Callable[..., Column], side: tuple[str, str], plan: _Plan) -> Column:
+    """Does the member meet another condition of the definition (`o` gives its fields), judged on
+    the tags beside its key?"""
     out = F.lit(False)
     for n, shape in plan.others[side]:
         s, i = plan.spaces[n], plan.at[n]
         if shape == "exists":
             here = F.col(f"h{i}")
         elif shape == "match":
-            here = F.array_contains(F.col(f"v{i}"), o["value"][s])
+            here = F.array_contains(F.col(f"v{i}"), o("value", s))
         else:
-            here = _any_within(F.col(f"v{i}"), o["lo"][s], o["hi"][s])
-        out = F.when(o["what"] == plan.kinds.index((n, shape)), F.coalesce(here, F.lit(False))
+            here = _any_within(F.col(f"v{i}"), o("lo", s), o("hi", s))
+        out = F.when(o("what") == plan.kinds.index((n, shape)), F.coalesce(here, F.lit(False))
                      ).otherwise(out)
     return out
 
 
+def _flat(asked: DataFrame, side: tuple[str, str], plan: _Plan) -> DataFrame:
+    """The first other conditions as columns o<j>_..., which cost a pair less than an array."""
+    fields = [("what",), *sorted({(f, plan.spaces[n]) for n, s in plan.others[side]
+                                  for f in {"match": ("value",), "range": ("lo", "hi")}.get(s, ())})]
+    out = []
+    for j in range(plan.unrolled(side)):
+        o = F.get("others", F.lit(j))
+        bars = o["must_not"] | o["earlier"]
+        out += [F.coalesce(bars, F.lit(False)).alias(f"o{j}_bars"),
+                F.coalesce(~bars, F.lit(False)).alias(f"o{j}_adds"),
+                *(_field(o, *f).alias("_".join((f"o{j}", *f))) for f in fields)]
+    return asked.select("*", *out).drop("others")
+
+
+def _field(o: Column, *path: str) -> Column:
+    for name in path:
+        o = o[name]
+    return o
+
+
 def _counted(keys: DataFrame, asked: DataFrame) -> DataFrame:
     """side, key, pairs and salts of every key that members hold and conditions ask for."""
     m, c = F.col("m"), F.col("c")
@@ -476,28 +499,26 @@ def _judged(met: DataFrame, side: tuple[str, str], plan: _Plan, unrolled: bool)
     """segment_id, memberId, phone, score of the joined rows that give a pair."""
     name, shape = side
     if shape == "range":
-        s = plan.spaces[name]
-        lo, hi = F.col(f"lo.{s}"), F.col(f"hi.{s}")
+        lo, hi = F.col("lo"), F.col("hi")
         # An array can meet one range several times: its smallest value there counts.
         met = met.filter(_within(F.col("x"), lo, hi)
                          & (F.col("before").isNull() | ~_within(F.col("before"), lo, hi)))
     score = F.lit(1 if name else 0)
-    if plan.others[side]:
+    if plan.others[side] and unrolled:
+        for j in range(plan.unrolled(side)):
+            found = _met(lambda *f: F.col("_".join((f"o{j}", *f))), side, plan)
+            met = met.filter(~(F.col(f"o{j}_bars") & found))
+            if name:
+                score = score + (F.col(f"o{j}_adds") & found).cast("int")
+    elif plan.others[side]:
         def bars(o: Column) -> Column:
-            return F.coalesce((o["must_not"] | o["earlier"]) & _met(o, side, plan), F.lit(False))
+            return (o["must_not"] | o["earlier"]) & _met(partial(_field, o), side, plan)
 
         def adds(o: Column) -> Column:
-            return F.coalesce(~o["must_not"] & ~o["earlier"] & _met(o, side, plan), F.lit(False))
-        if unrolled:
-            for j in range(plan.unrolled(side)):
-                o = F.get("others", F.lit(j))
-                met = met.filter(~bars(o))
-                if name:
-                    score = score + adds(o).cast("int")
-        else:
-            met = met.filter(~F.exists("others", bars))
-            if name:
-                score = score + F.size(F.filter("others", adds))
+            return ~(o["must_not"] | o["earlier"]) & _met(partial(_field, o), side, plan)
+        met = met.filter(~F.exists("others", bars))
+        if name:
+            score = score + F.size(F.filter("others", adds))
     return met.select("segment_id", "memberId", "phone", score.alias("score"))
 
 
@@ -542,9 +563,13 @@ def segment_from_table(tags: DataFrame, definitions: DataFrame) -> DataFrame:
             continue
         side, mine = plan.sides[i], asked.filter(F.col("side") == i).drop("side", "level")
         most, many = plan.unrolled(side), F.size("others") > plan.unrolled(side)
+        mine = mine.withColumns({c: F.col(c)[plan.spaces[side[0]]] for c in ("lo", "hi")}) \
+            if side[1] == "range" else mine.drop("lo", "hi")
         halves = [(mine, True)] if plan.most[side] == most else [
             (mine.filter(~many), True), (mine.filter(many), False)]
         for half, unrolled in halves:
+            if unrolled:
+                half = _flat(half, side, plan)
             met = _joined(found, half, salted.get(i, {}), pairs[i], side[1] in ("", "exists"))
             part = _judged(met, side, plan, unrolled)
             out = part if out is None else out.unionByName(part)
