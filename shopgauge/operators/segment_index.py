@@ -480,19 +480,24 @@ def _joined(held: DataFrame, asked: DataFrame, salted: dict[str, int], pairs: in
             one_key: bool) -> DataFrame:
     """Members and conditions of equal keys; `one_key` if there is only one."""
     on, spark = ["key"], held.sparkSession
-    if salted:
-        salts = F.broadcast(spark.createDataFrame(list(salted.items()), "key string, salts long"))
-        held = held.join(salts, "key", "left").withColumn("salt", F.coalesce(
-            F.pmod(F.xxhash64("memberId", "phone"), "salts"), F.lit(0).cast("long"))).drop("salts")
-        asked = asked.join(salts, "key", "left").withColumn("salt", F.explode(F.sequence(
-            F.lit(0).cast("long"), F.coalesce(F.col("salts") - 1, F.lit(0).cast("long"))))).drop("salts")
-        # A constant would be folded out of one side's partitioning, which Spark then deals anew.
-        on = ["salt"] if one_key else ["key", "salt"]
+    salt = F.pmod(F.xxhash64("memberId", "phone"), F.col("salts"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))
+    if one_key:
+        # A constant in place of the key would be folded, which leaves a join without a key.
+        on, salts = ["salt"], F.lit(max([1, *salted.values()])).cast("long")
+        held = held.drop("key").withColumn("salts", salts).withColumn("salt", salt).drop("salts")
+        asked = asked.drop("key").withColumn("salts", salts).withColumn("salt", each).drop("salts")
+    elif salted:
+        on = ["key", "salt"]
+        listed = F.broadcast(spark.createDataFrame(list(salted.items()), "key string, salts long"))
+        held, asked = (df.join(listed, "key", "left").withColumn("salts", F.coalesce(
+            "salts", F.lit(1).cast("long"))) for df in (held, asked))
+        held, asked = held.withColumn("salt", salt).drop("salts"), asked.withColumn("salt", each).drop("salts")
     if pairs > PAIRS:
         # By its bytes such a join would get far too few tasks.
         tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * -(-pairs // PAIRS))
         held, asked = held.repartition(tasks, *on), asked.repartition(tasks, *on)
-    return held.join(asked.drop("key") if "key" not in on else asked, on)
+    return held.join(asked, on)
 
 
 def _judged(met: DataFrame, side: tuple[str, str], plan: _Plan, unrolled: bool) -> DataFrame:

@@ -172,10 +172,23 @@ def test_pairs_are_judged_in_generated_code(spark):
     df = spark.createDataFrame([(k, body(v)) for k, v in asked.items()], "segment_id string, body string")
     found = segment_index.segment_from_table(tags, df)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" in plan and not any(f"{f}(others" in plan for f in ("exists", "filter"))
+    assert "Join Inner" in plan and not any(f"{f}(others" in plan for f in ("exists", "filter"))
     assert rows(found) == rows(segments.segment_batch(tags, asked))
 
 
+def test_definitions_for_all_members_join_by_a_key(spark, monkeypatch):
+    monkeypatch.setattr(segment_index, "LEAST_MEMBERS", 1)
+    tags = spark.createDataFrame(members(40), SCHEMA)
+    asked = {"all": [], "not": [("sex", "F", "notMatch")], "has": [("born", None, "exists")]}
+    df = spark.createDataFrame([(k, body(v)) for k, v in asked.items()], "segment_id string, body string")
+    for salted in (100, 5):
+        monkeypatch.setattr(segment_index, "PAIRS", salted)
+        found = segment_index.segment_from_table(tags, df)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Cartesian" not in plan and "NestedLoop" not in plan
+        assert rows(found) == rows(segments.segment_batch(tags, asked))
+
+
 def test_rows_of_one_member_count_together(spark, monkeypatch):
     monkeypatch.setattr(segment_index, "PAIRS", 2)
     tags = spark.createDataFrame(
